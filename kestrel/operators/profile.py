@@ -1,10 +1,275 @@
-"""Data profiling (G1-G12): the tables behind the exploratory charts."""
+"""Data profiling (G1-G12): the tables behind the exploratory charts.
+
+Every table is an aggregate; wide per-column statistics are computed in one
+``agg`` and unpivoted with ``stack``. Quantiles use the exact helpers in
+``kestrel.functions.stats``; ranks (Kruskal-Wallis) use distributed running
+sums over distinct values, never a global sort of the rows.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel import schemas as SC
+from kestrel.functions.stats import column_quantiles, grouped_quantiles, running_sums
+
+
+def _stack(cols, values_fn, names) -> str:
+    """``stack(n, 'c1', v1.., 'c2', v2..) as (column_name, names...)`` text."""
+    parts = []
+    for c in cols:
+        parts.append(f"'{c}'")
+        parts += values_fn(c)
+    return f"stack({len(cols)}, {', '.join(parts)}) as (column_name, {', '.join(names)})"
+
+
+# G1 ---------------------------------------------------------------------------
+def overview(df: DataFrame) -> DataFrame:
+    """Shape and per-column non-null counts (``df.info()``), one row per column."""
+    cols = df.columns
+    agg = df.agg(F.count("*").alias("__n"),
+                 *[F.count(F.col(f"`{c}`")).alias(f"nn{i}") for i, c in enumerate(cols)])
+    st = ", ".join(f"'{c}', {i}, __n, nn{i}" for i, c in enumerate(cols))
+    return agg.selectExpr(f"stack({len(cols)}, {st}) as (column_name, ordinal, n_rows, n_non_null)")
+
+
+def head(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
+    """First rows by a key (deterministic, unlike an unordered limit)."""
+    return df.orderBy(*(order_by or df.columns[:1])).limit(n)
+
+
+# G2 ---------------------------------------------------------------------------
+def describe_numeric(df: DataFrame, cols=None) -> DataFrame:
+    """count, mean, std (sample), min, 25 %, 50 %, 75 %, max per numeric column."""
+    cols = cols or SC.numeric_columns(df)
+    q = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        for j, v in enumerate(q[c]):
+            aggs.append(F.lit(v).cast("double").alias(f"q{j}_{i}"))
+    row = df.agg(*aggs)
+    idx = {c: i for i, c in enumerate(cols)}
+    st = _stack(cols, lambda c: [f"n{idx[c]}", f"m{idx[c]}", f"s{idx[c]}", f"lo{idx[c]}",
+                                 f"q0_{idx[c]}", f"q1_{idx[c]}", f"q2_{idx[c]}", f"hi{idx[c]}"],
+                ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+    return row.selectExpr(st)
+
+
+def describe_text(df: DataFrame, cols=None) -> DataFrame:
+    """count, unique, top (most frequent; ties: smallest), freq per text column.
+
+    Two aggregates: (column, value) counts, then per column. No window.
+    """
+    cols = cols or SC.string_columns(df)
+    st = _stack(cols, lambda c: [f"`{c}`"], ["value"])
+    long = df.selectExpr(st).where(F.col("value").isNotNull())
+    vc = long.groupBy("column_name", "value").agg(F.count("*").alias("cnt"))
+    return vc.groupBy("column_name").agg(
+        F.sum("cnt").alias("count"), F.count("*").alias("unique"),
+        F.min_by("value", F.struct(-F.col("cnt"), F.col("value"))).alias("top"),
+        F.max("cnt").alias("freq"))
+
+
+# G3 ---------------------------------------------------------------------------
+def missing_report(df: DataFrame) -> DataFrame:
+    """Null count and share per column, only columns with nulls."""
+    cols = df.columns
+    agg = df.agg(F.count("*").alias("__n"),
+                 *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"z{i}") for i, c in enumerate(cols)])
+    st = ", ".join(f"'{c}', z{i}" for i, c in enumerate(cols))
+    long = agg.selectExpr("__n", f"stack({len(cols)}, {st}) as (column_name, n_missing)")
+    return (long.where(F.col("n_missing") > 0)
+            .select("column_name", "n_missing", (F.col("n_missing") / F.col("__n")).alias("share_missing")))
+
+
+# G5 ---------------------------------------------------------------------------
+def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
+    """Equal-width bins between min and max (numpy layout: last bin closed);
+    empty bins included. Output: bin, lower, upper, count."""
+    x = F.col(col).cast("double")
+    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi = st["lo"], st["hi"]
+    spark = df.sparkSession
+    if lo is None:
+        return spark.createDataFrame([], "bin bigint, lower double, upper double, count bigint")
+    if hi == lo:
+        lo, hi = lo - 0.5, hi + 0.5
+    width = (hi - lo) / bins
+    b = F.least(F.floor((x - F.lit(lo)) * F.lit(bins / (hi - lo))), F.lit(bins - 1)).cast("bigint")
+    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count("*").alias("count"))
+    grid = (df.limit(1).select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+            .withColumn("bin", F.col("bin").cast("bigint")))
+    return (grid.join(F.broadcast(counts), "bin", "left")
+            .select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
+                    (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
+                    F.coalesce("count", F.lit(0)).alias("count")))
+
+
+# G6 ---------------------------------------------------------------------------
+def kde(df: DataFrame, col: str, points: int = 200, resolution: float | None = None) -> DataFrame:
+    """Gaussian kernel density on an even grid over [min, max], Scott's
+    bandwidth (n^-1/5 times the sample deviation).
+
+    The kernel sum runs over distinct values with their counts (exact), so
+    the work is distinct values x grid points, not rows x grid points.
+    ``resolution`` (optional) rounds values to that step first, which bounds
+    the distinct count for very large continuous columns (an approximation).
+    """
+    x = F.col(col).cast("double")
+    st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"),
+                F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    n, sd, lo, hi = st["n"], st["sd"], st["lo"], st["hi"]
+    if not n or sd is None or sd == 0 or math.isnan(sd):
+        return df.sparkSession.createDataFrame([], "point bigint, x double, density double")
+    bw = sd * n ** (-0.2)
+    step = (hi - lo) / (points - 1)
+    v = x if resolution is None else F.round(x / F.lit(resolution)) * F.lit(resolution)
+    vals = df.where(x.isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("c"))
+    grid = vals.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    gx = F.lit(lo) + F.col("point") * F.lit(step)
+    z = (gx - F.col("v")) / F.lit(bw)
+    contrib = F.col("c") * F.exp(F.lit(-0.5) * z * z)
+    norm = 1.0 / (n * bw * math.sqrt(2 * math.pi))
+    return (grid.groupBy("point").agg(F.sum(contrib).alias("s"))
+            .select(F.col("point").cast("bigint").alias("point"),
+                    (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"),
+                    (F.col("s") * F.lit(norm)).alias("density")))
+
+
+# G7 ---------------------------------------------------------------------------
+def count_by_class(df: DataFrame, col: str, label_col: str = "class") -> DataFrame:
+    return df.groupBy(col, label_col).agg(F.count("*").alias("n"))
+
+
+# G8 ---------------------------------------------------------------------------
+def box_stats(df: DataFrame, col: str, label_col: str = "class") -> DataFrame:
+    """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences) and
+    outlier counts per class. Quartiles are exact per class; the whiskers
+    and outlier counts are one conditional ``groupBy`` pass."""
+    q = grouped_quantiles(df, label_col, col, [0.25, 0.5, 0.75])
+    if not q:
+        return df.sparkSession.createDataFrame(
+            [], f"{label_col} bigint, q1 double, median double, q3 double, lower_whisker double, "
+                "upper_whisker double, n_outliers bigint")
+    x = F.col(col).cast("double")
+
+    def per_class(i):
+        e = None
+        for g, vals in q.items():
+            cond = F.col(label_col) == F.lit(g)
+            e = F.when(cond, F.lit(vals[i])) if e is None else e.when(cond, F.lit(vals[i]))
+        return e.cast("double")
+
+    q1, med, q3 = per_class(0), per_class(1), per_class(2)
+    lo_f = q1 - F.lit(1.5) * (q3 - q1)
+    hi_f = q3 + F.lit(1.5) * (q3 - q1)
+    inside = (x >= lo_f) & (x <= hi_f)
+    return (df.where(x.isNotNull() & F.col(label_col).isNotNull())
+            .groupBy(label_col)
+            .agg(F.first(q1).alias("q1"), F.first(med).alias("median"), F.first(q3).alias("q3"),
+                 F.min(F.when(inside, x)).alias("lower_whisker"),
+                 F.max(F.when(inside, x)).alias("upper_whisker"),
+                 F.count_if(~inside).alias("n_outliers")))
+
+
+# G10 --------------------------------------------------------------------------
+def correlation(df: DataFrame, cols=None) -> DataFrame:
+    """Pearson correlation of every pair (pairwise complete rows), long form."""
+    cols = cols or SC.numeric_columns(df)
+    pairs = [(a, b) for a in cols for b in cols]
+    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
+                   for i, (a, b) in enumerate(pairs)])
+    st = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
+    return agg.selectExpr(f"stack({len(pairs)}, {st}) as (col_a, col_b, corr)")
+
+
+# G11 / G12 ----------------------------------------------------------------------
+def _chi2_sf(x: float, k: int) -> float:
+    """Survival function of the chi-square distribution (regularized upper
+    incomplete gamma Q(k/2, x/2)); series / continued fraction."""
+    if x <= 0:
+        return 1.0
+    a, z = k / 2.0, x / 2.0
+    if k == 1:
+        return math.erfc(math.sqrt(z))
+    gln = math.lgamma(a)
+    if z < a + 1:
+        s, term, n = 1.0 / a, 1.0 / a, 0
+        while abs(term) > abs(s) * 1e-15 and n < 10_000:
+            n += 1
+            term *= z / (a + n)
+            s += term
+        return max(0.0, 1.0 - s * math.exp(-z + a * math.log(z) - gln))
+    b, c, d = z + 1 - a, 1e300, 1.0 / (z + 1 - a)
+    h = d
+    for i in range(1, 10_000):
+        an = -i * (i - a)
+        b += 2
+        d = an * d + b
+        d = 1e-300 if abs(d) < 1e-300 else d
+        c = b + an / c
+        c = 1e-300 if abs(c) < 1e-300 else c
+        d = 1.0 / d
+        h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return math.exp(-z + a * math.log(z) - gln) * h
+
+
+def kruskal_ranks(df: DataFrame, col: str, group_col: str) -> DataFrame:
+    """Rank sums per group with mid-ranks for ties, plus the tie term.
+
+    Counts per (value, group) -> distinct values with a distributed running
+    count -> mid-rank of each value -> rank sum per group. Output: one row per
+    group (g, n, rank_sum, tie_term = 0) and one row (NULL, NULL, NULL,
+    tie_term) holding the data-wide sum of t^3 - t over tied values.
+    """
+    x = F.col(col).cast("double")
+    base = df.where(x.isNotNull() & F.col(group_col).isNotNull())
+    vg = base.groupBy(x.alias("v"), F.col(group_col).alias("g")).agg(F.count("*").alias("c"))
+    vt = vg.groupBy("v").agg(F.sum("c").alias("t"))
+    cum = running_sums(vt, "v", ["t"])
+    ranks = cum.select("v", (F.col("t_cum") - F.col("t") + (F.col("t") + 1) / 2.0).alias("r"))
+    per_group = (vg.join(ranks, "v").groupBy("g")
+                 .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("r")).alias("rank_sum"))
+                 .withColumn("tie_term", F.lit(0.0)))
+    ties = vt.agg(F.sum(F.col("t").cast("double") ** 3 - F.col("t")).alias("tie_term"))
+    return per_group.unionByName(ties, allowMissingColumns=True)
+
+
+def kruskal_table(df: DataFrame, col: str, group_col: str) -> DataFrame:
+    """H statistic (tie-corrected) as a one-row table: h, dof, n_total and
+    groups_ok (at least two groups, each with more than one value)."""
+    r = kruskal_ranks(df, col, group_col)
+    agg = r.agg(F.sum("n").cast("double").alias("N"),
+                F.sum(F.col("rank_sum") ** 2 / F.col("n")).alias("S"),
+                F.sum("tie_term").alias("T"), F.count("n").alias("k"),
+                F.min("n").alias("min_n"))
+    h = ((F.lit(12.0) / (F.col("N") * (F.col("N") + 1)) * F.col("S") - 3 * (F.col("N") + 1))
+         / (F.lit(1.0) - F.col("T") / (F.col("N") ** 3 - F.col("N"))))
+    return agg.select(h.alias("h"), (F.col("k") - 1).alias("dof"),
+                      F.col("N").cast("bigint").alias("n_total"),
+                      ((F.col("k") >= 2) & (F.col("min_n") > 1)).cast("int").alias("groups_ok"))
+
+
+def kruskal_wallis(df: DataFrame, col: str, group_col: str) -> dict:
+    """H, degrees of freedom, p-value (chi-square survival) and the G12 guard:
+    ``valid`` unless fewer than two groups or a group with one value;
+    ``significant`` is p < 0.05 on a valid test."""
+    row = kruskal_table(df, col, group_col).first()
+    out = {"h": row["h"], "dof": row["dof"], "n_total": row["n_total"],
+           "valid": bool(row["groups_ok"]), "p_value": None, "significant": False}
+    if row["h"] is not None and row["dof"] >= 1 and not math.isnan(row["h"]):
+        out["p_value"] = _chi2_sf(row["h"], row["dof"])
+        out["significant"] = bool(out["valid"] and out["p_value"] < 0.05)
+    return out
+
 
 # G9 ---------------------------------------------------------------------------
 def fraud_rate_by_country(df: DataFrame, label_col: str = "class", country_col: str = "country",
@@ -14,3 +279,8 @@ def fraud_rate_by_country(df: DataFrame, label_col: str = "class", country_col:
             .agg(F.avg(label_col).alias("fraud_rate"), F.count("*").alias("n_transactions"))
             .orderBy(F.desc("fraud_rate"), F.asc(country_col))
             .limit(top))
+
+
+__all__ = ["overview", "head", "describe_numeric", "describe_text", "missing_report", "histogram",
+           "kde", "count_by_class", "box_stats", "correlation", "kruskal_wallis", "kruskal_table",
+           "fraud_rate_by_country"]
