@@ -22,7 +22,7 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType)):
             c = c.cast("bigint")
         elif isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+            c = F.round(c.cast("double"), digits) + F.lit(0.0)  # -0.0 -> 0.0
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
             c = F.unix_micros(c.cast("timestamp"))
         cols.append(c.alias(f.name))
@@ -32,7 +32,7 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def final_sql(sql: str, doubles=(), ints=(), ts=(), digits: int = DIGITS) -> str:
     """Wrap oracle SQL so the listed columns get the same rounding / width
     (timestamps as epoch microseconds)."""
-    rep = [f'round(CAST("{c}" AS DOUBLE), {digits}) AS "{c}"' for c in doubles]
+    rep = [f'round(CAST("{c}" AS DOUBLE), {digits}) + 0.0 AS "{c}"' for c in doubles]
     rep += [f'CAST("{c}" AS BIGINT) AS "{c}"' for c in ints]
     rep += [f'epoch_us("{c}") AS "{c}"' for c in ts]
     if not rep:
