@@ -93,3 +93,10 @@ def tx_ctes(name: str = "tx", keep_k: bool = False, null_signup: str | None = No
 
 def scored_ctes():
     return [("e", E), ("su", SU), ("txk", tx(keep_k=True)), ("scored", SCORED)]
+
+CODES = """SELECT n_name AS country, CASE n_nationkey WHEN 0 THEN 'NG' WHEN 1 THEN 'RU' WHEN 2 THEN 'BY'
+  WHEN 3 THEN 'KP' ELSE 'N' || CAST(n_nationkey AS VARCHAR) END AS code FROM nation"""
+
+RANGES_DEDUP = """SELECT lower_bound_ip_address AS lo, upper_bound_ip_address AS up, country FROM r0
+QUALIFY row_number() OVER (PARTITION BY lower_bound_ip_address
+                           ORDER BY upper_bound_ip_address DESC, country DESC) = 1"""
