@@ -8,7 +8,6 @@ from kestrel.operators import features as FE
 from kestrel.operators import geo
 from kestrel.plans import oracle_views as V
 from kestrel.plans.catalog import query
-from kestrel.plans.catalog_geo import COUNTRY_CTE
 from kestrel.plans.finish import final_sql, finish
 from kestrel.sources import testviews as TV
 
@@ -176,8 +175,12 @@ FEATURE_INTS = (["class", "purchase_hour", "purchase_dayofweek", "purchase_month
 FEATURE_TS = ("signup_time", "purchase_time")
 
 
-def features_sql():
-    return COUNTRY_CTE.rstrip() + ",\n" + ",\n".join(f"{n} AS ({b})" for n, b in features_ctes()) + "\n"
+def features_sql(base_ctes=None, src: str = "tx"):
+    """WITH clause ending in view ``feat``: ``base_ctes`` (default: the tx
+    fixture) -> country -> the feature chain."""
+    from kestrel.plans.catalog_geo import country_ctes
+    base = base_ctes if base_ctes is not None else V.tx_ctes()
+    return V.with_(*base, *country_ctes(src), *features_ctes())
 
 
 def ecommerce_features(spark, sf):

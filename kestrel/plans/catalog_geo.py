@@ -74,16 +74,14 @@ def q_ip_country_scale(spark, sf):
     return _ip_country(spark, sf, "customer")
 
 
-def _country_cte():
-    return V.with_(*V.tx_ctes(), ("r0", V.ranges("nation")), ("r", """
-SELECT lower_bound_ip_address AS lo, upper_bound_ip_address AS up, country FROM r0
-QUALIFY row_number() OVER (PARTITION BY lower_bound_ip_address
-                           ORDER BY upper_bound_ip_address DESC, country DESC) = 1"""), ("txc", """
-SELECT tx.*, CASE WHEN tx.ip_int <= r.up THEN r.country ELSE 'Unknown' END AS country
-FROM tx ASOF LEFT JOIN r ON tx.ip_int >= r.lo"""))
+def country_ctes(src: str = "tx", name: str = "txc"):
+    """CTEs adding the nation-range country to view ``src`` as view ``name``."""
+    return [("r0", V.ranges("nation")), ("r", V.RANGES_DEDUP), (name, f"""
+SELECT s.*, CASE WHEN s.ip_int <= r.up THEN r.country ELSE 'Unknown' END AS country
+FROM {src} s ASOF LEFT JOIN r ON s.ip_int >= r.lo""")]
 
 
-COUNTRY_CTE = _country_cte()
+COUNTRY_CTE = V.with_(*V.tx_ctes(), *country_ctes())
 
 
 def tx_with_country(spark, sf):
