@@ -28,5 +28,6 @@ def load_all():
     # Import for the registration side effect.
     from kestrel.plans import (catalog_geo, catalog_clean, catalog_features,  # noqa: F401
                                catalog_prep, catalog_profile, catalog_metrics,
-                               catalog_rules, catalog_models, catalog_balance)
+                               catalog_rules, catalog_models, catalog_balance,
+                               catalog_streaming)
     return QUERIES, ORACLES
