@@ -72,9 +72,19 @@ def kth_smallest(x: DataFrame, rank: int, n: int, small: int = SMALL,
         m = mid
 
 
-def exact_quantiles(df: DataFrame, col, probs, small: int = SMALL) -> list:
-    """Linearly interpolated quantiles (pandas / numpy default) of one column."""
+def exact_quantiles(df: DataFrame, col, probs, small: int = SMALL,
+                    n_upper: int | None = None) -> list:
+    """Linearly interpolated quantiles (pandas / numpy default) of one column.
+
+    ``n_upper``: a known upper bound on the number of rows (e.g. the table's
+    row count); when it is within ``small`` the count pass is skipped and one
+    exact ``percentile`` aggregate answers directly.
+    """
     x = _clean(df, col)
+    if n_upper is not None and n_upper <= small:
+        row = x.agg(*[F.percentile("x", float(p)).alias(f"q{i}")
+                      for i, p in enumerate(probs)]).first()
+        return [row[f"q{i}"] for i in range(len(probs))]
     n = x.count()
     if n == 0:
         return [None] * len(probs)
@@ -91,8 +101,8 @@ def exact_quantiles(df: DataFrame, col, probs, small: int = SMALL) -> list:
     return [_interpolate(vals, n, p) for p in probs]
 
 
-def exact_median(df: DataFrame, col, small: int = SMALL):
-    return exact_quantiles(df, col, [0.5], small)[0]
+def exact_median(df: DataFrame, col, small: int = SMALL, n_upper: int | None = None):
+    return exact_quantiles(df, col, [0.5], small, n_upper)[0]
 
 
 def column_quantiles(df: DataFrame, cols, probs, small: int = SMALL) -> dict:

@@ -37,14 +37,15 @@ def add_time_parts(df: DataFrame, time_col: str = "purchase_time") -> DataFrame:
 # E2 ---------------------------------------------------------------------------
 def add_time_since_signup(df: DataFrame, signup_col: str = "signup_time",
                           purchase_col: str = "purchase_time",
-                          out_col: str = "time_since_signup_hours") -> DataFrame:
+                          out_col: str = "time_since_signup_hours",
+                          n_upper: int | None = None) -> DataFrame:
     """Hours from signup to purchase; a negative duration is a data error and,
     like a missing one, is replaced by the median of the valid durations."""
     if signup_col not in df.columns or purchase_col not in df.columns:
         return df
     h = hours_between(_ts(df, purchase_col), _ts(df, signup_col))
     out = df.withColumn(out_col, F.when(h >= 0, h))
-    med = exact_median(out, out_col)
+    med = exact_median(out, out_col, n_upper=n_upper)
     if med is None:
         return out
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(float(med))))
@@ -70,9 +71,9 @@ def add_amount_log(df: DataFrame, amount_col: str = "purchase_value",
     return df.withColumn(out_col, F.log1p(F.col(amount_col)))
 
 
-def clip_ratio(df: DataFrame, ratio_col: str) -> DataFrame:
+def clip_ratio(df: DataFrame, ratio_col: str, n_upper: int | None = None) -> DataFrame:
     """Cap a ratio at its 99th percentile (NULL stays NULL), then NULL -> 1."""
-    p99 = exact_quantiles(df, ratio_col, [0.99])[0]
+    p99 = exact_quantiles(df, ratio_col, [0.99], n_upper=n_upper)[0]
     r = F.col(ratio_col)
     if p99 is not None:
         r = F.when(r > F.lit(float(p99)), F.lit(float(p99))).otherwise(r)
@@ -181,20 +182,37 @@ ENTITIES = ("user_id", "device_id", "ip_address")
 
 def engineer_ecommerce_features(df: DataFrame, ranges: DataFrame | None = None,
                                 ip_col: str = "ip_address", entities=None,
-                                windows=DEFAULT_WINDOWS) -> DataFrame:
+                                windows=DEFAULT_WINDOWS, checkpoint: bool = True) -> DataFrame:
     """The e-commerce chain: country -> time -> frequency -> amount -> windows.
 
-    The user-level statistics (count, mean amount, N-day windows) share one
+    The row-level part (country join, time parts) is materialised once with a
+    reliable checkpoint when ``checkpoint`` is set, so the statistics passes
+    (median duration, newest time, p99 ratio) and the three entity
+    aggregates read it instead of recomputing the joins. The user-level
+    statistics (count, mean amount, N-day windows) share one
     ``groupBy(user_id)`` and one join; device and address windows add one
     group-by and one join each.
     """
     from kestrel.operators.geo import map_ips_to_countries
+    from kestrel.session import cut_lineage
     entities = list(entities or [e if e != "ip_address" else ip_col for e in ENTITIES])
-    out = map_ips_to_countries(df, ranges, ip_col=ip_col)
-    out = add_time_parts(out)
-    out = add_time_since_signup(out)
-    max_us = (max_epoch_micros(out, "purchase_time")
-              if "purchase_time" in out.columns else None)
+    out = add_time_parts(map_ips_to_countries(df, ranges, ip_col=ip_col))
+    has_times = "purchase_time" in out.columns and "signup_time" in out.columns
+    if has_times:
+        h = hours_between(_ts(out, "purchase_time"), _ts(out, "signup_time"))
+        out = out.withColumn("time_since_signup_hours", F.when(h >= 0, h))
+    if checkpoint:
+        out = cut_lineage(out)
+    n_rows, max_us = None, None
+    if "purchase_time" in out.columns:
+        st = out.agg(F.count("*").alias("n"),
+                     F.max(epoch_micros(_ts(out, "purchase_time"))).alias("m")).first()
+        n_rows, max_us = st["n"], st["m"]
+    if has_times:
+        med = exact_median(out, "time_since_signup_hours", n_upper=n_rows)
+        if med is not None:
+            out = out.withColumn("time_since_signup_hours",
+                                 F.coalesce("time_since_signup_hours", F.lit(float(med))))
     if "user_id" in out.columns and "purchase_value" in out.columns:
         t = epoch_micros(_ts(out, "purchase_time")) if max_us is not None else None
         aggs = [F.count("*").alias("user_transaction_count"),
@@ -209,7 +227,7 @@ def engineer_ecommerce_features(df: DataFrame, ranges: DataFrame | None = None,
         out = out.withColumn("transaction_amount_per_user_avg",
                              F.try_divide(F.col("purchase_value"),
                                           F.col("__user_avg") + F.lit(1e-6))).drop("__user_avg")
-        out = clip_ratio(out, "transaction_amount_per_user_avg")
+        out = clip_ratio(out, "transaction_amount_per_user_avg", n_upper=n_rows)
         if "user_id" in entities and t is not None:
             fills = {}
             for n in window_feature_names("user_id", windows):
