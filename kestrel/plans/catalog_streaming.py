@@ -18,9 +18,7 @@ COEF = {"purchase_value": 0.01, "age": -0.02, "time_since_signup_hours": -0.001}
 
 
 def _as_json_files(df, path, n=4):
-    out = df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-                          for c in ("signup_time", "purchase_time")})
-    out.repartitionByRange(n, "purchase_time").write.mode("overwrite").json(path)
+    SS.write_in_time_order(df, path, n)
 
 
 @query("stream_scoring_ecommerce")

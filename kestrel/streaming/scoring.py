@@ -244,6 +244,25 @@ def start_entity_refresh(spark: SparkSession, source_dir: str, history_dir: str,
     return w.start()
 
 
+def write_in_time_order(df: DataFrame, path: str, n: int = 4,
+                        time_col: str = "purchase_time") -> None:
+    """Write rows as JSON files in ``n`` time slices, one append per slice,
+    so a file stream sees them in time order (files are taken by modification
+    time). Cut points come from ``percentile_approx`` (n - 1 scalars)."""
+    t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    cuts = df.agg(F.percentile_approx(t, [i / n for i in range(1, n)], 10_000)).first()[0]
+    bounds = [None] + sorted(set(cuts)) + [None]
+    out = df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                          for c in ("signup_time", "purchase_time") if c in df.columns})
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t > F.lit(lo))
+        if hi is not None:
+            cond = cond & (t <= F.lit(hi))
+        out.where(cond).coalesce(1).write.mode("append").json(path)
+
+
 def linear_scorer(coef: dict, intercept: float, means: dict | None = None):
     """A scorer for a linear model with known weights."""
     from kestrel.operators.metrics import linear_margin

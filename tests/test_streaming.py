@@ -14,10 +14,8 @@ COEF = {"purchase_value": 0.01, "age": -0.02, "time_since_signup_hours": -0.001}
 
 
 def _json_files(df, path, n=3):
-    """Rows as JSON text in ``n`` files in time order."""
-    out = df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-                          for c in ("signup_time", "purchase_time")})
-    out.repartitionByRange(n, "purchase_time").write.mode("overwrite").json(path)
+    """Rows as JSON text in ``n`` files, written in time order."""
+    SS.write_in_time_order(df, path, n)
 
 
 def test_ecommerce_stream_equals_batch(spark, tmp_dir):
