@@ -37,6 +37,15 @@ def _interpolate(vals: dict, n: int, p: float) -> float:
     return a + (b - a) * (pos - lo)
 
 
+def disc_expr(col: str, rank: int, n: int) -> Column:
+    """Exact value at 0-based ``rank`` among ``n`` non-null values of ``col``:
+    ``percentile_disc`` at (rank + 1/2) / n, which is half a rank away from
+    both neighbours, so float rounding cannot move it. One aggregate pass
+    holding the distinct values of a bounded set."""
+    p = (rank + 0.5) / n
+    return F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{col}`)")
+
+
 def kth_smallest(x: DataFrame, rank: int, n: int, small: int = SMALL,
                  accuracy: int = ACCURACY):
     """Value at 0-based ``rank`` of column ``x`` (non-null doubles, ``n`` rows)."""
@@ -45,8 +54,7 @@ def kth_smallest(x: DataFrame, rank: int, n: int, small: int = SMALL,
     while True:
         r = rank - below
         if m <= small:
-            # Bounded: Spark sorts at most ``small`` rows (top-k heap per task).
-            return cur.orderBy("x").offset(r).limit(1).first()["x"]
+            return cur.agg(disc_expr("x", r, m).alias("v")).first()["v"]
         qa = max(0.0, r / m - margin)
         qb = min(1.0, (r + 1) / m + margin)
         a, b = cur.agg(F.percentile_approx("x", [qa, qb], accuracy).alias("q")).first()["q"]
@@ -105,10 +113,15 @@ def exact_median(df: DataFrame, col, small: int = SMALL, n_upper: int | None = N
     return exact_quantiles(df, col, [0.5], small, n_upper)[0]
 
 
-def column_quantiles(df: DataFrame, cols, probs, small: int = SMALL) -> dict:
-    """Quantiles of several columns; bounded columns share one aggregate pass."""
-    counts = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), 1)).alias(c)
-                      for c in cols]).first().asDict()
+def column_quantiles(df: DataFrame, cols, probs, small: int = SMALL,
+                     n_upper: int | None = None) -> dict:
+    """Quantiles of several columns; bounded columns share one aggregate pass
+    (no count pass when ``n_upper``, a bound on the row count, is small)."""
+    if n_upper is not None and n_upper <= small:
+        counts = {c: n_upper for c in cols}
+    else:
+        counts = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), 1)).alias(c)
+                          for c in cols]).first().asDict()
     out = {}
     bounded = [c for c in cols if counts[c] <= small]
     if bounded:

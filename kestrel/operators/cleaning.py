@@ -137,7 +137,7 @@ def impute_datetimes(df: DataFrame, columns=SC.ECOM_DATETIME,
             if report is not None:
                 report.add("datetime_drop", c, nulls, "drop")
         else:
-            med = exact_median(df, epoch_micros(F.col(c)))
+            med = exact_median(df, epoch_micros(F.col(c)), n_upper=n)
             if med is None:
                 continue
             us = math.floor(med)
@@ -173,7 +173,7 @@ def impute_numeric(df: DataFrame, protect=SC.PROTECTED, skew_limit: float = SKEW
         plan[c] = ("median" if skewed else "mean", nulls, st[f"m{i}"])
     meds = [c for c, p in plan.items() if p[0] == "median"]
     if meds:
-        q = column_quantiles(df, meds, [0.5])
+        q = column_quantiles(df, meds, [0.5], n_upper=n)
         for c in meds:
             plan[c] = ("median", plan[c][1], q[c][0])
     fills = {}

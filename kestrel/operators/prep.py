@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel import schemas as SC
-from kestrel.functions.stats import SMALL, kth_smallest
+from kestrel.functions.stats import SMALL, disc_expr, kth_smallest
 
 MAX_CATEGORIES = 10_000
 
@@ -41,28 +41,47 @@ def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float =
     prefix = F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint").cast("double")
     keyed = df.withColumns({"__h": h, "__p": prefix})
     sizes = {r[0]: r[1] for r in keyed.groupBy(label_col).count().collect()}
+    want = {c: math.floor(test_size * n + 0.5) for c, n in sizes.items() if c is not None}
+    want = {c: k for c, k in want.items() if k > 0}
+    classes = list(want)
+    thr = {}
+    if classes and all(sizes[c] <= small for c in classes):
+        # All thresholds in one pass: one exact order statistic per class.
+        per = keyed.select(*[F.when(F.col(label_col) == F.lit(c), F.col("__p")).alias(f"__p{i}")
+                             for i, c in enumerate(classes)])
+        row = per.agg(*[disc_expr(f"__p{i}", want[c] - 1, sizes[c]).alias(f"t{i}")
+                        for i, c in enumerate(classes)]).first()
+        thr = {c: row[f"t{i}"] for i, c in enumerate(classes)}
+    else:
+        for c in classes:
+            x = keyed.where(F.col(label_col) == F.lit(c)).select(F.col("__p").alias("x"))
+            thr[c] = kth_smallest(x, want[c] - 1, sizes[c], small)
     test_cond, tied_cond = F.lit(False), F.lit(False)
-    tie_rows = []
-    for c, n in sizes.items():
-        k = math.floor(test_size * n + 0.5)
-        if k == 0 or c is None:
-            continue
+    for c in classes:
         in_c = F.col(label_col) == F.lit(c)
-        t = kth_smallest(keyed.where(in_c).select(F.col("__p").alias("x")), k - 1, n, small)
-        below = keyed.where(in_c & (F.col("__p") < t)).count()
-        test_cond = test_cond | (in_c & (F.col("__p") < F.lit(t)))
-        tied = in_c & (F.col("__p") == F.lit(t))
-        tied_cond = tied_cond | tied
-        # Rows sharing the 52-bit prefix: almost always one row. Group identical
-        # rows, order groups by the full hash, and give each group its share.
-        need = k - below
-        groups = (keyed.where(tied).groupBy(*df.columns, "__h").agg(F.count("*").alias("__n"))
-                  .orderBy("__h", *df.columns).collect())
-        for g in groups:
-            take = min(need, g["__n"])
-            need -= take
-            vals = tuple(g[col] for col in df.columns)
-            tie_rows += [vals + ("test",)] * take + [vals + ("train",)] * (g["__n"] - take)
+        test_cond = test_cond | (in_c & (F.col("__p") < F.lit(thr[c])))
+        tied_cond = tied_cond | (in_c & (F.col("__p") == F.lit(thr[c])))
+    # Rows sharing a class's threshold prefix: almost always exactly one. Group
+    # identical rows, order groups by the full hash, give each its share.
+    groups = (keyed.where(tied_cond).groupBy(*df.columns, "__h").agg(F.count("*").alias("__n"))
+              .orderBy("__h", *df.columns).collect())
+    tied_n = {}
+    for g in groups:
+        tied_n[g[label_col]] = tied_n.get(g[label_col], 0) + g["__n"]
+    below = {c: want[c] - 1 for c in classes if tied_n.get(c, 0) == 1}
+    rest = [c for c in classes if c not in below]
+    if rest:
+        cnt = keyed.where(test_cond).groupBy(label_col).count().collect()
+        got = {r[0]: r[1] for r in cnt}
+        below.update({c: got.get(c, 0) for c in rest})
+    need = {c: want[c] - below[c] for c in classes}
+    tie_rows = []
+    for g in groups:
+        c = g[label_col]
+        take = min(need[c], g["__n"])
+        need[c] -= take
+        vals = tuple(g[col] for col in df.columns)
+        tie_rows += [vals + ("test",)] * take + [vals + ("train",)] * (g["__n"] - take)
     out = (keyed.where(~tied_cond)
            .select(*df.columns, F.when(test_cond, "test").otherwise("train").alias(out_col)))
     if tie_rows:
