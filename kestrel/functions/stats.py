@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,38 +47,104 @@ def disc_expr(col: str, rank: int, n: int) -> Column:
     return F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{col}`)")
 
 
-def kth_smallest(x: DataFrame, rank: int, n: int, small: int = SMALL,
-                 accuracy: int = ACCURACY):
-    """Value at 0-based ``rank`` of column ``x`` (non-null doubles, ``n`` rows)."""
-    cur, below, m = x, 0, n
-    margin = 3.0 / accuracy
-    while True:
-        r = rank - below
-        if m <= small:
-            return cur.agg(disc_expr("x", r, m).alias("v")).first()["v"]
-        qa = max(0.0, r / m - margin)
-        qb = min(1.0, (r + 1) / m + margin)
-        a, b = cur.agg(F.percentile_approx("x", [qa, qb], accuracy).alias("q")).first()["q"]
-        st = cur.agg(F.count_if(F.col("x") < a).alias("lt"),
-                     F.count_if(F.col("x").between(a, b)).alias("mid")).first()
-        lt, mid = st["lt"], st["mid"]
-        if not (lt <= r < lt + mid):
-            margin *= 4          # approximate bracket missed: widen and retry
-            continue
-        if a == b:
-            return a
-        if mid > 0.75 * m:
-            # No progress: a few heavy values fill the bracket. Walk the
-            # distinct values inside it instead (bounded by ``small``).
-            d = cur.where(F.col("x").between(a, b)).groupBy("x").agg(F.count("*").alias("c"))
+DIRECT_MAX = 100_000      # values one exact percentile pass may sort quickly
+
+
+def order_stats(df: DataFrame, specs, direct: int = DIRECT_MAX, small: int = SMALL,
+                accuracy: int = ACCURACY) -> list:
+    """Exact order statistics, several at once.
+
+    ``specs``: list of ``(x, cond, rank, n)``: the value at 0-based ``rank``
+    among the ``n`` non-null values of Column ``x`` on rows where ``cond``
+    (a Column or None) holds. Each round is one pass for all open ranks:
+    while a rank's candidate set is larger than ``direct`` it is bracketed with
+    ``percentile_approx`` (rank error at most m / accuracy) and the bracket is
+    verified with counts (a second pass); once at most ``direct`` candidates
+    remain, one ``percentile_disc`` pass over them gives the exact value.
+    """
+    cols = []
+    for i, (x, cond, _, _) in enumerate(specs):
+        v = (F.col(x) if isinstance(x, str) else x).cast("double")
+        v = F.when(~F.isnan(v), v)
+        cols.append((v if cond is None else F.when(cond, v)).alias(f"v{i}"))
+    base = df.select(*cols)
+    st = [{"lo": None, "hi": None, "below": 0, "m": n, "r": r, "margin": 3.0 / accuracy,
+           "done": n == 0, "val": None} for (_, _, r, n) in specs]
+    # Several passes follow when a rank needs bracketing: keep just the value
+    # columns (one double per spec) in memory / disk for the duration of this
+    # call instead of recomputing the input's lineage each pass.
+    cached = any(s["m"] > direct for s in st)
+    if cached:
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _order_stats_loop(base, st, direct, small, accuracy)
+    finally:
+        if cached:
+            base.unpersist()
+
+
+def _order_stats_loop(base: DataFrame, st: list, direct: int, small: int, accuracy: int) -> list:
+    def inside(i):
+        c = F.col(f"v{i}").isNotNull()
+        if st[i]["lo"] is not None:
+            c = c & (F.col(f"v{i}") >= F.lit(st[i]["lo"])) & (F.col(f"v{i}") <= F.lit(st[i]["hi"]))
+        return c
+
+    while not all(s["done"] for s in st):
+        for i, s in enumerate(st):
+            if s["done"] or not s.get("stuck") or s["m"] <= direct:
+                continue
+            # A few heavy values fill the bracket so it stopped shrinking:
+            # walk the distinct values inside it when there are few enough.
+            d = (base.where(inside(i)).groupBy(F.col(f"v{i}").alias("x"))
+                 .agg(F.count("*").alias("c")))
             if d.count() <= small:
                 w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
                 hit = (d.withColumn("cum", F.sum("c").over(w))
-                       .where(F.col("cum") > r - lt).orderBy("x").limit(1).first())
-                return hit["x"]
-        cur = cur.where(F.col("x").between(a, b))
-        below += lt
-        m = mid
+                       .where(F.col("cum") > s["r"] - s["below"]).orderBy("x").limit(1).first())
+                s["val"], s["done"] = hit["x"], True
+        ready = [i for i, s in enumerate(st) if not s["done"] and s["m"] <= direct]
+        if ready:
+            sel = base.select(*[F.when(inside(i), F.col(f"v{i}")).alias(f"__w{i}") for i in ready])
+            row = sel.agg(*[disc_expr(f"__w{i}", st[i]["r"] - st[i]["below"], st[i]["m"]).alias(f"d{i}")
+                            for i in ready]).first()
+            for i in ready:
+                st[i]["val"], st[i]["done"] = row[f"d{i}"], True
+            continue
+        act = [i for i, s in enumerate(st) if not s["done"]]
+        if not act:
+            break
+        qs = {}
+        for i in act:
+            s = st[i]
+            r = s["r"] - s["below"]
+            qs[i] = [max(0.0, r / s["m"] - s["margin"]), min(1.0, (r + 1) / s["m"] + s["margin"])]
+        row = base.agg(*[F.percentile_approx(F.when(inside(i), F.col(f"v{i}")), qs[i], accuracy)
+                         .alias(f"q{i}") for i in act]).first()
+        ab = {i: row[f"q{i}"] for i in act}
+        row = base.agg(*[c for i in act for c in (
+            F.count_if(inside(i) & (F.col(f"v{i}") < F.lit(ab[i][0]))).alias(f"lt{i}"),
+            F.count_if(inside(i) & F.col(f"v{i}").between(ab[i][0], ab[i][1])).alias(f"mid{i}"))]).first()
+        for i in act:
+            s = st[i]
+            a, b = ab[i]
+            lt, mid = row[f"lt{i}"], row[f"mid{i}"]
+            r = s["r"] - s["below"]
+            if not (lt <= r < lt + mid):
+                s["margin"] *= 4          # the approximate bracket missed: widen
+                continue
+            if a == b:
+                s["val"], s["done"] = a, True
+                continue
+            s["stuck"] = mid > 0.75 * s["m"]     # heavy values fill the bracket
+            s["lo"], s["hi"], s["below"], s["m"] = a, b, s["below"] + lt, mid
+    return [s["val"] for s in st]
+
+
+def kth_smallest(x: DataFrame, rank: int, n: int, small: int = SMALL,
+                 accuracy: int = ACCURACY, direct: int = DIRECT_MAX):
+    """Value at 0-based ``rank`` of column ``x`` (non-null doubles, ``n`` rows)."""
+    return order_stats(x, [("x", None, rank, n)], min(direct, small), small, accuracy)[0]
 
 
 def exact_quantiles(df: DataFrame, col, probs, small: int = SMALL,
@@ -89,23 +156,20 @@ def exact_quantiles(df: DataFrame, col, probs, small: int = SMALL,
     exact ``percentile`` aggregate answers directly.
     """
     x = _clean(df, col)
-    if n_upper is not None and n_upper <= small:
+    direct = min(DIRECT_MAX, small)
+    if n_upper is not None and n_upper <= direct:
         row = x.agg(*[F.percentile("x", float(p)).alias(f"q{i}")
                       for i, p in enumerate(probs)]).first()
         return [row[f"q{i}"] for i in range(len(probs))]
     n = x.count()
     if n == 0:
         return [None] * len(probs)
-    if n <= small:
+    if n <= direct:
         row = x.agg(*[F.percentile("x", float(p)).alias(f"q{i}")
                       for i, p in enumerate(probs)]).first()
         return [row[f"q{i}"] for i in range(len(probs))]
     ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    x = x.persist()
-    try:
-        vals = {r: kth_smallest(x, r, n, small) for r in ranks}
-    finally:
-        x.unpersist()
+    vals = dict(zip(ranks, order_stats(x, [("x", None, r, n) for r in ranks], direct, small)))
     return [_interpolate(vals, n, p) for p in probs]
 
 
@@ -117,6 +181,7 @@ def column_quantiles(df: DataFrame, cols, probs, small: int = SMALL,
                      n_upper: int | None = None) -> dict:
     """Quantiles of several columns; bounded columns share one aggregate pass
     (no count pass when ``n_upper``, a bound on the row count, is small)."""
+    small = min(small, DIRECT_MAX)
     if n_upper is not None and n_upper <= small:
         counts = {c: n_upper for c in cols}
     else:
@@ -142,7 +207,7 @@ def grouped_quantiles(df: DataFrame, group_col: str, col: str, probs,
     sizes = {r[0]: r[1] for r in df.where(F.col(col).isNotNull())
              .groupBy(group_col).count().collect()}
     out = {}
-    if sizes and max(sizes.values()) <= small:
+    if sizes and max(sizes.values()) <= min(small, DIRECT_MAX):
         rows = (df.groupBy(group_col)
                 .agg(*[F.percentile(F.col(col).cast("double"), float(p)).alias(f"q{i}")
                        for i, p in enumerate(probs)]).collect())

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel import schemas as SC
-from kestrel.functions.stats import SMALL, disc_expr, kth_smallest
+from kestrel.functions.stats import SMALL, order_stats
 
 MAX_CATEGORIES = 10_000
 
@@ -33,9 +33,10 @@ def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float =
     smallest md5('<seed>:<key>') are 'test', the rest 'train'.
 
     No sort and no per-class window: the threshold hash per class is an exact
-    order statistic found by bracketing (``kth_smallest``) on the first 52
-    bits of the hash (exact in a double); rows tied with it on those bits are
-    ordered by the full hash, and fully identical rows are split by count.
+    order statistic (``order_stats``, all classes in the same passes) on the
+    first 52 bits of the hash (exact in a double); rows tied with it on those
+    bits are ordered by the full hash, and fully identical rows are split by
+    count.
     """
     h = split_hash(key_cols, seed)
     prefix = F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint").cast("double")
@@ -44,44 +45,46 @@ def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float =
     want = {c: math.floor(test_size * n + 0.5) for c, n in sizes.items() if c is not None}
     want = {c: k for c, k in want.items() if k > 0}
     classes = list(want)
-    thr = {}
-    if classes and all(sizes[c] <= small for c in classes):
-        # All thresholds in one pass: one exact order statistic per class.
-        per = keyed.select(*[F.when(F.col(label_col) == F.lit(c), F.col("__p")).alias(f"__p{i}")
-                             for i, c in enumerate(classes)])
-        row = per.agg(*[disc_expr(f"__p{i}", want[c] - 1, sizes[c]).alias(f"t{i}")
-                        for i, c in enumerate(classes)]).first()
-        thr = {c: row[f"t{i}"] for i, c in enumerate(classes)}
-    else:
-        for c in classes:
-            x = keyed.where(F.col(label_col) == F.lit(c)).select(F.col("__p").alias("x"))
-            thr[c] = kth_smallest(x, want[c] - 1, sizes[c], small)
+    # All class thresholds share each pass of the exact order statistics. The
+    # value one rank past the cut is found in the same passes: when it is
+    # larger, "prefix <= threshold" selects exactly the wanted rows and no
+    # tie handling is needed (the common case).
+    specs, idx = [], {}
+    for c in classes:
+        in_c = F.col(label_col) == F.lit(c)
+        idx[c] = len(specs)
+        specs.append((F.col("__p"), in_c, want[c] - 1, sizes[c]))
+        if want[c] < sizes[c]:
+            specs.append((F.col("__p"), in_c, want[c], sizes[c]))
+    vals = order_stats(keyed, specs, small=small) if specs else []
+    thr, clean = {}, {}
+    for c in classes:
+        j = idx[c]
+        thr[c] = vals[j]
+        clean[c] = want[c] == sizes[c] or vals[j + 1] > vals[j]
     test_cond, tied_cond = F.lit(False), F.lit(False)
     for c in classes:
         in_c = F.col(label_col) == F.lit(c)
-        test_cond = test_cond | (in_c & (F.col("__p") < F.lit(thr[c])))
-        tied_cond = tied_cond | (in_c & (F.col("__p") == F.lit(thr[c])))
-    # Rows sharing a class's threshold prefix: almost always exactly one. Group
-    # identical rows, order groups by the full hash, give each its share.
-    groups = (keyed.where(tied_cond).groupBy(*df.columns, "__h").agg(F.count("*").alias("__n"))
-              .orderBy("__h", *df.columns).collect())
-    tied_n = {}
-    for g in groups:
-        tied_n[g[label_col]] = tied_n.get(g[label_col], 0) + g["__n"]
-    below = {c: want[c] - 1 for c in classes if tied_n.get(c, 0) == 1}
-    rest = [c for c in classes if c not in below]
-    if rest:
-        cnt = keyed.where(test_cond).groupBy(label_col).count().collect()
-        got = {r[0]: r[1] for r in cnt}
-        below.update({c: got.get(c, 0) for c in rest})
-    need = {c: want[c] - below[c] for c in classes}
+        if clean[c]:
+            test_cond = test_cond | (in_c & (F.col("__p") <= F.lit(thr[c])))
+        else:
+            test_cond = test_cond | (in_c & (F.col("__p") < F.lit(thr[c])))
+            tied_cond = tied_cond | (in_c & (F.col("__p") == F.lit(thr[c])))
     tie_rows = []
-    for g in groups:
-        c = g[label_col]
-        take = min(need[c], g["__n"])
-        need[c] -= take
-        vals = tuple(g[col] for col in df.columns)
-        tie_rows += [vals + ("test",)] * take + [vals + ("train",)] * (g["__n"] - take)
+    dirty = [c for c in classes if not clean[c]]
+    if dirty:
+        # Rows sharing the threshold's 52-bit prefix across the cut: group
+        # identical rows, order groups by the full hash, give each its share.
+        groups = (keyed.where(tied_cond).groupBy(*df.columns, "__h")
+                  .agg(F.count("*").alias("__n")).orderBy("__h", *df.columns).collect())
+        cnt = {r[0]: r[1] for r in keyed.where(test_cond).groupBy(label_col).count().collect()}
+        need = {c: want[c] - cnt.get(c, 0) for c in dirty}
+        for g in groups:
+            c = g[label_col]
+            take = min(need[c], g["__n"])
+            need[c] -= take
+            vals_g = tuple(g[col] for col in df.columns)
+            tie_rows += [vals_g + ("test",)] * take + [vals_g + ("train",)] * (g["__n"] - take)
     out = (keyed.where(~tied_cond)
            .select(*df.columns, F.when(test_cond, "test").otherwise("train").alias(out_col)))
     if tie_rows:
