@@ -113,6 +113,8 @@ class ScalerModel:
 def fit_standard_scaler(train: DataFrame, cols) -> ScalerModel:
     """mean and population deviation per column (scikit-learn's
     StandardScaler); a zero deviation is taken as 1. One aggregate pass."""
+    if not cols:
+        return ScalerModel({}, {})
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")

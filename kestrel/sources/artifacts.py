@@ -17,7 +17,7 @@ from kestrel.operators.prep import ColumnTransformerModel, OneHotModel, ScalerMo
 
 
 def save_json(spark: SparkSession, obj: dict, path: str) -> None:
-    spark.createDataFrame([(json.dumps(obj, sort_keys=True),)], "doc string") \
+    spark.createDataFrame([(json.dumps(obj),)], "doc string") \
         .coalesce(1).write.mode("overwrite").text(path)
 
 
@@ -27,14 +27,17 @@ def load_json(spark: SparkSession, path: str) -> dict:
 
 def save_preprocessor(spark: SparkSession, model: ColumnTransformerModel, path: str,
                       threshold: float | None = None) -> None:
-    save_json(spark, {"means": model.scaler.means, "stds": model.scaler.stds,
-                      "categories": model.encoder.categories,
+    # Ordered lists: the feature order is part of the model's contract.
+    save_json(spark, {"scaler": [[c, model.scaler.means[c], model.scaler.stds[c]]
+                                 for c in model.scaler.means],
+                      "encoder": [[c, vs] for c, vs in model.encoder.categories.items()],
                       "feature_names": model.feature_names, "threshold": threshold}, path)
 
 
 def load_preprocessor(spark: SparkSession, path: str) -> tuple[ColumnTransformerModel, dict]:
     d = load_json(spark, path)
-    m = ColumnTransformerModel(ScalerModel(d["means"], d["stds"]), OneHotModel(d["categories"]))
+    scaler = ScalerModel({c: m for c, m, _ in d["scaler"]}, {c: s for c, _, s in d["scaler"]})
+    m = ColumnTransformerModel(scaler, OneHotModel({c: vs for c, vs in d["encoder"]}))
     return m, d
 
 
