@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kestrel.operators import geo
+from kestrel.plans import oracle_views as V
 from kestrel.plans.catalog import query
-from kestrel.plans.finish import finish
+from kestrel.plans.finish import final_sql, finish
 from kestrel.session import scratch_path
 from kestrel.sources import testviews as TV
 from kestrel.streaming import scoring as SS
@@ -21,7 +22,22 @@ def _as_json_files(df, path, n=4):
     SS.write_in_time_order(df, path, n)
 
 
-@query("stream_scoring_ecommerce")
+def _scoring_sql():
+    from kestrel.plans.catalog_features import features_sql
+    from kestrel.plans.catalog_rules import _decision_sql
+    p = " + ".join(f"{w} * COALESCE({c}, 0.0)" for c, w in COEF.items())
+    body = features_sql().rstrip() + ",\n" + ",\n".join(f"{n} AS ({b})" for n, b in [
+        ("cc", V.CODES),
+        ("sc", f"""SELECT feat.* EXCLUDE (country), cc.code AS country,
+  1.0 / (1.0 + exp(-(-1.0 + {p}))) AS fraud_probability,
+  time_since_signup_hours AS time_since_signup, CAST(NULL AS BIGINT) AS txn_velocity
+FROM feat LEFT JOIN cc ON feat.country = cc.country""")])
+    return final_sql(body + f"""
+SELECT event_id, user_id, class, country, fraud_probability, {_decision_sql()} FROM sc""",
+                     doubles=["fraud_probability"], ints=["class"])
+
+
+@query("stream_scoring_ecommerce", _scoring_sql())
 def q_stream_scoring_ecommerce(spark, sf):
     tx = TV.tx(spark, sf)
     ranges = geo.clean_ranges(TV.ip_ranges(spark, sf))
@@ -35,7 +51,15 @@ def q_stream_scoring_ecommerce(spark, sf):
     return finish(spark.read.parquet(f"{base}/out").drop("batch_id"))
 
 
-@query("stream_velocity")
+_VELOCITY_SQL = V.with_(*V.tx_ctes(), ("w", """
+SELECT user_id, time_bucket(INTERVAL 5 MINUTE, purchase_time) - r.range * INTERVAL 5 MINUTE AS ws
+FROM tx, range(0, 12) r""")) + """
+SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, user_id, count(*) AS n FROM w
+WHERE ws + INTERVAL 1 HOUR <= (SELECT max(purchase_time) FROM tx) - INTERVAL 10 MINUTE
+GROUP BY ws, user_id HAVING count(*) > 1"""
+
+
+@query("stream_velocity", final_sql(_VELOCITY_SQL, ints=["n"], ts=["window_start", "window_end"]))
 def q_stream_velocity(spark, sf):
     tx = TV.tx(spark, sf)
     base = scratch_path(spark, "stream-velocity")

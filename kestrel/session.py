@@ -15,6 +15,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Shuffle partitions are sized by AQE towards this many bytes each, so the
+    # configured count is an upper bound (set it to data size / 128 MB).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Checkpoint files of lineage cuts are removed once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
