@@ -273,7 +273,7 @@ def linear_scorer(coef: dict, intercept: float, means: dict | None = None):
     return fn
 
 
-def pipeline_scorer(model, keep_cols=None):
+def model_scorer(model):
     """A scorer for a fitted Spark ML PipelineModel (assembler + classifier)."""
     from kestrel.plans.models import positive_probability
 

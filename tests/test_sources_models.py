@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kestrel import schemas as SC
 from kestrel.operators import prep as PR
 from kestrel.plans import models as ML
-from kestrel.plans import pipelines as PL
+from kestrel.plans import jobs as PL
 from kestrel.sources import artifacts as AR
 from kestrel.sources import files as FS
 from kestrel.sources import testviews as TV
