@@ -22,6 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The exact linear forms live with the metrics; re-exported here as the H9/H10 entry points.
 from kestrel.operators.metrics import global_importance, linear_contributions  # noqa: F401
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from kestrel.operators import features as FE
 from kestrel.operators import geo
 from kestrel.plans import oracle_views as V
@@ -194,5 +192,3 @@ def ecommerce_features(spark, sf):
 def q_features_ecommerce(spark, sf):
     return finish(ecommerce_features(spark, sf))
 
-
-__all__ = ["ecommerce_features", "features_sql", "F"]

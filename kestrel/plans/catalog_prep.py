@@ -8,7 +8,7 @@ from kestrel.operators import prep as PR
 from kestrel.plans import oracle_views as V
 from kestrel.plans.catalog import query
 from kestrel.plans.catalog_clean import BANK_COLS, BANK_KEYS
-from kestrel.plans.catalog_features import (FEATURE_TS, ecommerce_features, features_sql)
+from kestrel.plans.catalog_features import ecommerce_features, features_sql
 from kestrel.plans.finish import final_sql, finish
 from kestrel.sources import testviews as TV
 
@@ -157,5 +157,3 @@ SELECT class, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM tx G
 def q_class_share(spark, sf):
     return finish(PR.class_shares(TV.tx(spark, sf), "class"))
 
-
-__all__ = ["FEATURE_TS", "ecommerce_preprocessed", "bank_preprocessed"]

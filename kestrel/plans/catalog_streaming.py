@@ -4,8 +4,6 @@ the query returns what the sink received. Rows-only checks."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from kestrel.operators import geo
 from kestrel.plans import oracle_views as V
 from kestrel.plans.catalog import query
