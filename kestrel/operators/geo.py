@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.functions.casts import ip_to_int
 
@@ -46,8 +47,16 @@ def clean_ranges(ranges: DataFrame) -> DataFrame:
     if not need.issubset(ranges.columns):
         return spark.createDataFrame([], f"{LOWER} bigint, {UPPER} bigint, {COUNTRY} string")
 
+    types = {f.name: f.dataType for f in ranges.schema.fields}
+
     def bound(c):
-        d = F.trim(F.col(c).cast("string")).try_cast("double")
+        t = types[c]
+        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            return F.col(c).cast("bigint")
+        if isinstance(t, T.StringType):
+            d = F.trim(F.col(c)).try_cast("double")
+        else:
+            d = F.col(c).try_cast("double")
         return F.when(d.isNotNull() & ~F.isnan(d) & (d == F.floor(d)), d.try_cast("bigint"))
 
     return (ranges.select(bound(LOWER).alias(LOWER), bound(UPPER).alias(UPPER),
