@@ -116,7 +116,8 @@ def max_epoch_micros(df: DataFrame, time_col: str):
 
 def add_time_window_features(df: DataFrame, time_col: str = "purchase_time",
                              id_col: str = "user_id", amount_col: str = "purchase_value",
-                             windows=DEFAULT_WINDOWS, max_us: int | None = None) -> DataFrame:
+                             windows=DEFAULT_WINDOWS, max_us: int | None = None,
+                             n_entities: int | None = None) -> DataFrame:
     """Per-entity count / sum / mean of the amount over the last N days of the
     data set (anchored at the newest row, threshold inclusive); every row of
     the entity receives its entity's totals; no recent activity -> 0.
@@ -131,9 +132,9 @@ def add_time_window_features(df: DataFrame, time_col: str = "purchase_time",
     if max_us is None:
         return df.withColumns({n: F.lit(0) for n in names})
     t = epoch_micros(_ts(df, time_col))
-    agg = (df.where(F.col(id_col).isNotNull()).groupBy(id_col)
-           .agg(*_window_aggs(t, F.col(amount_col), id_col, max_us, windows)))
-    out = df.join(agg, id_col, "left")
+    aggs = _window_aggs(t, F.col(amount_col), id_col, max_us, windows)
+    agg = df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*aggs)
+    out = df.join(_sized(agg, n_entities, len(aggs)), id_col, "left")
     fills = {}
     for n in names:
         zero = F.lit(0).cast("bigint") if "_count_" in n else F.lit(0.0)
@@ -203,11 +204,17 @@ def engineer_ecommerce_features(df: DataFrame, ranges: DataFrame | None = None,
         out = out.withColumn("time_since_signup_hours", F.when(h >= 0, h))
     if checkpoint:
         out = cut_lineage(out)
-    n_rows, max_us = None, None
+    n_rows, max_us, distinct = None, None, {}
     if "purchase_time" in out.columns:
+        # One pass: row count, newest time, and the approximate number of
+        # distinct entities (sizes the per-entity aggregates before joining).
+        ents = [e for e in entities if e in out.columns]
         st = out.agg(F.count("*").alias("n"),
-                     F.max(epoch_micros(_ts(out, "purchase_time"))).alias("m")).first()
+                     F.max(epoch_micros(_ts(out, "purchase_time"))).alias("m"),
+                     *[F.approx_count_distinct(e, 0.02).alias(f"d{i}") for i, e in enumerate(ents)]
+                     ).first()
         n_rows, max_us = st["n"], st["m"]
+        distinct = {e: st[f"d{i}"] for i, e in enumerate(ents)}
     if has_times:
         med = exact_median(out, "time_since_signup_hours", n_upper=n_rows)
         if med is not None:
@@ -220,7 +227,7 @@ def engineer_ecommerce_features(df: DataFrame, ranges: DataFrame | None = None,
         if "user_id" in entities and t is not None:
             aggs += _window_aggs(t, F.col("purchase_value"), "user_id", max_us, windows)
         user = out.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(*aggs)
-        out = out.join(user, "user_id", "left")
+        out = out.join(_sized(user, distinct.get("user_id"), len(aggs)), "user_id", "left")
         out = out.withColumn("user_transaction_count",
                              F.coalesce("user_transaction_count", F.lit(1).cast("bigint")))
         out = add_amount_log(out)
@@ -243,5 +250,19 @@ def engineer_ecommerce_features(df: DataFrame, ranges: DataFrame | None = None,
     for ent in rest:
         if ent in out.columns:
             out = add_time_window_features(out, "purchase_time", ent, "purchase_value",
-                                           windows, max_us=max_us)
+                                           windows, max_us=max_us,
+                                           n_entities=distinct.get(ent))
     return out
+
+
+BROADCAST_MAX_BYTES = 256 << 20
+
+
+def _sized(agg: DataFrame, n_entities: int | None, n_cols: int) -> DataFrame:
+    """Broadcast a per-entity aggregate when its estimated size (distinct
+    entities, HyperLogLog with 2 % error, times a 1.25 margin, times ~8
+    bytes per column plus the key) fits the budget; the detail rows then
+    are not shuffled at all. Otherwise a shuffle join (AQE splits skew)."""
+    if n_entities is not None and n_entities * 1.25 * (8 * n_cols + 32) <= BROADCAST_MAX_BYTES:
+        return F.broadcast(agg)
+    return agg
