@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -44,13 +46,40 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings kestrel relies on to an existing session."""
+    """Apply the runtime SQL settings kestrel relies on to an existing session
+    and make the package importable by the Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Ship this package to the executors once per application
+    (``addPyFile`` of a zip built from the installed sources), so functions
+    run by Python workers (``mapInPandas``) can import it wherever the job
+    was started from."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="kestrel-pkg-"), "kestrel.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and stream checkpoints.
 
