@@ -219,7 +219,23 @@ def start_velocity_stream(spark: SparkSession, source_dir: str, out_dir: str, li
         .option("path", out_dir) \
         .option("checkpointLocation", checkpoint or scratch_path(spark, "velocity"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
-    return q.start()
+    return _start_with_state_partitions(spark, q)
+
+
+def _start_with_state_partitions(spark: SparkSession, writer) -> StreamingQuery:
+    """The number of state partitions is fixed when a stateful query first
+    starts (taken from ``spark.sql.shuffle.partitions``). On a cluster the
+    session's value is used as is; in local mode it is sized to the cores for
+    the start and the session value is restored right after."""
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        return writer.start()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(sc.defaultParallelism))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 # J4 ----------------------------------------------------------------------------
