@@ -70,26 +70,31 @@ def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float =
         else:
             test_cond = test_cond | (in_c & (F.col("__p") < F.lit(thr[c])))
             tied_cond = tied_cond | (in_c & (F.col("__p") == F.lit(thr[c])))
-    tie_rows = []
+    tied_parts = []
     dirty = [c for c in classes if not clean[c]]
     if dirty:
         # Rows sharing the threshold's 52-bit prefix across the cut: group
-        # identical rows, order groups by the full hash, give each its share.
+        # identical rows (one row per group, with its count), order groups by
+        # the full hash and give each group its share of the cut. Identical
+        # rows are interchangeable, so each group is re-emitted by a
+        # distributed ``range`` of its size - never as a list on the driver,
+        # even when one repeated row holds a third of the data.
         groups = (keyed.where(tied_cond).groupBy(*df.columns, "__h")
                   .agg(F.count("*").alias("__n")).orderBy("__h", *df.columns).collect())
         cnt = {r[0]: r[1] for r in keyed.where(test_cond).groupBy(label_col).count().collect()}
         need = {c: want[c] - cnt.get(c, 0) for c in dirty}
+        spark = df.sparkSession
         for g in groups:
             c = g[label_col]
             take = min(need[c], g["__n"])
             need[c] -= take
-            vals_g = tuple(g[col] for col in df.columns)
-            tie_rows += [vals_g + ("test",)] * take + [vals_g + ("train",)] * (g["__n"] - take)
+            lits = [F.lit(g[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+            tied_parts.append(spark.range(g["__n"]).select(
+                *lits, F.when(F.col("id") < take, "test").otherwise("train").alias(out_col)))
     out = (keyed.where(~tied_cond)
            .select(*df.columns, F.when(test_cond, "test").otherwise("train").alias(out_col)))
-    if tie_rows:
-        schema = df.select(*df.columns, F.lit("x").alias(out_col)).schema
-        out = out.unionByName(df.sparkSession.createDataFrame(tie_rows, schema))
+    for part in tied_parts:
+        out = out.unionByName(part)
     return out
 
 

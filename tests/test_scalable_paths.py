@@ -120,3 +120,11 @@ def test_windows_sliced_equals_plain(spark):
     w = Window.partitionBy("u").orderBy("t").rangeBetween(-700, 0)
     want = df.select("id", F.sum("a").over(w).alias("s"))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_copy_expansion_chunked_equals_plain(spark):
+    seeds = spark.createDataFrame([(1, 25), (2, 3), (3, 0), (4, 11)], "vec_id long, __copies int")
+    plain = sorted(tuple(r) for r in BL._expand_copies(seeds, "vec_id", chunk=1000).collect())
+    chunked = sorted(tuple(r) for r in BL._expand_copies(seeds, "vec_id", chunk=4).collect())
+    assert plain == chunked and len(plain) == 39
+    assert all(c >= 0 for _, c in plain)
