@@ -81,17 +81,26 @@ def fit_ecommerce_state(history: DataFrame, ranges: DataFrame | None, ip_col: st
     hist = hist.withColumn("__h", F.when(h >= 0, h))
     st.hours_median = exact_quantiles(hist, "__h", [0.5])[0]
     max_us = FE.max_epoch_micros(hist, "purchase_time")
-    st.user_table = entity_table(hist, "user_id", max_us, windows, with_user_stats=True)
+    # Stored tables are materialised once (reliable checkpoint) so micro-batches
+    # join a fixed table instead of re-aggregating the history every batch;
+    # each is broadcast only after its row count is checked.
+    st.user_table = _stored(entity_table(hist, "user_id", max_us, windows, with_user_stats=True))
     ratio = F.try_divide(F.col("purchase_value"), F.col("__user_avg") + F.lit(1e-6))
     rt = hist.join(st.user_table.select("user_id", "__user_avg"), "user_id", "left") \
         .select(ratio.alias("r"))
     st.ratio_p99 = exact_quantiles(rt, "r", [0.99])[0]
     for ent in entities:
         if ent != "user_id":
-            st.entity_tables[ent] = entity_table(hist, ent, max_us, windows)
+            st.entity_tables[ent] = _stored(entity_table(hist, ent, max_us, windows))
     return st
 
 
+def _stored(table: DataFrame) -> DataFrame:
+    from kestrel.functions.joins import broadcast_if_small
+    from kestrel.session import cut_lineage
+    return broadcast_if_small(cut_lineage(table))
+
+
 def ecommerce_features_stream(batch: DataFrame, st: EcommerceState, ranges: DataFrame | None,
                               ip_col: str = "ip_int") -> DataFrame:
     """The E8 feature table for new rows, using only stored statistics."""
