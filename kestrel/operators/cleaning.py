@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from kestrel import schemas as SC
 from kestrel.functions.casts import epoch_micros, ip_to_int, nan_to_null, to_double, to_timestamp_utc
-from kestrel.functions.stats import adjusted_skew, column_quantiles, exact_median
+from kestrel.functions.stats import DIRECT_MAX, adjusted_skew, column_quantiles, exact_median
 
 UNKNOWN = "Unknown"
 DATETIME_DROP_RATE = 0.05
@@ -123,28 +123,75 @@ def impute_datetimes(df: DataFrame, columns=SC.ECOM_DATETIME,
                      report: CleaningReport | None = None) -> DataFrame:
     """Per datetime column, in order: a null rate above ``drop_rate`` drops
     the rows, otherwise nulls take the median time. Each column's decision
-    sees the rows left by the previous one."""
-    for c in columns:
-        if c not in df.columns:
-            continue
-        df = df.withColumn(c, to_timestamp_utc(F.col(c), df.schema[c].dataType))
-        st = df.agg(F.count("*").alias("n"), F.count(c).alias("nn")).first()
-        n, nulls = st["n"], st["n"] - st["nn"]
-        if nulls == 0:
+    sees the rows left by the previous one.
+
+    Two passes whatever the number of columns up to four: the first counts,
+    for every column and every possible set of earlier dropped columns, the
+    rows kept and the nulls among them; the decisions then follow in order
+    on the driver, and the second pass computes all needed medians (each over
+    the rows its column keeps)."""
+    from itertools import combinations
+    cols = [c for c in columns if c in df.columns]
+    if not cols:
+        return df
+    df = df.withColumns({c: to_timestamp_utc(F.col(c), df.schema[c].dataType) for c in cols})
+    if len(cols) > 4:
+        for c in cols:
+            df = impute_datetimes(df, [c], drop_rate, report)
+        return df
+
+    def kept(dropped):
+        cond = F.lit(True)
+        for d in dropped:
+            cond = cond & F.col(d).isNotNull()
+        return cond
+
+    aggs, keys = [], {}
+    for j, c in enumerate(cols):
+        for r in range(j + 1):
+            for dropped in combinations(cols[:j], r):
+                i = len(keys)
+                keys[(c, dropped)] = i
+                aggs += [F.count_if(kept(dropped)).alias(f"n{i}"),
+                         F.count_if(kept(dropped) & F.col(c).isNull()).alias(f"z{i}")]
+    st = df.agg(*aggs).first()
+    dropped_so_far: tuple = ()
+    fills = {}
+    for c in cols:
+        i = keys[(c, dropped_so_far)]
+        n, nulls = st[f"n{i}"], st[f"z{i}"]
+        if nulls == 0 or n == 0:
             continue
         if nulls / n > drop_rate:
-            df = df.where(F.col(c).isNotNull())
             if report is not None:
                 report.add("datetime_drop", c, nulls, "drop")
+            dropped_so_far = dropped_so_far + (c,)
         else:
-            med = exact_median(df, epoch_micros(F.col(c)), n_upper=n)
-            if med is None:
-                continue
-            us = math.floor(med)
-            df = df.withColumn(c, F.coalesce(F.col(c), F.timestamp_micros(F.lit(us))))
-            if report is not None:
-                report.add("datetime_fill", c, nulls, "median", us)
-    return df
+            fills[c] = (nulls, n, dropped_so_far)
+    # Each median is taken over the rows its column sees: those kept by the
+    # drops decided before it, not by later ones.
+    base = df
+    if dropped_so_far:
+        df = df.where(kept(dropped_so_far))
+    if not fills:
+        return df
+    meds = {}
+    if all(n <= DIRECT_MAX for _, n, _ in fills.values()):
+        row = base.agg(*[F.percentile(F.when(kept(dr), epoch_micros(F.col(c))).cast("double"), 0.5)
+                         .alias(c) for c, (_, _, dr) in fills.items()]).first()
+        meds = {c: row[c] for c in fills}
+    else:
+        for c, (_, n, dr) in fills.items():
+            meds[c] = exact_median(base.where(kept(dr)), epoch_micros(F.col(c)), n_upper=n)
+    out = {}
+    for c, (nulls, _, _) in fills.items():
+        if meds[c] is None:
+            continue
+        us = math.floor(meds[c])
+        out[c] = F.coalesce(F.col(c), F.timestamp_micros(F.lit(us)))
+        if report is not None:
+            report.add("datetime_fill", c, nulls, "median", us)
+    return df.withColumns(out) if out else df
 
 
 def impute_numeric(df: DataFrame, protect=SC.PROTECTED, skew_limit: float = SKEW_LIMIT,

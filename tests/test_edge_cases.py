@@ -64,3 +64,21 @@ def test_datetime_all_null_column_is_dropped_rows(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "k int, signup_time string")
     out = CL.impute_datetimes(df, columns=("signup_time",))
     assert out.count() == 0                     # 100 % null is above the 5 % drop rate
+
+
+def test_datetime_fill_median_ignores_later_drops(spark):
+    import datetime as dt
+    import statistics
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(40):
+        signup = None if i == 0 else base + dt.timedelta(days=i)
+        purchase = None if i >= 30 else base + dt.timedelta(days=100)   # 25 % null: dropped
+        rows.append((i, signup, purchase))
+    df = spark.createDataFrame(rows, "k int, signup_time timestamp, purchase_time timestamp")
+    out = CL.impute_datetimes(df)
+    assert out.count() == 30
+    filled = out.where("k = 0").first().signup_time
+    # Median of the 39 signup values seen before purchase_time drops rows (days 1..39).
+    want = base + dt.timedelta(days=statistics.median(range(1, 40)))
+    assert filled == want
