@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import held_out, table
 from kestrel.llm.language_id import identify, learn_profiles
+from kestrel.llm.near_dedup import near_duplicates
+from kestrel.llm.phrase_dedup import remove_repeats
 from kestrel.llm.quality_rules import quality_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +23,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), window=50, keep_text=False)
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -29,6 +36,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
