@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.common import held_out, table
 from kestrel.llm.language_id import identify, learn_profiles
+from kestrel.llm.mixing import mix
 from kestrel.llm.near_dedup import near_duplicates
 from kestrel.llm.phrase_dedup import remove_repeats
 from kestrel.llm.quality_rules import quality_verdicts
@@ -46,3 +47,41 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                            "base_failed", "kept", "beyond")
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLES["op8_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('8:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0 * sum(size) AS lim,
+         CASE (row_number() OVER (ORDER BY (source IS NULL), source COLLATE C) - 1) % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS weight
+  FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY lim / weight, source) AS k FROM s),
+p AS (
+  SELECT *, 1.5 * (SELECT sum(source_size) FROM s) AS budget,
+         coalesce(sum(lim) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+         sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+  FROM r),
+v AS (SELECT arg_min((budget - used) / open, k) FILTER (WHERE lim / weight > (budget - used) / open) AS level FROM p),
+t AS (
+  SELECT source, source_size, CAST(least(lim, coalesce((SELECT level FROM v), 1e300) * weight) AS DOUBLE) AS target FROM s),
+w AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
+x AS (
+  SELECT d.doc_id, d.size, w.source_size, w.target, w.whole, w.target - w.whole * w.source_size AS extra,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS upto,
+         sum(d.size) OVER (PARTITION BY d.source, h) AS own, h, d.source
+  FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source),
+y AS (SELECT *, min(CASE WHEN upto >= extra THEN h END) OVER (PARTITION BY source) AS last FROM x)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN h < last OR (h = last AND (extra - upto + own) * 2 >= own) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM y
+"""

@@ -169,3 +169,17 @@ def segment_sums(values: np.ndarray, limits: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=np.int64)
     np.cumsum(values, out=total[1:])
     return total[limits[1:]] - total[limits[:-1]]
+
+
+def count_words(column: pa.Array) -> np.ndarray:
+    """Words per text; null: 0."""
+    out = [np.empty(0, dtype=np.int64)]
+    for _, data, offs in byte_blocks(column):
+        inside = ~_SPACE[data]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        cut = offs[1:-1]
+        cut = cut[(cut > 0) & (cut < len(data))]
+        begins[cut] |= inside[cut]
+        out.append(segment_sums(begins, offs))
+    return np.concatenate(out)
