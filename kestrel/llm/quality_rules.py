@@ -193,14 +193,15 @@ def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of_source = _limits(quantiles(fine, ("_lang", "_source"), probs, error), ("_lang", "_source"), reach, "s")
     of_lang = _limits(quantiles(by_lang, ("_lang",), probs, error), ("_lang",), reach, "l")
     of_all = _limits(quantiles(whole, (), probs, error), (), reach, "a")
+    bounds = [f"{m}_{e}" for m in LEAST_SPREAD for e in ("lo", "hi")]
+    row = of_all.first()  # one row: the limits of the whole corpus
+    fallback = {b: F.lit(row[f"a_{b}"] if row else None).cast("double") for b in bounds}
     s, l = of_source.alias("s"), of_lang.alias("l")
     limits = (s.join(l, F.col("s._lang").eqNullSafe(F.col("l._lang")))
-              .crossJoin(F.broadcast(of_all))  # one row
               .select(F.col("s._lang").alias("g_lang"), F.col("s._source").alias("g_source"),
-                      *[F.when(F.col("s_docs") >= min_docs, F.col(f"s_{m}_{e}"))
-                        .when(F.col("l_docs") >= min_docs, F.col(f"l_{m}_{e}"))
-                        .otherwise(F.col(f"a_{m}_{e}")).alias(f"{m}_{e}")
-                        for m in LEAST_SPREAD for e in ("lo", "hi")]))
+                      *[F.when(F.col("s_docs") >= min_docs, F.col(f"s_{b}"))
+                        .when(F.col("l_docs") >= min_docs, F.col(f"l_{b}"))
+                        .otherwise(fallback[b]).alias(b) for b in bounds]))
     joined = measured.join(limits, F.col("_lang").eqNullSafe(F.col("g_lang")) & F.col("_source").eqNullSafe(F.col("g_source")), "left")
     outside = [F.when((c > F.col(f"{m}_hi")) | F.coalesce(c < F.col(f"{m}_lo"), F.lit(False)), F.lit(m)) for m, c in shares().items()]
     return (joined.select(F.col("_id").alias(id_col), *MEASURES, failed.alias("base_failed"),

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import held_out, table
+from kestrel.llm.external_shuffle import shuffled_shards, text_bytes
 from kestrel.llm.language_id import identify, learn_profiles
 from kestrel.llm.mixing import mix
 from kestrel.llm.near_dedup import near_duplicates
 from kestrel.llm.phrase_dedup import remove_repeats
 from kestrel.llm.quality_rules import quality_verdicts
+from kestrel.llm.secret_scan import counted, listed, scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +44,14 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.col("base_spans")
+    return found.select("doc_id", *[counted(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("secret_spans")).alias("spans"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
@@ -85,3 +95,11 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (whole + CASE WHEN h < last OR (h = last AND (extra - upto + own) * 2 >= own) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM y
 """
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shuffled_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
+    return rows.select("doc_id", text_bytes("text").alias("size"),
+                       F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+                       F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
