@@ -13,10 +13,18 @@ from kestrel.llm.external_shuffle import shuffled_shards, text_bytes
 from kestrel.llm.language_id import identify, learn_profiles
 from kestrel.llm.mixing import mix
 from kestrel.llm.near_dedup import near_duplicates
+from kestrel.llm.packing import pack
 from kestrel.llm.phrase_dedup import remove_repeats
 from kestrel.llm.quality_rules import quality_verdicts
 from kestrel.llm.secret_scan import counted, listed, scan
 
+
+def tokenizer_paths() -> dict[str, str]:
+    """The vocabulary of the packing query, part of the workers' installation."""
+    import public_tokenizers
+    return {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken")}
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -103,3 +111,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", text_bytes("text").alias("size"),
                        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
                        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), **tokenizer_paths())
