@@ -17,6 +17,7 @@ from kestrel.llm.packing import pack
 from kestrel.llm.phrase_dedup import remove_repeats
 from kestrel.llm.quality_rules import quality_verdicts
 from kestrel.llm.secret_scan import counted, listed, scan
+from kestrel.llm.vector_search import nearest
 
 
 def tokenizer_paths() -> dict[str, str]:
@@ -60,6 +61,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("secret_spans")).alias("spans"))
 
 
+@query
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_verdicts(table(spark, sf_dir, "documents"))
