@@ -17,6 +17,7 @@ from kestrel.llm.packing import pack
 from kestrel.llm.phrase_dedup import remove_repeats
 from kestrel.llm.quality_rules import quality_verdicts
 from kestrel.llm.secret_scan import counted, listed, scan
+from kestrel.llm.toxicity import fit, score
 from kestrel.llm.vector_search import nearest
 
 
@@ -73,6 +74,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "base_failed", "kept", "beyond")
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = fit(table(spark, sf_dir, "labels").where(~held_out()), docs)
+    return score(docs, network).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
