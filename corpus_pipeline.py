@@ -11,9 +11,14 @@ tests hold the stages against brute-force versions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kestrel.llm.common import held_out, table, written
+from kestrel.llm.common import held_out, table, tokenizer_paths, written
 from kestrel.llm.language_id import UNDETERMINED, identify, learn_profiles
+from kestrel.llm.mixing import mixed_rows
+from kestrel.llm.near_dedup import one_of_each_group
+from kestrel.llm.packing import pack
+from kestrel.llm.secret_scan import redacted, scan
 
 ORACLE_SQL = None
 
@@ -26,8 +31,41 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where(found["_lang_pred"] != UNDETERMINED).select(*[found[f"`{c}`"] for c in docs.columns])
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates: shingles of five words,
+    similarity of at least 0.8."""
+    return one_of_each_group(docs, shingle_words=5, percent=80)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret in a text by a mark. No document goes; ``n_chars``, where
+    there is such a column, follows the new text."""
+    found = scan(docs, base_out="_base_spans", all_out="_secret_spans")
+    text = redacted(F.col("text"), F.col("_secret_spans"))
+    clean = found.withColumn("text", F.when(F.size("_secret_spans") > 0, text).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.when(F.size("_secret_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bring the sources to their target weights: a document appears as often as the
+    mix takes it, so some go and some repeat."""
+    return mixed_rows(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack all documents into token sequences; one row per piece."""
+    return pack(docs, **tokenizer_paths())
+
+
 STAGES = [
     ("language_id", language_stage),
+    ("near_dedup", near_dedup_stage),
+    ("secret_scan", secrets_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 

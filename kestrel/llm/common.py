@@ -48,3 +48,9 @@ def extended(df: DataFrame, **types) -> "T.StructType":  # noqa: F821
     from pyspark.sql import types as T
     kept = [f for f in df.schema.fields if f.name not in types]
     return T.StructType([*kept, *(T.StructField(n, t) for n, t in types.items())])
+
+
+def tokenizer_paths() -> dict[str, str]:
+    """Files of the default vocabulary, part of the workers' installation."""
+    import public_tokenizers
+    return {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken")}

@@ -21,7 +21,7 @@
 
 Null and empty texts have an empty set and are linked with nothing; a text with
 fewer words than a shingle is one shingle. Rows that repeat a doc_id are the same
-node. Null ids take no part in links. Extra columns are ignored. An empty table
+node. Rows with a null id take no part in links and are kept. Extra columns are ignored. An empty table
 gives an empty result.
 """
 
@@ -174,11 +174,25 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = nodes.select("set_hi", "set_lo", "node").join(labels, "node", "left").select(
         "set_hi", "set_lo", F.coalesce("component", "node").alias("component"))
     out = signed.drop("bands").join(named, ["set_hi", "set_lo"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that are kept, with their own columns: one document of each
+    group, and of rows that repeat an id, one. Rows with a null id stay."""
+    found = written(near_duplicates(df, id_col, text_col, **options), "near-duplicates")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    kept = df.join(gone, df[f"`{id_col}`"].cast("bigint") == gone["_gone"], "left_anti")
+    ids = found.where("doc_id is not null").agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
+    if ids["n"] == ids["d"]:  # nothing to choose among
+        return kept
+    null = df[f"`{id_col}`"].isNull()
+    return kept.where(~null).dropDuplicates([id_col]).unionByName(kept.where(null))
+
+
 def _node_components(nodes: DataFrame, rows: DataFrame, words: int, percent: int, pivots: int) -> DataFrame:
     members = nodes.select(F.explode("bands").alias("key"), "node", "n")
     crowded = members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min_by("n", "node").alias("n_least")).where("least < most")

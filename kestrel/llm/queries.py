@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import held_out, table
+from kestrel.llm.common import held_out, table, tokenizer_paths
 from kestrel.llm.external_shuffle import shuffled_shards, text_bytes
 from kestrel.llm.language_id import identify, learn_profiles
 from kestrel.llm.mixing import mix
@@ -20,13 +20,6 @@ from kestrel.llm.secret_scan import counted, listed, scan
 from kestrel.llm.toxicity import fit, score
 from kestrel.llm.vector_search import nearest
 
-
-def tokenizer_paths() -> dict[str, str]:
-    """The vocabulary of the packing query, part of the workers' installation."""
-    import public_tokenizers
-    return {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken")}
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
