@@ -14,8 +14,9 @@ words also start somewhere in a document with a smaller id.
    window recurs if its smallest and largest document differ. Its home is a
    segment of its smallest document, and runs of windows at home in one segment
    are a passage.
-4. *Automata.* Passages are cut into tiles of half a window, so that each window
-   holds a whole tile, and dealt to shards by anchor. Each shard compiles one
+4. *Automata.* Passages are dealt to shards by anchor. In each passage tiles of
+   half a window are placed so that each window holds a whole tile, preferring
+   tiles that few passages hold. Each shard compiles one
    Aho-Corasick automaton of its tiles, over strings of one code point per word,
    and streams the distinct segments of its anchors through it. Each hit is
    extended to both sides word by word and counts from ``window`` equal words.
@@ -34,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -192,17 +194,31 @@ class PhraseAutomaton:
 
     def __init__(self, window: int):
         self.window, self.tile = window, window // 2
-        self.passages: list[tuple[list[bytes], int]] = []
+        self.passages: list[tuple[list[bytes], str, int]] = []
         self.tiles: dict[str, list[tuple[int, int]]] = {}
         self.automaton = None
 
     def add(self, words: list[bytes], codes: str, first: int) -> None:
-        number = len(self.passages)
-        self.passages.append((words, first))
-        for off in range(0, len(words) - self.tile + 1, self.tile):
-            self.tiles.setdefault(codes[off: off + self.tile], []).append((number, off))
+        self.passages.append((words, codes, first))
+
+    def _place_tiles(self) -> None:
+        """Choose tiles so that each window of each passage holds one, and the tiles
+        are those that the fewest passages hold: what many passages share (a common
+        passage amid different texts) then leads to few of them."""
+        held = Counter()
+        for _, codes, _ in self.passages:
+            held.update({codes[i: i + self.tile] for i in range(len(codes) - self.tile + 1)})
+        slack = self.window - self.tile
+        for number, (_, codes, _) in enumerate(self.passages):
+            chosen = -1
+            for s in range(len(codes) - self.window + 1):
+                if chosen < s:
+                    # The rarest tile of the window; of equals the last, which serves most windows.
+                    chosen = min(range(s + slack, s - 1, -1), key=lambda i: held[codes[i: i + self.tile]])
+                    self.tiles.setdefault(codes[chosen: chosen + self.tile], []).append((number, chosen))
 
     def compile(self) -> None:
+        self._place_tiles()
         if self.tiles:
             self.automaton = ahocorasick.Automaton()
             for codes, places in self.tiles.items():
@@ -214,14 +230,14 @@ class PhraseAutomaton:
         part of a passage."""
         if self.automaton is None:
             return
-        seen = set()
+        done: dict[tuple[int, int], int] = {}  # per passage and shift, the end of its last stretch
         for end, places in self.automaton.iter(codes):
             at = end - self.tile + 1
             for number, off in places:
                 shift = at - off
-                if (number, shift, at) in seen:
+                if end < done.get((number, shift), 0):
                     continue
-                passage, first = self.passages[number]
+                passage, _, first = self.passages[number]
                 lo, hi = at, end + 1
                 if words[lo:hi] != passage[off: off + self.tile]:
                     continue
@@ -230,9 +246,7 @@ class PhraseAutomaton:
                 most = min(len(words), len(passage) + shift)
                 while hi < most and words[hi] == passage[hi - shift]:
                     hi += 1
-                # Later tiles inside this stretch would find it again.
-                for k in range(off, hi - shift - self.tile + 1, self.tile):
-                    seen.add((number, shift, k + shift))
+                done[number, shift] = hi  # later tiles inside it would find it again
                 if hi - lo >= self.window:
                     yield lo, hi, first
 
