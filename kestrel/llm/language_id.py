@@ -157,8 +157,9 @@ def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
     text teach nothing). What reaches the driver is ``size`` n-grams a language."""
     rows = df.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where("l is not null and t is not null")
     counts = rows.mapInArrow(_count_batches, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    by_slice = W.partitionBy("lang", F.pmod(F.hash("gram"), F.lit(_SLICES))).orderBy(F.desc("n"), "gram")
-    by_lang = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    order = [F.desc("n"), F.col("gram").bitwiseXOR(F.lit(-(1 << 63)))]  # ties by the unsigned key, as in documents
+    by_slice = W.partitionBy("lang", F.pmod(F.hash("gram"), F.lit(_SLICES))).orderBy(*order)
+    by_lang = W.partitionBy("lang").orderBy(*order)
     top = (counts.withColumn("r", F.row_number().over(by_slice)).where(F.col("r") <= size)
            .withColumn("r", F.row_number().over(by_lang)).where(F.col("r") <= size))
     got = top.select("lang", "gram", "r").toPandas()
