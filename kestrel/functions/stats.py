@@ -6,8 +6,10 @@ bounded inputs and wrong for unbounded ones, so each helper here measures its
 input first and switches to a distributed method past ``small`` rows:
 
 * quantiles: bracket the wanted rank with ``percentile_approx`` (rank error at
-  most m/accuracy), count below and inside the bracket, and repeat inside it;
-  each pass shrinks the candidate set by about ``accuracy/6``. Exact at the end.
+  most m/accuracy), count the rows below, at, between and above the two bracket
+  values, and repeat in the open part that holds the rank. The bracket values
+  themselves leave with each pass, so it ends however heavy they are; a pass
+  usually shrinks the candidates by about ``accuracy/6``. Exact at the end.
 * running sums: cut the ordered key into ranges with ``percentile_approx``,
   sum per range, prefix-sum the (few) range totals, then run the window per
   range in parallel.
@@ -56,11 +58,11 @@ def order_stats(df: DataFrame, specs, direct: int = DIRECT_MAX, small: int = SMA
 
     ``specs``: list of ``(x, cond, rank, n)``: the value at 0-based ``rank``
     among the ``n`` non-null values of Column ``x`` on rows where ``cond``
-    (a Column or None) holds. Each round is one pass for all open ranks:
-    while a rank's candidate set is larger than ``direct`` it is bracketed with
-    ``percentile_approx`` (rank error at most m / accuracy) and the bracket is
-    verified with counts (a second pass); once at most ``direct`` candidates
-    remain, one ``percentile_disc`` pass over them gives the exact value.
+    (a Column or None) holds. NaN counts as null. Each round is one pass for
+    all open ranks: while a rank's candidate set is larger than ``direct`` it is
+    bracketed with ``percentile_approx`` and cut at the bracket by exact counts
+    (a second pass); once at most ``direct`` candidates remain, one
+    ``percentile_disc`` pass over them gives the exact value.
     """
     cols = []
     for i, (x, cond, _, _) in enumerate(specs):
@@ -68,8 +70,8 @@ def order_stats(df: DataFrame, specs, direct: int = DIRECT_MAX, small: int = SMA
         v = F.when(~F.isnan(v), v)
         cols.append((v if cond is None else F.when(cond, v)).alias(f"v{i}"))
     base = df.select(*cols)
-    st = [{"lo": None, "hi": None, "below": 0, "m": n, "r": r, "margin": 3.0 / accuracy,
-           "done": n == 0, "val": None} for (_, _, r, n) in specs]
+    st = [{"lo": None, "hi": None, "below": 0, "m": n, "r": r, "done": n == 0, "val": None}
+          for (_, _, r, n) in specs]
     # Several passes follow when a rank needs bracketing: keep just the value
     # columns (one double per spec) in memory / disk for the duration of this
     # call instead of recomputing the input's lineage each pass.
@@ -77,67 +79,73 @@ def order_stats(df: DataFrame, specs, direct: int = DIRECT_MAX, small: int = SMA
     if cached:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _order_stats_loop(base, st, direct, small, accuracy)
+        return _order_stats_loop(base, st, direct, accuracy)
     finally:
         if cached:
             base.unpersist()
 
 
-def _order_stats_loop(base: DataFrame, st: list, direct: int, small: int, accuracy: int) -> list:
+def _order_stats_loop(base: DataFrame, st: list, direct: int, accuracy: int) -> list:
+    """Each open rank holds an open interval (lo, hi) of candidate values, the
+    number of its rows ``m`` and of the rows ``below`` it. A pass takes two of
+    the candidate values as pivots and counts the rows below, at, between and
+    above them; the rank is at a pivot (done) or in one of the three open
+    parts, none of which holds the pivots' rows. So every pass shrinks every
+    open interval, whatever the approximate quantiles returned and however
+    heavy single values are.
+    """
+    def value(i):
+        return F.col(f"v{i}")
+
     def inside(i):
-        c = F.col(f"v{i}").isNotNull()
+        c = value(i).isNotNull()
         if st[i]["lo"] is not None:
-            c = c & (F.col(f"v{i}") >= F.lit(st[i]["lo"])) & (F.col(f"v{i}") <= F.lit(st[i]["hi"]))
+            c = c & (value(i) > F.lit(st[i]["lo"]))
+        if st[i]["hi"] is not None:
+            c = c & (value(i) < F.lit(st[i]["hi"]))
         return c
 
     while not all(s["done"] for s in st):
-        for i, s in enumerate(st):
-            if s["done"] or not s.get("stuck") or s["m"] <= direct:
-                continue
-            # A few heavy values fill the bracket so it stopped shrinking:
-            # walk the distinct values inside it when there are few enough.
-            d = (base.where(inside(i)).groupBy(F.col(f"v{i}").alias("x"))
-                 .agg(F.count("*").alias("c")))
-            if d.count() <= small:
-                w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-                hit = (d.withColumn("cum", F.sum("c").over(w))
-                       .where(F.col("cum") > s["r"] - s["below"]).orderBy("x").limit(1).first())
-                s["val"], s["done"] = hit["x"], True
         ready = [i for i, s in enumerate(st) if not s["done"] and s["m"] <= direct]
         if ready:
-            sel = base.select(*[F.when(inside(i), F.col(f"v{i}")).alias(f"__w{i}") for i in ready])
+            sel = base.select(*[F.when(inside(i), value(i)).alias(f"__w{i}") for i in ready])
             row = sel.agg(*[disc_expr(f"__w{i}", st[i]["r"] - st[i]["below"], st[i]["m"]).alias(f"d{i}")
                             for i in ready]).first()
             for i in ready:
                 st[i]["val"], st[i]["done"] = row[f"d{i}"], True
             continue
         act = [i for i, s in enumerate(st) if not s["done"]]
-        if not act:
-            break
-        qs = {}
+        margin, qs = 3.0 / accuracy, {}
         for i in act:
-            s = st[i]
-            r = s["r"] - s["below"]
-            qs[i] = [max(0.0, r / s["m"] - s["margin"]), min(1.0, (r + 1) / s["m"] + s["margin"])]
-        row = base.agg(*[F.percentile_approx(F.when(inside(i), F.col(f"v{i}")), qs[i], accuracy)
+            m, r = st[i]["m"], st[i]["r"] - st[i]["below"]
+            qs[i] = [max(0.0, r / m - margin), min(1.0, (r + 1) / m + margin)]
+        row = base.agg(*[F.percentile_approx(F.when(inside(i), value(i)), qs[i], accuracy)
                          .alias(f"q{i}") for i in act]).first()
         ab = {i: row[f"q{i}"] for i in act}
         row = base.agg(*[c for i in act for c in (
-            F.count_if(inside(i) & (F.col(f"v{i}") < F.lit(ab[i][0]))).alias(f"lt{i}"),
-            F.count_if(inside(i) & F.col(f"v{i}").between(ab[i][0], ab[i][1])).alias(f"mid{i}"))]).first()
+            F.count_if(inside(i) & (value(i) < F.lit(ab[i][0]))).alias(f"lt{i}"),
+            F.count_if(inside(i) & (value(i) == F.lit(ab[i][0]))).alias(f"at_a{i}"),
+            F.count_if(inside(i) & (value(i) > F.lit(ab[i][0])) & (value(i) < F.lit(ab[i][1]))).alias(f"mid{i}"),
+            F.count_if(inside(i) & (value(i) == F.lit(ab[i][1]))).alias(f"at_b{i}"))]).first()
         for i in act:
-            s = st[i]
-            a, b = ab[i]
-            lt, mid = row[f"lt{i}"], row[f"mid{i}"]
-            r = s["r"] - s["below"]
-            if not (lt <= r < lt + mid):
-                s["margin"] *= 4          # the approximate bracket missed: widen
-                continue
-            if a == b:
-                s["val"], s["done"] = a, True
-                continue
-            s["stuck"] = mid > 0.75 * s["m"]     # heavy values fill the bracket
-            s["lo"], s["hi"], s["below"], s["m"] = a, b, s["below"] + lt, mid
+            s, (a, b) = st[i], ab[i]
+            before, r = s["m"], s["r"] - s["below"]
+            # The parts in order: below a, a itself, between, b itself, above b.
+            parts = [(row[f"lt{i}"], s["lo"], a), (row[f"at_a{i}"], a, None)]
+            if a < b:
+                parts += [(row[f"mid{i}"], a, b), (row[f"at_b{i}"], b, None)]
+            parts.append((s["m"] - sum(p[0] for p in parts), b, s["hi"]))
+            for k, (rows, lo, hi) in enumerate(parts):
+                if r < rows:
+                    if k % 2:
+                        s["val"], s["done"] = lo, True
+                    else:
+                        s["lo"], s["hi"], s["m"] = lo, hi, rows
+                    break
+                r -= rows
+                s["below"] += rows
+            if not s["done"] and s["m"] >= before:
+                raise RuntimeError("an order statistic's candidates did not shrink: the input changes between passes")
     return [s["val"] for s in st]
 
 
@@ -233,8 +241,10 @@ def running_sums(df: DataFrame, key: str, cols, descending: bool = False,
     """Inclusive running sums of ``cols`` in the order of a numeric ``key``.
 
     ``df`` must hold one row per key value (aggregate first). Adds a column
-    ``<c><suffix>`` per summed column.
+    ``<c><suffix>`` per summed column. Rows whose key is null or NaN have no
+    place in the order and are left out, whatever the size.
     """
+    df = df.where(F.col(key).isNotNull() & ~F.isnan(F.col(key).cast("double")))
     order = F.desc(key) if descending else F.asc(key)
     n = df.count()
     if n <= small:

@@ -130,16 +130,17 @@ def add_time_window_features(df: DataFrame, time_col: str = "purchase_time",
         max_us = max_epoch_micros(df, time_col)
     names = window_feature_names(id_col, windows)
     if max_us is None:
-        return df.withColumns({n: F.lit(0) for n in names})
+        return df.withColumns({n: _no_activity(n) for n in names})
     t = epoch_micros(_ts(df, time_col))
     aggs = _window_aggs(t, F.col(amount_col), id_col, max_us, windows)
     agg = df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*aggs)
     out = df.join(_sized(agg, n_entities, len(aggs)), id_col, "left")
-    fills = {}
-    for n in names:
-        zero = F.lit(0).cast("bigint") if "_count_" in n else F.lit(0.0)
-        fills[n] = F.coalesce(F.col(n), zero)
-    return out.withColumns(fills)
+    return out.withColumns({n: F.coalesce(F.col(n), _no_activity(n)) for n in names})
+
+
+def _no_activity(name: str):
+    """What a window column holds without activity, in the column's type."""
+    return F.lit(0).cast("bigint") if "_count_" in name else F.lit(0.0)
 
 
 # E7 ---------------------------------------------------------------------------
@@ -235,12 +236,10 @@ def engineer_ecommerce_features(df: DataFrame, ranges: DataFrame | None = None,
                              F.try_divide(F.col("purchase_value"),
                                           F.col("__user_avg") + F.lit(1e-6))).drop("__user_avg")
         out = clip_ratio(out, "transaction_amount_per_user_avg", n_upper=n_rows)
-        if "user_id" in entities and t is not None:
-            fills = {}
-            for n in window_feature_names("user_id", windows):
-                zero = F.lit(0).cast("bigint") if "_count_" in n else F.lit(0.0)
-                fills[n] = F.coalesce(F.col(n), zero)
-            out = out.withColumns(fills)
+        if "user_id" in entities and "purchase_time" in out.columns:
+            names = window_feature_names("user_id", windows)
+            out = out.withColumns({n: _no_activity(n) if t is None else F.coalesce(F.col(n), _no_activity(n))
+                                   for n in names})
         rest = [e for e in entities if e != "user_id"]
     else:
         out = add_user_transaction_count(out)

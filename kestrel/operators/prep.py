@@ -11,91 +11,118 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel import schemas as SC
-from kestrel.functions.stats import SMALL, order_stats
 
 MAX_CATEGORIES = 10_000
 
 
 # F1 -----------------------------------------------------------------------------
+NULL_KEY = "\\N"
+_DIGIT, _KEY_CHARS = 4, 32      # hex characters a level looks at; length of an md5
+
+
 def split_hash(key_cols, seed: int = 42):
-    """md5 of '<seed>:<k1>:<k2>...' as hex text: the order that decides the split."""
-    keys = F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols])
+    """md5 of '<seed>:<k1>:<k2>...' as hex text: the order that decides the split.
+    A null key part counts as the text \\N, so it differs from an absent one."""
+    keys = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY)) for c in key_cols])
     return F.md5(F.concat(F.lit(f"{seed}:"), keys))
 
 
+def _row_hash(columns):
+    """md5 of all columns: orders rows that share their key."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"}))
+
+
 def stratified_split(df: DataFrame, label_col: str, key_cols, test_size: float = 0.2,
-                     seed: int = 42, out_col: str = "split", small: int = SMALL) -> DataFrame:
+                     seed: int = 42, out_col: str = "split") -> DataFrame:
     """Stratified split: per class, the round(test_size * n) rows with the
-    smallest md5('<seed>:<key>') are 'test', the rest 'train'.
-
-    No sort and no per-class window: the threshold hash per class is an exact
-    order statistic (``order_stats``, all classes in the same passes) on the
-    first 52 bits of the hash (exact in a double); rows tied with it on those
-    bits are ordered by the full hash, and fully identical rows are split by
-    count.
+    smallest md5('<seed>:<key>') are 'test', the rest 'train'. Rows that share a
+    key are ordered by an md5 of the whole row; fully identical rows are
+    interchangeable and are split by count. Rows without a label are 'train'.
+
+    No sort and no per-class row window: hashes are uniform, so a count per
+    (class, first 16 bits) names the bucket in which a class's cut lies, and
+    only that bucket is counted again by the next 16 bits, until it is cut
+    cleanly or holds identical rows only. Two levels suffice up to billions of
+    rows with unique keys. One row per class reaches the driver a level.
     """
-    h = split_hash(key_cols, seed)
-    prefix = F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint").cast("double")
-    keyed = df.withColumns({"__h": h, "__p": prefix})
-    sizes = {r[0]: r[1] for r in keyed.groupBy(label_col).count().collect()}
-    want = {c: math.floor(test_size * n + 0.5) for c, n in sizes.items() if c is not None}
-    want = {c: k for c, k in want.items() if k > 0}
-    classes = list(want)
-    # All class thresholds share each pass of the exact order statistics. The
-    # value one rank past the cut is found in the same passes: when it is
-    # larger, "prefix <= threshold" selects exactly the wanted rows and no
-    # tie handling is needed (the common case).
-    specs, idx = [], {}
-    for c in classes:
-        in_c = F.col(label_col) == F.lit(c)
-        idx[c] = len(specs)
-        specs.append((F.col("__p"), in_c, want[c] - 1, sizes[c]))
-        if want[c] < sizes[c]:
-            specs.append((F.col("__p"), in_c, want[c], sizes[c]))
-    vals = order_stats(keyed, specs, small=small) if specs else []
-    thr, clean = {}, {}
-    for c in classes:
-        j = idx[c]
-        thr[c] = vals[j]
-        clean[c] = want[c] == sizes[c] or vals[j + 1] > vals[j]
-    test_cond, tied_cond = F.lit(False), F.lit(False)
-    for c in classes:
-        in_c = F.col(label_col) == F.lit(c)
-        if clean[c]:
-            test_cond = test_cond | (in_c & (F.col("__p") <= F.lit(thr[c])))
+    names = df.columns
+    keyed = df.withColumn("__h", split_hash(key_cols, seed))
+    cuts: dict = {}                 # class -> (prefix, rows of it that are test, rows of it)
+    open_: dict | None = None       # class -> (prefix, rows wanted of it)
+    for level in range(2 * _KEY_CHARS // _DIGIT):
+        if level * _DIGIT == _KEY_CHARS:
+            keyed = keyed.withColumn("__h", F.concat("__h", _row_hash(names)))
+        if open_ is None:
+            part, wanted = keyed.where(F.col(label_col).isNotNull()), None
         else:
-            test_cond = test_cond | (in_c & (F.col("__p") < F.lit(thr[c])))
-            tied_cond = tied_cond | (in_c & (F.col("__p") == F.lit(thr[c])))
-    tied_parts = []
-    dirty = [c for c in classes if not clean[c]]
-    if dirty:
-        # Rows sharing the threshold's 52-bit prefix across the cut: group
-        # identical rows (one row per group, with its count), order groups by
-        # the full hash and give each group its share of the cut. Identical
-        # rows are interchangeable, so each group is re-emitted by a
-        # distributed ``range`` of its size - never as a list on the driver,
-        # even when one repeated row holds a third of the data.
-        groups = (keyed.where(tied_cond).groupBy(*df.columns, "__h")
-                  .agg(F.count("*").alias("__n")).orderBy("__h", *df.columns).collect())
-        cnt = {r[0]: r[1] for r in keyed.where(test_cond).groupBy(label_col).count().collect()}
-        need = {c: want[c] - cnt.get(c, 0) for c in dirty}
-        spark = df.sparkSession
-        for g in groups:
-            c = g[label_col]
-            take = min(need[c], g["__n"])
-            need[c] -= take
-            lits = [F.lit(g[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields]
-            tied_parts.append(spark.range(g["__n"]).select(
-                *lits, F.when(F.col("id") < take, "test").otherwise("train").alias(out_col)))
-    out = (keyed.where(~tied_cond)
-           .select(*df.columns, F.when(test_cond, "test").otherwise("train").alias(out_col)))
-    for part in tied_parts:
-        out = out.unionByName(part)
-    return out
+            at, wanted = F.lit(False), F.lit(None).cast("bigint")
+            for c, (prefix, want) in open_.items():
+                here = (F.col(label_col) == F.lit(c)) & F.col("__h").startswith(prefix)
+                at = at | F.coalesce(here, F.lit(False))
+                wanted = F.when(F.col(label_col) == F.lit(c), F.lit(want)).otherwise(wanted)
+            part = keyed.where(at)
+        bucket = F.substring("__h", 1, (level + 1) * _DIGIT).alias("prefix")
+        counts = part.groupBy(label_col, bucket).agg(F.count("*").alias("rows"))
+        per = Window.partitionBy(label_col)
+        upto = F.sum("rows").over(per.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+        if wanted is None:
+            wanted = F.floor(F.lit(float(test_size)) * F.sum("rows").over(per) + 0.5)
+        cut = (counts.select(label_col, "prefix", "rows", upto.alias("upto"), wanted.alias("want"))
+               .where((F.col("want") > 0) & (F.col("upto") >= F.col("want")))
+               .groupBy(label_col).agg(F.min(F.struct("prefix", "rows", "upto", "want")).alias("x"))
+               .select(label_col, "x.*").collect())
+        open_ = {}
+        for r in cut:
+            inside = r["want"] - (r["upto"] - r["rows"])
+            if inside == r["rows"]:
+                cuts[r[label_col]] = (r["prefix"], None, None)
+            else:
+                open_[r[label_col]] = (r["prefix"], inside)
+        if not open_:
+            break
+    test, tied = F.lit(False), F.lit(False)
+    for c, (prefix, _, _) in cuts.items():
+        test = test | ((F.col(label_col) == F.lit(c)) & (F.substring("__h", 1, len(prefix)) <= F.lit(prefix)))
+    for c, (prefix, _) in open_.items():
+        in_c = F.col(label_col) == F.lit(c)
+        test = test | (in_c & (F.col("__h") < F.lit(prefix)))
+        tied = tied | (in_c & (F.col("__h") == F.lit(prefix)))
+    side = F.when(F.coalesce(test, F.lit(False)), "test").otherwise("train").alias(out_col)
+    columns = [F.col(f"`{c}`") for c in names]
+    if not open_:
+        return keyed.select(*columns, side)
+    # Identical rows across a cut: one row per group with its count, expanded
+    # again in chunks spread over tasks; the first copies are 'test'.
+    tied = F.coalesce(tied, F.lit(False))
+    need = F.lit(0).cast("bigint")
+    for c, (_, inside) in open_.items():
+        need = F.when(F.col(label_col) == F.lit(c), F.lit(inside)).otherwise(need)
+    groups = keyed.where(tied).groupBy(*names).agg(F.count("*").alias("__copies")).withColumn("__need", need)
+    rows = expand_copies(groups, names)
+    taken = F.when(F.col("copy") < F.col("__need"), "test").otherwise("train").alias(out_col)
+    return keyed.where(~tied).select(*columns, side).unionByName(rows.select(*columns, taken))
+
+
+COPY_CHUNK = 10_000
+
+
+def expand_copies(rows: DataFrame, key_cols, chunk: int = COPY_CHUNK) -> DataFrame:
+    """One row per (row, copy) for copy in 0..__copies-1. A row with many copies
+    is first cut into chunks of ``chunk`` copies that are spread over tasks, so
+    no task expands one row alone."""
+    rows = rows.where(F.col("__copies") > 0)     # sequence(0, -1) would yield [0, -1]
+    n_chunks = F.ceil(F.col("__copies") / F.lit(chunk)).cast("int")
+    parts = rows.select("*", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("__c"))
+    if (rows.agg(F.max("__copies")).first()[0] or 0) > chunk:
+        parts = parts.repartition(*[F.col(f"`{c}`") for c in key_cols], "__c")
+    size = F.least(F.lit(chunk), F.col("__copies") - F.col("__c") * chunk).cast("int")
+    return (parts.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("__j"))
+            .withColumn("copy", F.col("__c") * chunk + F.col("__j"))
+            .drop("__c", "__j", "__copies"))
 
 
 # F2 -----------------------------------------------------------------------------

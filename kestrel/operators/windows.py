@@ -7,7 +7,8 @@ read-only context, into the next ``context`` slices. A row's frame
 [t - width, t] lies in its own slice and the previous one, so each
 (entity, slice) group has every row it needs, and a hot entity is spread over
 as many groups as its history has slices. Context copies are dropped after
-the window is evaluated. Rows with a NULL time are not copied.
+the window is evaluated. Rows with a NULL time are not copied. A NULL entity
+names nobody: each such row is a group of its own and sees only itself.
 """
 
 from __future__ import annotations
@@ -32,15 +33,17 @@ def trailing_range_aggregate(df: DataFrame, id_col: str, t_col: str, width: int,
     predecessor.
     """
     t = F.col(t_col)
-    shift = F.explode(F.when(t.isNull(), F.array(F.lit(0)))
+    alone = F.col(id_col).isNull()
+    shift = F.explode(F.when(t.isNull() | alone, F.array(F.lit(0)))
                       .otherwise(F.sequence(F.lit(0), F.lit(context))))
-    expanded = (df.select("*", shift.alias("__shift"))
+    expanded = (df.withColumn("__alone", F.when(alone, F.monotonically_increasing_id()))
+                .select("*", shift.alias("__shift"))
                 .withColumn("__slice", F.floor(t / F.lit(width)) + F.col("__shift")))
-    part = [id_col, "__slice"]
+    part = [id_col, "__slice", "__alone"]
     order = [t_col] + ([key_col] if key_col else [])
     if pre:
         wr = Window.partitionBy(*part).orderBy(*order)
         expanded = expanded.select("*", *[fn(wr).alias(n) for n, fn in pre.items()])
     w = Window.partitionBy(*part).orderBy(t).rangeBetween(-width, 0)
     out = expanded.select("*", *[fn(w).alias(n) for n, fn in aggs.items()])
-    return out.where(F.col("__shift") == 0).drop("__shift", "__slice", *(pre or {}).keys())
+    return out.where(F.col("__shift") == 0).drop("__shift", "__slice", "__alone", *(pre or {}).keys())

@@ -88,7 +88,7 @@ def test_geo_join_matches_searchsorted(spark):
 def test_stratified_split_sizes_and_ties(spark):
     rows = [(i % 50, i % 3 == 0) for i in range(900)]        # duplicate keys: ties
     df = spark.createDataFrame([(k, int(c)) for k, c in rows], "key long, label int")
-    out = PR.stratified_split(df, "label", ["key"], small=40)
+    out = PR.stratified_split(df, "label", ["key"])
     c = {(r.label, r.split): r["count"] for r in out.groupBy("label", "split").count().collect()}
     assert c[(1, "test")] == round(0.2 * 300) and c[(0, "test")] == round(0.2 * 600)
     assert out.count() == 900
@@ -124,7 +124,69 @@ def test_windows_sliced_equals_plain(spark):
 
 def test_copy_expansion_chunked_equals_plain(spark):
     seeds = spark.createDataFrame([(1, 25), (2, 3), (3, 0), (4, 11)], "vec_id long, __copies int")
-    plain = sorted(tuple(r) for r in BL._expand_copies(seeds, "vec_id", chunk=1000).collect())
-    chunked = sorted(tuple(r) for r in BL._expand_copies(seeds, "vec_id", chunk=4).collect())
+    plain = sorted(tuple(r) for r in PR.expand_copies(seeds, ["vec_id"], chunk=1000).collect())
+    chunked = sorted(tuple(r) for r in PR.expand_copies(seeds, ["vec_id"], chunk=4).collect())
     assert plain == chunked and len(plain) == 39
     assert all(c >= 0 for _, c in plain)
+
+
+@pytest.mark.parametrize("direct", [1, 20, 10**6])
+def test_order_stats_end_on_zero_inflated_values(spark, direct):
+    vals = [0.0] * 19_900 + [float(i) for i in range(1, 101)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").union(spark.sql("SELECT double('NaN') UNION ALL SELECT null"))
+    ranks = [0, 19_899, 19_900, 19_950, 19_999]
+    got = ST.order_stats(df, [("x", None, r, len(vals)) for r in ranks], direct=direct, small=20, accuracy=50)
+    assert got == [vals[r] for r in ranks]
+
+
+def test_order_stats_with_extreme_values(spark):
+    vals = sorted([-1e308, -5e-324, 0.0, 5e-324, 1e-300, 1.0, 1.0 + 2**-52, 1e308, float("inf"), float("-inf")] * 3)
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = ST.order_stats(df, [("x", None, r, len(vals)) for r in range(len(vals))], direct=1, accuracy=10)
+    assert got == vals
+
+
+@pytest.mark.parametrize("small", [10, 10**6])
+def test_nan_scores_count_as_missing_at_every_size(spark, small):
+    from kestrel.operators import metrics as M
+    rows = [(i % 3 == 0, float(i) / 100) for i in range(100)]
+    clean = spark.createDataFrame([(int(y), v) for y, v in rows], "class int, score double")
+    dirty = clean.union(spark.createDataFrame([(1, float("nan")), (0, None)], "class int, score double"))
+    assert M.average_precision(dirty, small=small).first()[0] == pytest.approx(M.average_precision(clean, small=10**9).first()[0])
+    assert M.confusion_matrix(dirty).first() == M.confusion_matrix(clean).first()
+
+
+def test_split_keeps_rows_without_label_and_with_null_keys(spark):
+    rows = [(None if i % 7 == 0 else i % 20, i % 3, None if i % 10 == 0 else i % 2) for i in range(700)]
+    df = spark.createDataFrame(rows, "key long, b long, label int")
+    out = PR.stratified_split(df, "label", ["key", "b"])
+    assert sorted(map(str, out.drop("split").collect())) == sorted(map(str, df.collect()))
+    n = {(r.label, r.split): r["count"] for r in out.groupBy("label", "split").count().collect()}
+    for label in (0, 1):
+        size = sum(r[2] == label for r in rows)
+        assert n[(label, "test")] == math.floor(0.2 * size + 0.5)
+    assert (None, "test") not in n and n[(None, "train")] == sum(r[2] is None for r in rows)
+
+
+def test_split_key_parts_do_not_run_together(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "a")], "x string, y string")
+    assert len({r[0] for r in df.select(PR.split_hash(["x", "y"])).collect()}) == 3
+
+
+def test_null_entities_are_nobody(spark):
+    from kestrel.operators import patterns as P
+    rows = [(i, None, 1_000_000 * i, 2.0 if i == 0 else 90.0, f"d{i}") for i in range(7)] + \
+           [(100 + i, 5, 1_000_000 * i, 1.0, "d") for i in range(7)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, us long, purchase_value double, device_id string")
+    df = df.withColumn("purchase_time", F.timestamp_micros("us"))
+    for out, col, own, seen in ((P.velocity(df), "txn_velocity", 1, 7), (P.device_changes(df), "device_changes_24h", 0, 0),
+                                (P.micro_test(df), "micro_test", 0, 0)):
+        got = {r["event_id"]: r[col] for r in out.collect()}
+        assert all(got[i] == own for i in range(7)) and got[106] == seen
+
+
+def test_window_columns_keep_their_types_without_times(spark):
+    from kestrel.operators import features as FE
+    df = spark.createDataFrame([(1, "d", 3.0, None), (2, "e", 4.0, None)], "user_id long, device_id string, purchase_value double, purchase_time timestamp")
+    some = df.withColumn("purchase_time", F.lit("2024-01-01").cast("timestamp"))
+    assert FE.add_time_window_features(df).dtypes == FE.add_time_window_features(some).dtypes
