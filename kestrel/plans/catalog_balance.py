@@ -31,9 +31,41 @@ def q_smote_counts(spark, sf):
     return finish(B.smote(TV.vec(spark, sf)).groupBy("y").agg(F.count("*").alias("n")))
 
 
-@query("smote")
+def _digest(df):
+    """Rows of a sampler with their vector as its first component and its sum."""
+    e = F.col("embedding")
+    return finish(df.select("vec_id", "y", "synthetic", "seed_id", "nb_id", "copy", "u", e[0].alias("v_first"),
+                            F.aggregate(e, F.lit(0.0), lambda a, x: a + x).alias("v_sum")))
+
+
+def _draw_sql(seed: int, *cols: str) -> str:
+    text = " || ':' || ".join([f"'{seed}'", *[f"CAST({c} AS VARCHAR)" for c in cols]])
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
+
+
+def _synthetic_sql(*ctes: tuple[str, str]) -> str:
+    """Originals and synthetic rows; the last CTE is ``seeds`` (vec_id, n): copies per row."""
+    return final_sql(V.with_(("vec", V.VEC), ("a", "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, y FROM vec"),
+                             ("m", "SELECT * FROM a WHERE y = 1"), ("near", f"""
+SELECT vec_id, list(nb ORDER BY d, nb)[1:5] AS nbs FROM ({_PAIRS_MIN}) p GROUP BY vec_id"""), *ctes, ("c", f"""
+SELECT s.vec_id, s.copy, nbs[1 + {_draw_sql(42, 's.vec_id', 's.copy')} % len(nbs)] AS nb_id,
+  {_draw_sql(43, 's.vec_id', 's.copy')} / 4503599627370496.0 AS u
+FROM (SELECT vec_id, unnest(range(n)) AS copy FROM seeds) s JOIN near USING (vec_id)"""), ("r", """
+SELECT CAST(NULL AS BIGINT) AS vec_id, 1 AS y, 1 AS synthetic, c.vec_id AS seed_id, c.nb_id, c.copy, c.u,
+  list_transform(range(1, len(x.e) + 1), lambda i: x.e[i] + c.u * (z.e[i] - x.e[i])) AS e
+FROM c JOIN m x ON x.vec_id = c.vec_id JOIN m z ON z.vec_id = c.nb_id
+UNION ALL SELECT vec_id, y, 0, NULL, NULL, NULL, NULL, e FROM a""")) + """
+SELECT vec_id, y, synthetic, seed_id, nb_id, copy, u, e[1] AS v_first, list_sum(e) AS v_sum FROM r""",
+                     doubles=["u", "v_first", "v_sum"], ints=["vec_id", "y", "synthetic", "seed_id", "nb_id", "copy"])
+
+
+@query("smote", _synthetic_sql(("seeds", f"""
+SELECT vec_id, (SELECT count(*) FILTER (WHERE y = 0) - count(*) FILTER (WHERE y = 1) FROM a) // count(*) OVER ()
+  + CASE WHEN row_number() OVER (ORDER BY {_draw_sql(42, 'vec_id')})
+      <= (SELECT count(*) FILTER (WHERE y = 0) - count(*) FILTER (WHERE y = 1) FROM a) % count(*) OVER () THEN 1 ELSE 0 END AS n
+FROM m""")))
 def q_smote(spark, sf):
-    return finish(B.smote(TV.vec(spark, sf)))
+    return _digest(B.smote(TV.vec(spark, sf)))
 
 
 @query("adasyn_weights", final_sql(V.with_(("vec", V.VEC), ("a", """
@@ -51,6 +83,11 @@ def q_adasyn_weights(spark, sf):
     return finish(B.adasyn_weights(TV.vec(spark, sf), minority=1))
 
 
-@query("adasyn")
+@query("adasyn", _synthetic_sql(("t", """
+SELECT vec_id, count(*) FILTER (WHERE nby <> 1) AS k FROM (
+  SELECT m.vec_id, o.y AS nby, row_number() OVER (PARTITION BY m.vec_id ORDER BY list_distance(m.e, o.e), o.vec_id) AS rk
+  FROM m JOIN a o ON m.vec_id <> o.vec_id) q WHERE rk <= 5 GROUP BY vec_id"""), ("seeds", """
+SELECT vec_id, CAST(round_even(k * (SELECT count(*) FILTER (WHERE y = 0) - count(*) FILTER (WHERE y = 1) FROM a)
+  / (SELECT sum(k) FROM t), 0) AS BIGINT) AS n FROM t""")))
 def q_adasyn(spark, sf):
-    return finish(B.adasyn(TV.vec(spark, sf)))
+    return _digest(B.adasyn(TV.vec(spark, sf)))

@@ -94,18 +94,33 @@ def test_stratified_split_sizes_and_ties(spark):
     assert out.count() == 900
 
 
-def test_knn_chunked_equals_single_chunk(spark):
+@pytest.mark.parametrize("block,stream", [(10**6, 10**6), (40, 10**6), (25, 10)])
+def test_knn_blocks_equal_brute_force(spark, block, stream):
     rng = np.random.default_rng(11)
-    pts = rng.normal(0, 1, (300, 8))
+    pts = np.concatenate([rng.normal(0, 1, (220, 8)), rng.normal(9, 0.1, (60, 8)), np.zeros((20, 8))])
     df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)],
-                               "vec_id long, embedding array<double>")
-    one = {r.qid: r.nb for r in BL.knn(df, df, 5).collect()}
-    many = {r.qid: r.nb for r in BL.knn(df, df, 5, chunk_rows=40).collect()}
-    assert one == many
-    d = ((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1)
+                               "vec_id long, embedding array<double>").repartition(3)
+    got = {r.qid: r.nb for r in BL.knn(df, df, 5, block_rows=block, stream_rows=stream).collect()}
+    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
-    for i in range(0, 300, 37):
-        assert one[i] == [int(j) for j in np.lexsort((np.arange(300), d[i]))[:5]]
+    for i in range(300):
+        assert got[i] == [int(j) for j in np.lexsort((np.arange(300), d[i]))[:5]]
+    one = df.where("vec_id = 3")
+    assert BL.knn(one, one, 5).first()["nb"] == [] and BL.knn(one, one.where("false"), 5).first()["nb"] == []
+
+
+def test_balance_counts_with_identical_rows(spark):
+    from kestrel.plans.jobs import _balance
+
+    class Model:
+        feature_names = ["a", "b c"]
+
+    rows = [(float(i % 8), float(i % 4), 1, "train") for i in range(24)] + \
+           [(float(i % 20), float(i % 6), 0, "train") for i in range(60)] + [(1.0, 1.0, 1, "test")]
+    df = spark.createDataFrame(rows, "a double, `b c` double, y int, split string")
+    out = _balance(df, Model, "y", "smote")
+    n = {(r.y, r.synthetic): r["count"] for r in out.groupBy("y", "synthetic").count().collect()}
+    assert n == {(0, 0): 60, (1, 0): 24, (1, 1): 36}
 
 
 def test_windows_sliced_equals_plain(spark):
