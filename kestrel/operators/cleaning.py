@@ -233,6 +233,31 @@ def impute_numeric(df: DataFrame, protect=SC.PROTECTED, skew_limit: float = SKEW
     return df.withColumns(fills) if fills else df
 
 
+def fit_numeric_fills(df: DataFrame, protect=SC.PROTECTED, skew_limit: float = SKEW_LIMIT) -> dict:
+    """C2's fill value of every numeric column, whether or not it has nulls now:
+    for rows that arrive later. Columns without a value have none."""
+    cols = SC.numeric_columns(df, exclude=set(protect))
+    if not cols:
+        return {}
+    x = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
+    st = df.agg(*[a for i, c in enumerate(cols) for a in (adjusted_skew(x[c]).alias(f"s{i}"), F.avg(x[c]).alias(f"m{i}"))]).first()
+    skews = {c: st[f"s{i}"] for i, c in enumerate(cols)}
+    fills = {c: st[f"m{i}"] for i, c in enumerate(cols)}
+    skewed = [c for c in cols if skews[c] is not None and not math.isnan(skews[c]) and abs(skews[c]) > skew_limit]
+    if skewed:
+        fills.update({c: q[0] for c, q in column_quantiles(df, skewed, [0.5]).items()})
+    return {c: float(v) for c, v in fills.items() if v is not None}
+
+
+def fit_datetime_fills(df: DataFrame, cols=SC.ECOM_DATETIME) -> dict:
+    """The median of each datetime column in whole epoch microseconds."""
+    cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return {}
+    micros = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).cast("double").alias(c) for c in cols])
+    return {c: math.floor(q[0]) for c, q in column_quantiles(micros, cols, [0.5]).items() if q[0] is not None}
+
+
 def impute_categorical(df: DataFrame, fill: str = UNKNOWN, protect=(),
                        report: CleaningReport | None = None) -> DataFrame:
     """Text nulls become 'Unknown'."""

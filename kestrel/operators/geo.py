@@ -66,10 +66,14 @@ def clean_ranges(ranges: DataFrame) -> DataFrame:
 
 def range_pieces(ranges: DataFrame) -> DataFrame:
     """Disjoint pieces (lo, hi, country, bucket), one row per /16 bucket touched."""
-    r = ranges.select(F.col(LOWER).alias("lo"), F.col(UPPER).alias("up"),
-                      F.col(COUNTRY).alias("country"))
+    # Addresses live in 0..2^32-1: bounds are clamped before anything else, so no
+    # bound, however large, makes more than 2^16 buckets.
+    r = (ranges.where((F.col(UPPER) >= 0) & (F.col(LOWER) <= MAX_IP))
+         .select(F.greatest(F.col(LOWER), F.lit(0).cast("bigint")).alias("lo"),
+                 F.least(F.col(UPPER), F.lit(MAX_IP).cast("bigint")).alias("up"), F.col(COUNTRY).alias("country"),
+                 F.col(LOWER).alias("given")))
     r = r.withColumn("b", F.shiftright("lo", BUCKET_BITS))
-    in_bucket = Window.partitionBy("b").orderBy("lo", "up", "country")
+    in_bucket = Window.partitionBy("b").orderBy("lo", "given", "up", "country")
     r = r.withColumn("next_lo", F.lead("lo").over(in_bucket))
     # First lower bound of the next non-empty bucket: one row per bucket, so
     # this global window is bounded by 2^16 rows whatever the table size.
@@ -79,30 +83,40 @@ def range_pieces(ranges: DataFrame) -> DataFrame:
     nxt = F.coalesce("next_lo", "next_b_lo")
     hi = F.when(nxt.isNull(), F.col("up")).otherwise(F.least(F.col("up"), nxt - 1))
     r = r.select("lo", hi.alias("hi"), "country").where(F.col("hi") >= F.col("lo"))
-    # Addresses live in 0..2^32-1; clamp so a huge bound cannot explode rows.
-    r = r.where((F.col("hi") >= 0) & (F.col("lo") <= MAX_IP))
-    first_b = F.shiftright(F.greatest(F.col("lo"), F.lit(0)), BUCKET_BITS)
-    last_b = F.shiftright(F.least(F.col("hi"), F.lit(MAX_IP)), BUCKET_BITS)
+    first_b, last_b = F.shiftright("lo", BUCKET_BITS), F.shiftright("hi", BUCKET_BITS)
     return r.select("lo", "hi", "country",
                     F.explode(F.sequence(first_b, last_b)).alias("bucket"))
 
 
+def stored_pieces(ranges: DataFrame | None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame | None:
+    """The pieces of a range table, made once (reliable checkpoint) for jobs that
+    look addresses up again and again; broadcast when their count allows it."""
+    from kestrel.session import cut_lineage
+    if ranges is None:
+        return None
+    pieces = cut_lineage(range_pieces(ranges))
+    return F.broadcast(pieces) if pieces.count() <= broadcast_max_rows else pieces
+
+
 def map_ips_to_countries(df: DataFrame, ranges: DataFrame | None, ip_col: str = "ip_address",
                          out_col: str = "country",
                          broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Add ``out_col`` (country or 'Unknown') to every row of ``df``.
 
-    ``ranges`` is a cleaned range table (``clean_ranges``). No ranges or no
-    address column gives 'Unknown' for every row.
+    ``ranges`` is a cleaned range table (``clean_ranges``), or the pieces made
+    from one by ``stored_pieces``. No ranges or no address column gives
+    'Unknown' for every row.
     """
     if ranges is None or ip_col not in df.columns:
         return df.withColumn(out_col, F.lit(UNKNOWN))
-    pieces = range_pieces(ranges)
-    n_pieces = pieces.count()
-    if n_pieces == 0:
-        return df.withColumn(out_col, F.lit(UNKNOWN))
-    if n_pieces <= broadcast_max_rows:
-        pieces = F.broadcast(pieces)
+    pieces = ranges
+    if "bucket" not in ranges.columns:
+        pieces = range_pieces(ranges)
+        n_pieces = pieces.count()
+        if n_pieces == 0:
+            return df.withColumn(out_col, F.lit(UNKNOWN))
+        if n_pieces <= broadcast_max_rows:
+            pieces = F.broadcast(pieces)
     ip = ip_to_int(F.col(ip_col), df.schema[ip_col].dataType)
     keyed = df.withColumn("__ip", ip).withColumn("__b", F.shiftright("__ip", BUCKET_BITS))
     cond = (F.col("__b") == F.col("__p.bucket")) & F.col("__ip").between(F.col("__p.lo"),

@@ -15,19 +15,22 @@ watermark; stored entity features are refreshed by J4.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kestrel import schemas as SC
-from kestrel.functions.casts import epoch_micros
+from kestrel.functions.casts import epoch_micros, ip_to_int, nan_to_null
 from kestrel.functions.stats import exact_quantiles
 from kestrel.operators import cleaning as CL
 from kestrel.operators import features as FE
 from kestrel.operators import geo
+from kestrel.operators import metrics as M
 from kestrel.operators import rules as R
 from kestrel.session import scratch_path
 from kestrel.sources.files import parse_records
@@ -38,7 +41,8 @@ ECOM_RECORD = T.StructType([
     T.StructField("purchase_value", T.DoubleType()), T.StructField("device_id", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("browser", T.StringType()),
     T.StructField("sex", T.StringType()), T.StructField("age", T.DoubleType()),
-    T.StructField("ip_int", T.LongType()), T.StructField("class", T.IntegerType()),
+    T.StructField("ip_address", T.StringType()), T.StructField("ip_int", T.LongType()),
+    T.StructField("class", T.IntegerType()),
 ])
 
 BANK_RECORD = T.StructType(
@@ -57,6 +61,7 @@ class EcommerceState:
     ratio_p99: float | None = None
     user_table: DataFrame | None = None                 # user_id -> count, avg, windows
     entity_tables: dict = field(default_factory=dict)   # entity -> window table
+    pieces: DataFrame | None = None                     # IP pieces, made once
     windows: tuple = FE.DEFAULT_WINDOWS
 
 
@@ -74,9 +79,15 @@ def entity_table(history: DataFrame, ent: str, max_us: int, windows=FE.DEFAULT_W
 def fit_ecommerce_state(history: DataFrame, ranges: DataFrame | None, ip_col: str = "ip_int",
                         entities=("user_id", "device_id", "ip_int"),
                         windows=FE.DEFAULT_WINDOWS) -> EcommerceState:
-    """Fit on a typed history table (one statistics pass per statistic, as in batch)."""
+    """Fit on a history table. Fill values are those of the batch cleaning (C1, C2),
+    for every column and not only those with nulls in the history; the other
+    statistics are taken from the history with its nulls filled."""
     st = EcommerceState(windows=tuple(windows))
-    hist = geo.map_ips_to_countries(history, ranges, ip_col=ip_col)
+    typed = CL.correct_data_types(history, "ecommerce")
+    st.datetime_fill = CL.fit_datetime_fills(typed)
+    st.numeric_fill = CL.fit_numeric_fills(typed.select(*[c for c in SC.ECOM_NUMERIC if c in typed.columns]))
+    st.pieces = geo.stored_pieces(ranges)
+    hist = geo.map_ips_to_countries(filled(typed, st, ip_col), st.pieces, ip_col=ip_col)
     h = FE.hours_between(F.col("purchase_time"), F.col("signup_time"))
     hist = hist.withColumn("__h", F.when(h >= 0, h))
     st.hours_median = exact_quantiles(hist, "__h", [0.5])[0]
@@ -101,16 +112,25 @@ def _stored(table: DataFrame) -> DataFrame:
     return broadcast_if_small(cut_lineage(table))
 
 
-def ecommerce_features_stream(batch: DataFrame, st: EcommerceState, ranges: DataFrame | None,
+def filled(typed: DataFrame, st: EcommerceState, ip_col: str = "ip_int") -> DataFrame:
+    """Stored fills for datetimes and numbers, 'Unknown' for text, and the address
+    as a number, from its dotted or digit text where it has no number yet."""
+    out = typed
+    if "ip_address" in out.columns and ip_col != "ip_address":
+        parsed = ip_to_int(F.col("ip_address"), out.schema["ip_address"].dataType)
+        out = out.withColumn(ip_col, F.coalesce(F.col(ip_col), parsed) if ip_col in out.columns else parsed)
+    fills = {c: F.coalesce(F.col(c), F.timestamp_micros(F.lit(v))) for c, v in st.datetime_fill.items() if c in out.columns}
+    fills.update({c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(v))
+                  for c, v in st.numeric_fill.items() if c in out.columns})
+    out = out.withColumns(fills) if fills else out
+    return CL.impute_categorical(out, protect=("ip_address",))
+
+
+def ecommerce_features_stream(batch: DataFrame, st: EcommerceState, ranges: DataFrame | None = None,
                               ip_col: str = "ip_int") -> DataFrame:
     """The E8 feature table for new rows, using only stored statistics."""
-    typed = CL.correct_data_types(batch, "ecommerce")
-    fills = {c: F.coalesce(F.col(c), F.timestamp_micros(F.lit(v)))
-             for c, v in st.datetime_fill.items() if c in typed.columns and v is not None}
-    fills.update({c: F.coalesce(F.col(c), F.lit(v)) for c, v in st.numeric_fill.items()
-                  if c in typed.columns and v is not None})
-    out = typed.withColumns(fills) if fills else typed
-    out = geo.map_ips_to_countries(out, ranges, ip_col=ip_col)
+    out = filled(CL.correct_data_types(batch, "ecommerce"), st, ip_col)
+    out = geo.map_ips_to_countries(out, st.pieces if st.pieces is not None else ranges, ip_col=ip_col)
     out = FE.add_time_parts(out)
     h = FE.hours_between(F.col("purchase_time"), F.col("signup_time"))
     hours = F.when(h >= 0, h)
@@ -135,19 +155,58 @@ def ecommerce_features_stream(batch: DataFrame, st: EcommerceState, ranges: Data
     return out.withColumns(zero)
 
 
+def with_velocity(df: DataFrame, windows: DataFrame, user_col: str = "user_id",
+                  time_col: str = "purchase_time") -> DataFrame:
+    """``txn_velocity``: the largest count among the user's velocity windows
+    that hold the row's time; null without one."""
+    w = windows.select(F.col(user_col).alias("__u"), "window_start", "window_end", F.col("n").alias("__n"))
+    t = F.col(time_col)
+    keyed = df.withColumn("__row", F.monotonically_increasing_id())
+    hit = (keyed.select("__row", user_col, time_col)
+           .join(w, (F.col(user_col) == F.col("__u")) & (t >= F.col("window_start")) & (t < F.col("window_end")))
+           .groupBy("__row").agg(F.max("__n").alias("txn_velocity")))
+    return keyed.join(hit, "__row", "left").drop("__row")
+
+
 def score_decide(feats: DataFrame, scorer, codes: DataFrame | None = None,
-                 rules: dict | None = None) -> DataFrame:
-    """Model probability + decision. ``scorer(df)`` adds ``fraud_probability``.
-    ``txn_velocity`` comes from the velocity stream (J3); absent here it is
-    NULL, so its condition does not fire."""
+                 rules: dict | None = None, threshold: float = M.DEFAULT_THRESHOLD,
+                 explain=None) -> DataFrame:
+    """Model probability, ``is_fraud`` at ``threshold`` and the decision.
+    ``scorer(df)`` adds ``fraud_probability``; ``explain(df)``, optional, adds
+    ``top_features`` and ``base_value``. ``txn_velocity`` comes from the velocity
+    stream (``with_velocity``); without it it is NULL and its condition does not
+    fire."""
     from kestrel.functions.joins import attach_country_codes
     s = scorer(feats)
+    if explain is not None:
+        s = explain(s)
     if codes is not None:
         s = attach_country_codes(s.withColumnRenamed("country", "country_name"), codes,
                                  "country_name", "country")
-    s = s.withColumns({"time_since_signup": F.col("time_since_signup_hours"),
-                       "txn_velocity": F.lit(None).cast("bigint")})
-    return R.decide(s, rules)
+    extra = {"time_since_signup": F.col("time_since_signup_hours"),
+             "threshold": F.lit(float(threshold)),
+             "is_fraud": (F.col("fraud_probability") >= F.lit(float(threshold))).cast("int")}
+    if "txn_velocity" not in s.columns:
+        extra["txn_velocity"] = F.lit(None).cast("bigint")
+    return R.decide(s.withColumns(extra), rules)
+
+
+def _sink(df: DataFrame, path: str, epoch: int) -> None:
+    """Write a micro-batch into the folder of its number: a replayed batch replaces
+    what its first run wrote."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={epoch}")
+
+
+def _started(lines: DataFrame, handle, checkpoint: str, available_now: bool, every: str) -> StreamingQuery:
+    def once(batch: DataFrame, epoch: int) -> None:
+        held = batch.persist()   # read by the scored rows and by the rejects
+        try:
+            handle(held, epoch)
+        finally:
+            held.unpersist()
+
+    w = lines.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)).start()
 
 
 # J1 / J5 -------------------------------------------------------------------------
@@ -155,51 +214,55 @@ def start_ecommerce_scoring(spark: SparkSession, source_dir: str, out_dir: str,
                             st: EcommerceState, ranges: DataFrame | None, scorer,
                             codes: DataFrame | None = None, checkpoint: str | None = None,
                             max_files_per_trigger: int = 1, available_now: bool = True,
-                            keep=("event_id", "user_id", "class")) -> StreamingQuery:
-    """JSON lines in ``source_dir`` -> scored rows (parquet, append) in
-    ``out_dir``; records that do not parse go to ``reject_dir`` (J5)."""
+                            keep=("event_id", "user_id", "class"), threshold: float = M.DEFAULT_THRESHOLD,
+                            explain=None, velocity_dir: str | None = None, table_dir: str | None = None,
+                            extra=()) -> StreamingQuery:
+    """JSON lines in ``source_dir`` -> scored rows (parquet) in ``out_dir``;
+    records that do not parse go to ``reject_dir`` (J5). ``velocity_dir`` is J3's
+    sink and ``table_dir`` J4's; both are read anew by every micro-batch."""
     lines = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
              .text(source_dir))
 
     def handle(batch: DataFrame, epoch: int) -> None:
         good, bad = parse_records(batch, ECOM_RECORD)
-        bad.write.mode("append").parquet(reject_dir)
-        feats = ecommerce_features_stream(good, st, ranges)
-        out = score_decide(feats, scorer, codes)
-        cols = [*keep, "country", "fraud_probability", "decision", "fired_rules"]
-        out.select(*cols, F.lit(epoch).alias("batch_id")).write.mode("append").parquet(out_dir)
+        _sink(bad, reject_dir, epoch)
+        fresh = latest_table(spark, table_dir) if table_dir else None
+        state = st if fresh is None else replace(st, user_table=fresh)
+        feats = ecommerce_features_stream(good, state, ranges)
+        if velocity_dir:
+            feats = with_velocity(feats, spark.read.parquet(velocity_dir))
+        out = score_decide(feats, scorer, codes, threshold=threshold, explain=explain)
+        cols = [*keep, "country", "fraud_probability", "is_fraud", "threshold", "decision", "fired_rules"]
+        cols += ["top_features", "base_value"] if explain is not None else []
+        _sink(out.select(*cols, *extra), out_dir, epoch)
 
-    w = lines.writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "ecom-scoring"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _started(lines, handle, checkpoint or scratch_path(spark, "ecom-scoring"), available_now, "10 seconds")
 
 
 # J2 ----------------------------------------------------------------------------
 def start_bank_scoring(spark: SparkSession, source_dir: str, out_dir: str, reject_dir: str,
                        numeric_fill: dict, preprocessor, scorer, checkpoint: str | None = None,
-                       available_now: bool = True) -> StreamingQuery:
-    """Card records -> stored fills -> stored scaler -> model -> decision."""
+                       available_now: bool = True, threshold: float = M.DEFAULT_THRESHOLD,
+                       explain=None) -> StreamingQuery:
+    """Card records -> stored fills -> stored scaler -> model -> decision. The
+    amount is the purchase value of the rules."""
     lines = spark.readStream.option("maxFilesPerTrigger", 1).text(source_dir)
 
     def handle(batch: DataFrame, epoch: int) -> None:
         good, bad = parse_records(batch, BANK_RECORD)
-        bad.write.mode("append").parquet(reject_dir)
+        _sink(bad, reject_dir, epoch)
         x = good.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in numeric_fill.items()
                               if v is not None and c in good.columns})
-        x = preprocessor.transform(x, keep=["transaction_id", "Class"])
-        s = scorer(x)
-        s = R.decide(s.withColumns({"country": F.lit(None).cast("string"),
-                                    "time_since_signup": F.lit(None).cast("double"),
-                                    "purchase_value": F.lit(None).cast("double"),
-                                    "txn_velocity": F.lit(None).cast("bigint")}))
-        s.select("transaction_id", "Class", "fraud_probability", "decision",
-                 F.lit(epoch).alias("batch_id")).write.mode("append").parquet(out_dir)
+        x = preprocessor.transform(x.withColumn("purchase_value", F.col("Amount")),
+                                   keep=["transaction_id", "Class", "purchase_value"])
+        s = x.withColumns({"country": F.lit(None).cast("string"),
+                           "time_since_signup_hours": F.lit(None).cast("double")})
+        s = score_decide(s, scorer, threshold=threshold, explain=explain)
+        cols = ["transaction_id", "Class", "fraud_probability", "is_fraud", "threshold", "decision"]
+        cols += ["top_features", "base_value"] if explain is not None else []
+        _sink(s.select(*cols), out_dir, epoch)
 
-    w = lines.writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "bank-scoring"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _started(lines, handle, checkpoint or scratch_path(spark, "bank-scoring"), available_now, "10 seconds")
 
 
 # J3 ----------------------------------------------------------------------------
@@ -250,31 +313,46 @@ def _start_with_state_partitions(spark: SparkSession, writer) -> StreamingQuery:
 # J4 ----------------------------------------------------------------------------
 def start_entity_refresh(spark: SparkSession, source_dir: str, history_dir: str, table_dir: str,
                          entity: str = "user_id", windows=FE.DEFAULT_WINDOWS,
-                         checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Append each micro-batch to the history table, then rebuild the
-    entity's activity table from the history (windows are anchored at the
-    newest row, so every entity's totals move with time)."""
+                         checkpoint: str | None = None, available_now: bool = True,
+                         with_user_stats: bool = False) -> StreamingQuery:
+    """Add each micro-batch to the history, then publish a new version of the
+    entity's activity table (windows are anchored at the newest row, so every
+    entity's totals move with time). Batches and versions are folders by batch
+    number: a replay replaces its own, and readers of the version before are not
+    disturbed."""
     s = spark.readStream.schema(ECOM_RECORD).option("maxFilesPerTrigger", 1).json(source_dir)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        batch.withColumn("purchase_time", F.to_timestamp("purchase_time")) \
-            .write.mode("append").parquet(history_dir)
+        _sink(batch.withColumn("purchase_time", F.to_timestamp("purchase_time")), history_dir, epoch)
         hist = spark.read.parquet(history_dir)
         max_us = FE.max_epoch_micros(hist, "purchase_time")
-        entity_table(hist, entity, max_us, windows).write.mode("overwrite").parquet(table_dir)
+        if max_us is not None:
+            _sink(entity_table(hist, entity, max_us, windows, with_user_stats), table_dir, epoch)
 
-    w = s.writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "entity-refresh"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _started(s, handle, checkpoint or scratch_path(spark, "entity-refresh"), available_now, "1 minute")
+
+
+def latest_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
+    """The newest version that J4 published, or None before the first."""
+    try:
+        versions = spark.read.parquet(table_dir)
+    except AnalysisException:   # nothing published yet
+        return None
+    newest = versions.agg(F.max("batch_id").alias("v")).first()["v"]
+    return None if newest is None else versions.where(F.col("batch_id") == newest).drop("batch_id")
+
+
+SLICE_ROWS = 100_000
 
 
 def write_in_time_order(df: DataFrame, path: str, n: int = 4,
                         time_col: str = "purchase_time") -> None:
     """Write rows as JSON files in ``n`` time slices, one append per slice,
     so a file stream sees them in time order (files are taken by modification
-    time). Cut points come from ``percentile_approx`` (n - 1 scalars)."""
+    time). Slices hold about ``SLICE_ROWS`` rows at most, so the one file and task
+    of each stays small. Cut points come from ``percentile_approx``."""
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    n = max(n, math.ceil(df.count() / SLICE_ROWS))
     cuts = df.agg(F.percentile_approx(t, [i / n for i in range(1, n)], 10_000)).first()[0]
     bounds = [None] + sorted(set(cuts)) + [None]
     out = df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -298,6 +376,21 @@ def linear_scorer(coef: dict, intercept: float, means: dict | None = None):
     return fn
 
 
+def linear_explainer(coef: dict, intercept: float, means: dict, top: int = 5):
+    """The ``top`` contributions of a linear model as an array, and its base value."""
+    base = float(intercept) + sum(float(w) * float(means[c]) for c, w in coef.items())
+
+    def fn(df: DataFrame) -> DataFrame:
+        items = []
+        for c, w in coef.items():
+            v = F.lit(float(w)) * (F.coalesce(F.col(c).cast("double"), F.lit(float(means[c]))) - F.lit(float(means[c])))
+            items.append(F.struct(F.abs(v).alias("a"), F.lit(c).alias("feature"), v.alias("contribution")))
+        ranked = F.slice(F.sort_array(F.array(*items), asc=False), 1, top)
+        return df.withColumns({"top_features": F.transform(ranked, lambda x: F.struct(x["feature"].alias("feature"), x["contribution"].alias("contribution"))),
+                               "base_value": F.lit(base)})
+    return fn
+
+
 def model_scorer(model):
     """A scorer for a fitted Spark ML PipelineModel (assembler + classifier)."""
     from kestrel.plans.models import positive_probability
