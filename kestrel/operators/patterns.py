@@ -41,15 +41,15 @@ def geo_mismatch(df: DataFrame, user_col: str = "user_id", country_col: str = "c
     """Flag a row whose country the user has not used before (in (time, key)
     order), except the user's first row.
 
-    Two aggregates joined back (first row per (user, country), first row per
-    user) instead of windows per user, so a hot user is combined map-side.
+    One aggregate finds the first row per (user, country) and is rolled up to the
+    user's first row; one join brings both back. A hot user is combined map-side.
     """
     order = F.struct(_t(df, time_col).alias("t"), F.col(key_col).alias("k"))
     base = df.withColumn("__o", order)
-    first_pair = base.groupBy(user_col, country_col).agg(F.min("__o").alias("__first_pair"))
-    first_user = base.groupBy(user_col).agg(F.min("__o").alias("__first_user"))
-    out = (base.join(first_pair, [user_col, country_col], "left")
-           .join(first_user, user_col, "left"))
+    pairs = base.groupBy(user_col, country_col).agg(F.min("__o").alias("__first_pair"))
+    users = pairs.groupBy(user_col).agg(F.min("__first_pair").alias("__first_user"))
+    firsts = pairs.join(users, user_col)
+    out = base.join(firsts, [user_col, country_col], "left")
     flag = (F.col("__o") == F.col("__first_pair")) & (F.col("__o") != F.col("__first_user"))
     return out.withColumn("geo_mismatch", F.coalesce(flag, F.lit(False)).cast("int")) \
         .drop("__o", "__first_pair", "__first_user")

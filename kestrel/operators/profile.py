@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from kestrel import schemas as SC
 from kestrel.functions.stats import column_quantiles, grouped_quantiles, running_sums
+from kestrel.session import cut_lineage
 
 
 def _stack(cols, values_fn, names) -> str:
@@ -232,7 +233,8 @@ def kruskal_ranks(df: DataFrame, col: str, group_col: str) -> DataFrame:
     """
     x = F.col(col).cast("double")
     base = df.where(x.isNotNull() & F.col(group_col).isNotNull())
-    vg = base.groupBy(x.alias("v"), F.col(group_col).alias("g")).agg(F.count("*").alias("c"))
+    # Read three times below; made once.
+    vg = cut_lineage(base.groupBy(x.alias("v"), F.col(group_col).alias("g")).agg(F.count("*").alias("c")))
     vt = vg.groupBy("v").agg(F.sum("c").alias("t"))
     cum = running_sums(vt, "v", ["t"])
     ranks = cum.select("v", (F.col("t_cum") - F.col("t") + (F.col("t") + 1) / 2.0).alias("r"))

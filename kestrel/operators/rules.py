@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The decision configuration (thresholds, country codes, costs).
@@ -54,12 +54,13 @@ class RuleError(ValueError):
     pass
 
 
-def load_rules(path: str | None = None) -> dict:
-    """Read a rule file (JSON) on the driver; default: the built-in set."""
+def load_rules(path: str | None = None, spark: SparkSession | None = None) -> dict:
+    """Read a rule file (JSON); default: the built-in set. The file is read by
+    Spark, so it may lie in any store the session reads."""
     if path is None:
         return DEFAULT_RULES
-    with open(path) as fh:
-        return json.load(fh)
+    spark = spark or SparkSession.getActiveSession()
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def condition(cond: dict, columns=None) -> Column:
