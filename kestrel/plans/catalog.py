@@ -29,5 +29,5 @@ def load_all():
     from kestrel.plans import (catalog_geo, catalog_clean, catalog_features,  # noqa: F401
                                catalog_prep, catalog_profile, catalog_metrics,
                                catalog_rules, catalog_models, catalog_balance,
-                               catalog_streaming)
+                               catalog_streaming, catalog_sources)
     return QUERIES, ORACLES
