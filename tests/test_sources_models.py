@@ -65,6 +65,11 @@ def test_train_compare_explain_save(spark, tmp_dir):
     assert res["comparison"].count() == 3
     assert res["explanations"].count() > 0
     assert os.path.isdir(f"{tmp_dir}/models/random_forest")
+    chosen = AR.load_json(spark, f"{tmp_dir}/models/chosen")
+    assert chosen == {"model": res["best"], "threshold": res["threshold"], "features": list(model.feature_names)}
+    test = processed.where("split = 'test'")
+    n = res["comparison"].select(F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).distinct().collect()
+    assert [r[0] for r in n] == [test.count()]     # every test row once, equal ones too
 
 
 def test_job_entry_on_csv_sources(spark, tmp_dir):
