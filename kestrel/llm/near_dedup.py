@@ -11,8 +11,10 @@
 3. Signatures are cut in bands. Nodes that share a band meet in a bucket.
    Pairs at the similarity limit share a band with a chance of 1 - 1.2e-7
    (40 bands of 5).
-4. In each bucket all nodes are compared with the smallest one, on full sets,
-   and the links found are grouped (``components``). What is left are buckets
+4. In each bucket all nodes are compared with the smallest one. Two bits of each
+   slot, packed into a few words, tell first whether a pair can be similar at all;
+   the others are checked on full sets, and the links found are grouped
+   (``components``). What is left are buckets
    whose nodes lie in several groups: there, node by node ("pivots"), the nodes
    outside the bucket's largest group are compared with the nodes of the other
    groups, until every pair of different groups was compared. Nodes already in
@@ -42,6 +44,7 @@ BANDS, BAND_SIZE = 40, 5
 _U = np.uint64
 _FRACTION_BITS = 40
 _BLOCK = 1 << 20
+SMALL_BUCKET = 4096
 
 
 def shingle_sets(b: Block, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +114,36 @@ def band_keys(sig: np.ndarray, bands: int, size: int) -> np.ndarray:
     return keys
 
 
-_SIGNED = "n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>"
+_SLOTS_A_WORD = 32
+
+
+def digests(sig: np.ndarray) -> np.ndarray:
+    """Two bits of each slot, packed into words: (sets, words) as int64."""
+    bits = mix64(sig) & _U(3)
+    wide = np.zeros((len(sig), -(-sig.shape[1] // _SLOTS_A_WORD) * _SLOTS_A_WORD), dtype=_U)
+    wide[:, : sig.shape[1]] = bits
+    shifts = (2 * np.arange(_SLOTS_A_WORD)).astype(_U)
+    return (wide.reshape(len(sig), -1, _SLOTS_A_WORD) << shifts).sum(axis=2, dtype=_U).view(np.int64)
+
+
+def _digest_words(slots: int) -> int:
+    return -(-slots // _SLOTS_A_WORD)
+
+
+def may_be_similar(x: str, y: str, slots: int, percent: int):
+    """Whether two digests agree in as many slots as similar sets do, less seven
+    standard deviations: a pair at the limit fails with a chance below 1e-11."""
+    differ = F.lit(0)
+    for i in range(_digest_words(slots)):
+        both = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
+        odd = both.bitwiseOR(F.shiftrightunsigned(both, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        differ = differ + F.bit_count(odd)
+    agree = percent / 100 + (1 - percent / 100) / 4
+    least = slots * agree - 7 * (slots * agree * (1 - agree)) ** 0.5
+    return F.lit(slots) - differ >= F.lit(int(least))
+
+
+_SIGNED = "n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, digest array<bigint>"
 
 
 def _sign_batches(words: int, bands: int, size: int):
@@ -126,16 +158,19 @@ def _sign_batches(words: int, bands: int, size: int):
                     total = np.zeros(len(hashes) + 1, dtype=_U)
                     np.cumsum(mix64(hashes * seed + seed), dtype=_U, out=total[1:])
                     sums.append(mix64(total[limits[1:]] - total[limits[:-1]] + n.astype(_U)).view(np.int64))
-                keys = band_keys(superminhash(hashes, limits, bands * size), bands, size)
-                keys = keys[n > 0].view(np.int64)
-                offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [ids[b.rows], pa.array(n), pa.array(sums[0]), pa.array(sums[1]),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
-                    names=["doc_id", "n_shingles", "set_hi", "set_lo", "bands"])
+                sig = superminhash(hashes, limits, bands * size)
+                lists = [_lists(band_keys(sig, bands, size).view(np.int64), n > 0), _lists(digests(sig), n > 0)]
+                yield pa.RecordBatch.from_arrays([ids[b.rows], pa.array(n), pa.array(sums[0]), pa.array(sums[1]), *lists],
+                                                 names=["doc_id", "n_shingles", "set_hi", "set_lo", "bands", "digest"])
     return run
 
 
+def _lists(rows: np.ndarray, keep: np.ndarray) -> pa.ListArray:
+    """One list per row, empty where it is not kept."""
+    offsets = np.concatenate([[0], np.cumsum(np.where(keep, rows.shape[1], 0))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows[keep].ravel()))
+
+
 def _set_batches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,12 +182,27 @@ def _set_batches(words: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) whose full sets are similar enough."""
-    with_x = pairs.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
-    with_y = with_x.join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y")
-    both, nx, ny = F.size(F.array_intersect("sx", "sy")), F.size("sx"), F.size("sy")
-    return with_y.where(100 * both >= percent * (nx + ny - both)).select("x", "y")
+class _Verifier:
+    """Exact similarity of candidate pairs. The shingle sets of the nodes concerned
+    are made from their texts when a pair first needs them."""
+
+    def __init__(self, rows: DataFrame, words: int, percent: int):
+        self.rows, self.words, self.percent = rows, words, percent
+        self.sets: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (x, y) whose full sets are similar enough."""
+        wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+        if self.sets is not None:
+            wanted = written(wanted.join(self.sets.select("node"), "node", "left_anti"), "wanted")
+        if self.sets is None or not wanted.isEmpty():
+            texts = self.rows.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
+            made = written(texts.mapInArrow(_set_batches(self.words), "node bigint, shingles array<bigint>"), "sets")
+            self.sets = made if self.sets is None else self.sets.union(made)
+        with_x = pairs.join(self.sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
+        with_y = with_x.join(self.sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y")
+        both, nx, ny = F.size(F.array_intersect("sx", "sy")), F.size("sx"), F.size("sy")
+        return written(with_y.where(100 * both >= self.percent * (nx + ny - both)).select("x", "y").distinct(), "verified")
 
 
 def _sizes_fit(nx, ny, percent: int):
@@ -161,7 +211,7 @@ def _sizes_fit(nx, ny, percent: int):
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
-                    percent: int = 80, bands: int = BANDS, band_size: int = BAND_SIZE, pivots: int = 16) -> DataFrame:
+                    percent: int = 80, bands: int = BANDS, band_size: int = BAND_SIZE, pivots: int = 1024) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest id
     reachable over links of at least ``percent`` percent similarity) and kept."""
     rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -169,11 +219,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     filled = signed.where("n_shingles > 0 and doc_id is not null")
     # One node per distinct set.
     nodes = written(filled.groupBy("set_hi", "set_lo").agg(
-        F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"), F.min("n_shingles").alias("n")), "nodes")
-    labels = _node_components(nodes, rows, shingle_words, percent, pivots)
+        F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("digest", "doc_id").alias("digest"),
+        F.min("n_shingles").alias("n")), "nodes")
+    labels = _node_components(nodes, _Verifier(rows, shingle_words, percent), bands * band_size, percent, pivots)
     named = nodes.select("set_hi", "set_lo", "node").join(labels, "node", "left").select(
         "set_hi", "set_lo", F.coalesce("component", "node").alias("component"))
-    out = signed.drop("bands").join(named, ["set_hi", "set_lo"], "left")
+    out = signed.drop("bands", "digest").join(named, ["set_hi", "set_lo"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
@@ -193,50 +244,52 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return kept.where(~null).dropDuplicates([id_col]).unionByName(kept.where(null))
 
 
-def _node_components(nodes: DataFrame, rows: DataFrame, words: int, percent: int, pivots: int) -> DataFrame:
+def _node_components(nodes: DataFrame, verifier: _Verifier, slots: int, percent: int, pivots: int) -> DataFrame:
     members = nodes.select(F.explode("bands").alias("key"), "node", "n")
-    crowded = members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.min_by("n", "node").alias("n_least")).where("least < most")
+    crowded = members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
     # Members of buckets with two nodes or more; most nodes have none.
-    shared = written(members.join(crowded, "key"), "buckets")
-    pairs = written(shared.where("node <> least").where(_sizes_fit(F.col("n"), F.col("n_least"), percent))
-                    .select(F.col("node").alias("x"), F.col("least").alias("y")).distinct(), "pairs")
-    wanted = shared.select(F.col("node")).distinct()
-    texts = rows.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    sets = written(texts.mapInArrow(_set_batches(words), "node bigint, shingles array<bigint>"), "sets")
-    links = written(_verified(pairs, sets, percent).distinct(), "verified")
-    tried = pairs
+    shared = written(members.join(crowded.drop("most"), "key"), "buckets")
+    digest = nodes.select("node", "digest", "n")
+    stars = shared.where("node <> least").select(F.col("node").alias("x"), F.col("least").alias("y")).distinct()
+    seen = (stars.join(digest.select(F.col("node").alias("x"), F.col("digest").alias("dx"), F.col("n").alias("nx")), "x")
+            .join(digest.select(F.col("node").alias("y"), F.col("digest").alias("dy"), F.col("n").alias("ny")), "y"))
+    tried = written(seen.where(may_be_similar("dx", "dy", slots, percent) & _sizes_fit(F.col("nx"), F.col("ny"), percent)).select("x", "y"), "pairs")
+    links = verifier.links(tried)
     labels = components(links, "x", "y")
+    outside, rest = _mixed_buckets(shared, digest, labels)
     compared = None  # (key, node) of the pivots so far
     while True:
-        outside, rest = _mixed_buckets(shared, labels, compared)
-        chosen = written(outside.groupBy("key", F.pmod(F.hash("node"), F.lit(pivots)).alias("slot"))
-                         .agg(F.min("node").alias("node")).select("key", "node"), "pivots")
+        # All of a small bucket's at once, ``pivots`` at a time of a large one's.
+        slot = F.when(F.col("total") <= SMALL_BUCKET, F.col("node")).otherwise(F.pmod(F.hash("node"), F.lit(pivots)))
+        left = outside if compared is None else outside.join(compared, ["key", "node"], "left_anti")
+        chosen = written(left.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("node")).select("key", "node"), "pivots")
         if chosen.isEmpty():
             return labels
-        pairs = (chosen.join(rest.select("key", "node", F.col("n").alias("pn"), F.col("c").alias("pc")), ["key", "node"])
-                 .select("key", F.col("node").alias("p"), "pn", "pc")
-                 .join(rest.select("key", "node", "n", "c"), "key").where("c <> pc")
-                 .where(_sizes_fit(F.col("n"), F.col("pn"), percent))
-                 .select(F.greatest("p", "node").alias("x"), F.least("p", "node").alias("y")).distinct())
+        ask = chosen.join(rest, ["key", "node"]).select(
+            F.col("key").alias("pk"), F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("digest").alias("pd"))
+        # The digests are compared inside the join: only likely pairs come out.
+        likely = ((F.col("key") == F.col("pk")) & (F.col("c") != F.col("pc")) & _sizes_fit(F.col("n"), F.col("pn"), percent)
+                  & may_be_similar("digest", "pd", slots, percent))
+        pairs = ask.join(rest, likely).select(F.greatest("p", "node").alias("x"), F.least("p", "node").alias("y")).distinct()
         more = written(pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
         compared = chosen if compared is None else compared.union(chosen)
         if more.isEmpty():
             continue
         tried = tried.union(more)
-        found = written(_verified(more, sets, percent).distinct(), "verified")
+        found = verifier.links(more)
         if not found.isEmpty():
             links = links.union(found)
             labels = components(links, "x", "y")
+            outside, rest = _mixed_buckets(shared, digest, labels)
 
 
-def _mixed_buckets(shared: DataFrame, labels: DataFrame, compared: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _mixed_buckets(shared: DataFrame, digest: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Buckets whose nodes lie in several groups: the nodes outside the bucket's
-    largest group that were not compared yet, and all nodes with their group."""
-    marked = shared.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
+    largest group, and all nodes with their group and digest."""
+    marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     groups = marked.groupBy("key", "c").agg(F.count("*").alias("size"))
     # Two nodes alone were compared in the first round.
     mixed = (groups.groupBy("key").agg(F.count("*").alias("k"), F.max_by("c", F.struct("size", "c")).alias("largest"), F.sum("size").alias("total"))
              .where("k > 1 and total > 2"))
-    rest = written(marked.join(mixed.select("key", "largest"), "key"), "mixed")
-    outside = rest.where("c <> largest").select("key", "node")
-    return (outside if compared is None else outside.join(compared, ["key", "node"], "left_anti")), rest
+    rest = written(marked.join(mixed.select("key", "largest", "total"), "key").join(digest, "node"), "mixed")
+    return rest.where("c <> largest").select("key", "node", "total"), rest
