@@ -12,7 +12,8 @@
    Pairs at the similarity limit share a band with a chance of 1 - 1.2e-7
    (40 bands of 5).
 4. In each bucket all nodes are compared with the smallest one. Two bits of each
-   slot, packed into a few words, tell first whether a pair can be similar at all;
+   slot, packed into a few words, tell first whether a pair can be similar at all,
+   then the distinct 16-bit prints of the two sets, which no similar pair fails;
    the others are checked on full sets, and the links found are grouped
    (``components``). What is left are buckets
    whose nodes lie in several groups: there, node by node ("pivots"), the nodes
@@ -143,7 +144,15 @@ def may_be_similar(x: str, y: str, slots: int, percent: int):
     return F.lit(slots) - differ >= F.lit(int(least))
 
 
-_SIGNED = "n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, digest array<bigint>"
+def prints_fit(x: str, y: str, nx: str, ny: str, percent: int):
+    """Whether two sets can be similar enough, from the distinct 16-bit prints of
+    their elements. Of the common elements at most as many are lost as either set
+    loses to equal prints, so no similar pair fails."""
+    lost = F.least(F.col(nx) - F.size(x), F.col(ny) - F.size(y))
+    return (100 + percent) * (F.size(F.array_intersect(x, y)) + lost) >= percent * (F.col(nx) + F.col(ny))
+
+
+_SIGNED = "n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, digest array<bigint>, prints array<smallint>"
 
 
 def _sign_batches(words: int, bands: int, size: int):
@@ -160,8 +169,9 @@ def _sign_batches(words: int, bands: int, size: int):
                     sums.append(mix64(total[limits[1:]] - total[limits[:-1]] + n.astype(_U)).view(np.int64))
                 sig = superminhash(hashes, limits, bands * size)
                 lists = [_lists(band_keys(sig, bands, size).view(np.int64), n > 0), _lists(digests(sig), n > 0)]
+                lists.append(_prints(hashes, limits))
                 yield pa.RecordBatch.from_arrays([ids[b.rows], pa.array(n), pa.array(sums[0]), pa.array(sums[1]), *lists],
-                                                 names=["doc_id", "n_shingles", "set_hi", "set_lo", "bands", "digest"])
+                                                 names=["doc_id", "n_shingles", "set_hi", "set_lo", "bands", "digest", "prints"])
     return run
 
 
@@ -171,6 +181,16 @@ def _lists(rows: np.ndarray, keep: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows[keep].ravel()))
 
 
+def _prints(hashes: np.ndarray, limits: np.ndarray) -> pa.ListArray:
+    """The distinct 16-bit prints of each set; elements come sorted."""
+    top = (hashes >> _U(48)).astype(np.uint16)
+    new = np.ones(len(top), dtype=bool)
+    new[1:] = top[1:] != top[:-1]
+    new[limits[:-1][np.diff(limits) > 0]] = True
+    offsets = np.concatenate([[0], np.cumsum(segment_sums(new, limits))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(top[new].view(np.int16)))
+
+
 def _set_batches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,10 +241,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = written(filled.groupBy("set_hi", "set_lo").agg(
         F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("digest", "doc_id").alias("digest"),
         F.min("n_shingles").alias("n")), "nodes")
-    labels = _node_components(nodes, _Verifier(rows, shingle_words, percent), bands * band_size, percent, pivots)
+    prints = filled.select(F.col("doc_id").alias("node"), "prints")
+    labels = _node_components(nodes, prints, _Verifier(rows, shingle_words, percent), bands * band_size, percent, pivots)
     named = nodes.select("set_hi", "set_lo", "node").join(labels, "node", "left").select(
         "set_hi", "set_lo", F.coalesce("component", "node").alias("component"))
-    out = signed.drop("bands", "digest").join(named, ["set_hi", "set_lo"], "left")
+    out = signed.drop("bands", "digest", "prints").join(named, ["set_hi", "set_lo"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
@@ -244,7 +265,7 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return kept.where(~null).dropDuplicates([id_col]).unionByName(kept.where(null))
 
 
-def _node_components(nodes: DataFrame, verifier: _Verifier, slots: int, percent: int, pivots: int) -> DataFrame:
+def _node_components(nodes: DataFrame, prints: DataFrame, verifier: _Verifier, slots: int, percent: int, pivots: int) -> DataFrame:
     members = nodes.select(F.explode("bands").alias("key"), "node", "n")
     crowded = members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
     # Members of buckets with two nodes or more; most nodes have none.
@@ -253,10 +274,16 @@ def _node_components(nodes: DataFrame, verifier: _Verifier, slots: int, percent:
     stars = shared.where("node <> least").select(F.col("node").alias("x"), F.col("least").alias("y")).distinct()
     seen = (stars.join(digest.select(F.col("node").alias("x"), F.col("digest").alias("dx"), F.col("n").alias("nx")), "x")
             .join(digest.select(F.col("node").alias("y"), F.col("digest").alias("dy"), F.col("n").alias("ny")), "y"))
-    tried = written(seen.where(may_be_similar("dx", "dy", slots, percent) & _sizes_fit(F.col("nx"), F.col("ny"), percent)).select("x", "y"), "pairs")
+    likely = written(seen.where(may_be_similar("dx", "dy", slots, percent) & _sizes_fit(F.col("nx"), F.col("ny"), percent))
+                     .select("x", "y", "nx", "ny"), "likely")
+    ends = likely.select(F.col("x").alias("node")).union(likely.select("y")).distinct()
+    own = written(prints.join(ends, "node"), "prints")
+    near = (likely.join(own.select(F.col("node").alias("x"), F.col("prints").alias("px")), "x")
+            .join(own.select(F.col("node").alias("y"), F.col("prints").alias("py")), "y"))
+    tried = written(near.where(prints_fit("px", "py", "nx", "ny", percent)).select("x", "y").distinct(), "pairs")
     links = verifier.links(tried)
     labels = components(links, "x", "y")
-    outside, rest = _mixed_buckets(shared, digest, labels)
+    outside, rest = _mixed_buckets(shared, digest, prints, labels)
     compared = None  # (key, node) of the pivots so far
     while True:
         # All of a small bucket's at once, ``pivots`` at a time of a large one's.
@@ -266,10 +293,11 @@ def _node_components(nodes: DataFrame, verifier: _Verifier, slots: int, percent:
         if chosen.isEmpty():
             return labels
         ask = chosen.join(rest, ["key", "node"]).select(
-            F.col("key").alias("pk"), F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("digest").alias("pd"))
-        # The digests are compared inside the join: only likely pairs come out.
+            F.col("key").alias("pk"), F.col("node").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"), F.col("digest").alias("pd"), F.col("prints").alias("pp"))
+        # Digests and prints are compared inside the join: hardly a pair comes out
+        # that is not similar.
         likely = ((F.col("key") == F.col("pk")) & (F.col("c") != F.col("pc")) & _sizes_fit(F.col("n"), F.col("pn"), percent)
-                  & may_be_similar("digest", "pd", slots, percent))
+                  & may_be_similar("digest", "pd", slots, percent) & prints_fit("prints", "pp", "n", "pn", percent))
         pairs = ask.join(rest, likely).select(F.greatest("p", "node").alias("x"), F.least("p", "node").alias("y")).distinct()
         more = written(pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
         compared = chosen if compared is None else compared.union(chosen)
@@ -280,16 +308,18 @@ def _node_components(nodes: DataFrame, verifier: _Verifier, slots: int, percent:
         if not found.isEmpty():
             links = links.union(found)
             labels = components(links, "x", "y")
-            outside, rest = _mixed_buckets(shared, digest, labels)
+            outside, rest = _mixed_buckets(shared, digest, prints, labels)
 
 
-def _mixed_buckets(shared: DataFrame, digest: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _mixed_buckets(shared: DataFrame, digest: DataFrame, prints: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Buckets whose nodes lie in several groups: the nodes outside the bucket's
-    largest group, and all nodes with their group and digest."""
+    largest group, and all nodes with their group, digest and prints."""
     marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     groups = marked.groupBy("key", "c").agg(F.count("*").alias("size"))
     # Two nodes alone were compared in the first round.
     mixed = (groups.groupBy("key").agg(F.count("*").alias("k"), F.max_by("c", F.struct("size", "c")).alias("largest"), F.sum("size").alias("total"))
              .where("k > 1 and total > 2"))
-    rest = written(marked.join(mixed.select("key", "largest", "total"), "key").join(digest, "node"), "mixed")
+    chosen = written(marked.join(mixed.select("key", "largest", "total"), "key"), "mixed")
+    own = prints.join(chosen.select("node").distinct(), "node").join(digest, "node")
+    rest = written(chosen.join(own, "node"), "mixed")
     return rest.where("c <> largest").select("key", "node", "total"), rest
