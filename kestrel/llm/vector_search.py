@@ -11,11 +11,13 @@
    neighbours are found by brute force. The width is the rank distance within
    which ``aim`` of them lie in some ordering, times ``margin``. Every point is
    indexed; only the width is fitted.
-4. Ranks are cut in blocks; points near a limit go to both blocks. In its block
-   each query looks at the points ``width`` before and after it in each ordering
-   and keeps the best ``keep`` by their 8-bit codes.
-5. The windows of all orderings merge, and the pairs are ranked again by the
-   exact cosine of the original vectors in double precision.
+4. Ranks are cut in blocks, each with the vectors of its points; a query goes to
+   every block that its window, the points ``width`` before and after it in each
+   ordering, reaches. There the ``k`` best points by the exact cosine in double
+   precision stay. Single precision only leaves out points that its error bound
+   rules out, however close the points lie.
+5. The windows of all orderings merge: the result is the ``k`` best of all points
+   in a query's windows.
 
 Vectors that are null, zero, or hold null or non-finite components, rows with a
 null id and vectors of another length than the most common one take no part.
@@ -41,7 +43,7 @@ from kestrel.llm.hilbert import hilbert_keys
 
 ORDERS, DIMENSIONS, BITS = 48, 8, 8
 SAMPLE, AIM, MARGIN, LEAST_WIDTH = 96, 0.95, 1.1, 64
-BLOCK_ROWS, KEEP = 8192, 12
+BLOCK_ROWS, _QUERIES = 8192, 256
 _REACH = 4.0  # grid limits, in standard deviations of a projected unit vector
 
 
@@ -103,7 +105,7 @@ def _frames(dim: int, orders: int, dims: int, seed: int):
 
 
 def _key_batches(dim: int, orders: int, dims: int, bits: int, seed: int):
-    """Rows (point, query, vec) to one row per ordering with key and 8-bit code."""
+    """Rows (point, query, vec) to one row per ordering with its key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frames = _frames(dim, orders, dims, seed)
         for batch in batches:
@@ -111,10 +113,6 @@ def _key_batches(dim: int, orders: int, dims: int, bits: int, seed: int):
             largest = np.abs(vecs).max(axis=1, keepdims=True)
             unit = vecs / largest
             unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-            scale = 127.0 / np.abs(unit).max(axis=1, keepdims=True)
-            code = np.rint(unit * scale).astype(np.int8)
-            codes = pa.array([c.tobytes() for c in code], pa.binary())
-            step = pa.array((1.0 / scale[:, 0]).astype(np.float32))
             cells = 1 << bits
             for order, (directions, shift) in enumerate(frames):
                 # A projected unit vector spreads by about 1 / sqrt(dim).
@@ -123,8 +121,8 @@ def _key_batches(dim: int, orders: int, dims: int, bits: int, seed: int):
                 keys = hilbert_keys(np.clip(grid, 0, cells - 1), bits)
                 keys = (keys ^ np.uint64(1 << 63)).view(np.int64)  # signed order
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(vecs), order, dtype=np.int32)), pa.array(keys), batch.column(0), batch.column(1), codes, step],
-                    names=["ordering", "key", "point", "query", "code", "step"])
+                    [pa.array(np.full(len(vecs), order, dtype=np.int32)), pa.array(keys), batch.column(0), batch.column(1)],
+                    names=["ordering", "key", "point", "query"])
     return run
 
 
@@ -140,16 +138,16 @@ def _place_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _ranked(points: DataFrame, dim: int, orders: int, dims: int, bits: int, seed: int) -> DataFrame:
-    """All orderings, one after the other: (ordering, point, query, code, step, rank)."""
+    """All orderings, one after the other: (ordering, point, query, rank)."""
     keyed = points.mapInArrow(_key_batches(dim, orders, dims, bits, seed),
-                              "ordering int, key bigint, point bigint, query boolean, code binary, step float")
+                              "ordering int, key bigint, point bigint, query boolean")
     sorted_ = keyed.repartitionByRange("ordering", "key", "point").sortWithinPartitions("ordering", "key", "point")
     schema = T.StructType([*sorted_.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType())])
     placed = written(sorted_.mapInArrow(_place_batches, schema), "orderings")
     counts = placed.groupBy("part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("part", before.alias("before"))
-    return placed.join(starts, "part").select("ordering", "point", "query", "code", "step", (F.col("before") + F.col("place")).alias("rank"))
+    return placed.join(starts, "part").select("ordering", "point", "query", (F.col("before") + F.col("place")).alias("rank"))
 
 
 def _brute_batches(queries: np.ndarray, points: np.ndarray, k: int, dim: int):
@@ -190,55 +188,86 @@ def fitted_width(points: DataFrame, ranked: DataFrame, dim: int, k: int, sample:
     return max(LEAST_WIDTH, int((gaps or 0) * margin) + 1)
 
 
-def _window_batches(width: int, keep: int):
-    """Rows sorted by (block, rank) to the best pairs of each query's window."""
+def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row, in double precision."""
+    # Scaled by the largest component, so squares neither overflow nor vanish.
+    a, b = a / np.abs(a).max(axis=1, keepdims=True, initial=0), b / np.abs(b).max(axis=1, keepdims=True, initial=0)
+    return np.clip((a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1))), -1.0, 1.0)
+
+
+def _unit(vecs: np.ndarray) -> np.ndarray:
+    unit = vecs / np.abs(vecs).max(axis=1, keepdims=True)
+    return (unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype(np.float32)
+
+
+def _best_of_block(q_point, q_vecs, first, last, point, vecs, unit, k: int):
+    """(row of the query, place of the point, cosine): the ``k`` best points at
+    ``first`` to ``last`` for each query; ties go to the smaller point."""
+    dim = vecs.shape[1]
+    # Rounding to single precision and summing err by less than this on each side.
+    slack = np.float32(2 * (dim + 8) * 2.0 ** -24)
+    lo, hi = int(first.min()), int(last.max()) + 1
+    at = np.arange(lo, hi)
+    score = _unit(q_vecs) @ unit[lo:hi].T
+    score[(at < first[:, None]) | (at > last[:, None]) | (point[None, lo:hi] == q_point[:, None])] = -np.inf
+    if hi - lo > k:
+        limit = -np.partition(-score, k - 1, axis=1)[:, k - 1] - slack
+    else:
+        limit = np.full(len(q_point), -np.inf, dtype=np.float32)
+    row, place = np.nonzero((score >= limit[:, None]) & (score > -np.inf))
+    place += lo
+    chunk = max(1, (1 << 21) // dim)
+    exact = np.empty(len(row))
+    for x in range(0, len(row), chunk):
+        exact[x:x + chunk] = _cosines(q_vecs[row[x:x + chunk]], vecs[place[x:x + chunk]])
+    order = np.lexsort((point[place], -exact, row))
+    row, place, exact = row[order], place[order], exact[order]
+    top = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[top], place[top], exact[top]
+
+
+def _window_batches(size: int, dim: int, k: int):
+    """Rows sorted by (block, asks, rank), the block's points before the queries that
+    reach it, to the ``k`` best points of each query in each block. Held are one
+    block's points; queries stream past them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        block = None
+        block, held, points = None, [], None
 
-        def flush():
-            rows = pa.Table.from_batches(held).combine_chunks()
-            held.clear()
-            point, ordering = rows.column("point").to_numpy(), rows.column("ordering").to_numpy()
-            asks = np.flatnonzero(rows.column("asks").to_numpy(zero_copy_only=False))
-            if not len(asks):
-                return
-            raw = b"".join(rows.column("code").to_pylist())
-            codes = np.frombuffer(raw, dtype=np.int8).reshape(len(point), -1).astype(np.float32) * rows.column("step").to_numpy()[:, None]
-            qs, ps = [], []
-            for i in asks.tolist():
-                lo, hi = max(0, i - width), min(len(point), i + width + 1)
-                score = codes[lo:hi] @ codes[i]
-                score[i - lo] = -np.inf
-                score[ordering[lo:hi] != ordering[i]] = -np.inf
-                top = np.argpartition(-score, keep)[:keep] if len(score) > keep else np.arange(len(score))
-                top = top[np.isfinite(score[top])]
-                ps.append(point[lo + top])
-                qs.append(np.full(len(top), point[i]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(qs)), pa.array(np.concatenate(ps))], names=["q", "point"])
+        def gathered():
+            point = np.concatenate([p for p, _ in held])
+            vecs = np.concatenate([v for _, v in held])
+            return point, vecs, _unit(vecs)
 
         for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]]) if len(blocks) else [0]
+            rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("block", "asks", "first", "last", "point")}
+            vecs = _matrix(batch.column("vec"), dim)
+            kind = rows["block"] * 2 + rows["asks"]
+            cuts = [0, *(np.flatnonzero(kind[1:] != kind[:-1]) + 1).tolist(), len(kind)]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if held and blocks[lo] != block:
-                    yield from flush()
-                block = blocks[lo]
-                held.append(batch.slice(int(lo), int(hi - lo)))
-        if held:
-            yield from flush()
+                if lo == hi:
+                    continue
+                if rows["block"][lo] != block:
+                    block, held, points = int(rows["block"][lo]), [], None
+                if not rows["asks"][lo]:
+                    held.append((rows["point"][lo:hi], vecs[lo:hi]))
+                    continue
+                points = points or gathered()
+                for x in range(lo, hi, _QUERIES):
+                    y = min(hi, x + _QUERIES)
+                    first = np.maximum(rows["first"][x:y] - block * size, 0)
+                    last = np.minimum(rows["last"][x:y] - block * size, len(points[0]) - 1)
+                    row, place, score = _best_of_block(rows["point"][x:y], vecs[x:y], first, last, *points, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(rows["point"][x:y][row]), pa.array(points[0][place]), pa.array(score)],
+                                                     names=["q", "point", "score"])
     return run
 
 
-def _score_batches(dim: int):
-    """Rows (q, point, ids, query vector, vector) to exact cosines."""
+def _own_batches(dim: int):
+    """Rows (q, point, vec) to the cosine of the vector with itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = _matrix(batch.column(3), dim), _matrix(batch.column(4), dim)
-            # Scaled by the largest component, so squares neither overflow nor vanish.
-            a, b = a / np.abs(a).max(axis=1, keepdims=True, initial=0), b / np.abs(b).max(axis=1, keepdims=True, initial=0)
-            score = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.clip(score, -1.0, 1.0))], names=["q", "ids", "score"])
+            vecs = _matrix(batch.column(2), dim)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_cosines(vecs, vecs))], names=["q", "point", "score"])
     return run
 
 
@@ -260,17 +289,22 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     ranked = _ranked(flagged.select("point", "query", "vec"), dim, orders, dims, bits, seed)
     width = fitted_width(flagged, ranked, dim, k, sample, aim, margin)
     size = max(block_rows, 4 * width)
-    own = F.floor(F.col("rank") / size)
-    around = F.sequence(F.floor((F.col("rank") - width) / size), F.floor((F.col("rank") + width) / size))
-    dealt = (ranked.withColumn("block", F.explode(around)).where("block >= 0")
-             .select("block", "rank", "ordering", "point", (F.col("query") & (F.col("block") == own)).alias("asks"), "code", "step"))
-    pairs = (dealt.repartition("block").sortWithinPartitions("block", "rank")
-             .mapInArrow(_window_batches(width, KEEP), "q bigint, point bigint").distinct())
+    n = flagged.count()  # ranks of an ordering follow those of the one before
+    first, last = F.greatest(F.col("rank") - width, F.col("ordering") * F.lit(n)), F.least(F.col("rank") + width, (F.col("ordering") + 1) * F.lit(n) - 1)
+    with_vecs = ranked.select("point", "query", "rank", first.alias("first"), last.alias("last")).join(flagged.select("point", "vec"), "point")
+    sides = F.array(F.lit(False), F.col("query"))
+    dealt = (with_vecs.withColumn("asks", F.explode(F.array_distinct(sides)))
+             .withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.floor(F.col("first") / size), F.floor(F.col("last") / size)))
+                                            .otherwise(F.array(F.floor(F.col("rank") / size)))))
+             .select("block", "asks", "rank", "first", "last", "point", "vec"))
+    found = (dealt.repartition("block").sortWithinPartitions("block", "asks", "rank")
+             .mapInArrow(_window_batches(size, dim, k), "q bigint, point bigint, score double"))
+    # A point is found in several orderings, each time with the same score.
+    found = found.groupBy("q", "point").agg(F.max("score").alias("score"))
+    near = found.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "point"))).where(F.col("r") <= k).drop("r")
     # A query's own point brings the ids of equal vectors.
-    pairs = pairs.union(flagged.where("query").select("point", "point"))
-    scored = (pairs.join(flagged.select("point", "ids", "vec"), "point")
-              .join(flagged.where("query").select(F.col("point").alias("q"), F.col("vec").alias("q_vec")), "q")
-              .select("q", "point", "ids", "q_vec", "vec").mapInArrow(_score_batches(dim), "q bigint, ids array<bigint>, score double"))
+    own = flagged.where("query").select(F.col("point").alias("q"), "point", "vec").mapInArrow(_own_batches(dim), "q bigint, point bigint, score double")
+    scored = near.union(own).join(flagged.select("point", "ids"), "point")
     best = W.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     top = (scored.select("q", F.explode("ids").alias("vec_id"), "score").withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"))
     by_query = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -70,3 +70,22 @@ def test_ties_copies_and_odd_vectors(spark):
     assert nearest(df.where("vec_id is null")).count() == 0
     two = nearest(df.where("vec_id in (1000, 1001)")).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in two] == [(1000, 1, 1001)]
+
+
+def test_near_copies_keep_their_true_neighbours(spark):
+    rng = np.random.default_rng(11)
+    rows, groups = [], {}
+    for size, spread in ((50, 0.04), (300, 0.04), (2000, 0.04), (300, 0.015), (50, 1e-3)):
+        centre = rng.standard_normal(64)
+        for _ in range(size):
+            groups[len(rows)] = (size, spread)
+            rows.append((len(rows), (centre + spread * rng.standard_normal(64)).tolist()))
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    want, hits, asked = truth(rows, 10, 5), {}, {}
+    for r in nearest(df, every=10).collect():
+        g = groups[r["query_id"]]
+        hits[g] = hits.get(g, 0) + (r["vec_id"] in {i for i, _ in want[r["query_id"]]})
+    for q in want:
+        asked[groups[q]] = asked.get(groups[q], 0) + 5
+    recall = {g: hits.get(g, 0) / asked[g] for g in asked}
+    assert min(recall.values()) >= 0.9, recall
