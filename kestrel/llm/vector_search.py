@@ -11,11 +11,11 @@
    neighbours are found by brute force. The width is the rank distance within
    which ``aim`` of them lie in some ordering, times ``margin``. Every point is
    indexed; only the width is fitted.
-4. Ranks are cut in blocks, each with the vectors of its points; a query goes to
-   every block that its window, the points ``width`` before and after it in each
-   ordering, reaches. There the ``k`` best points by the exact cosine in double
-   precision stay. Single precision only leaves out points that its error bound
-   rules out, however close the points lie.
+4. Ranks are cut in blocks of ``block_rows``, whatever the width, each with the
+   vectors of its points; a query goes to every block that its window, the points
+   ``width`` before and after it in each ordering, reaches. There the ``k`` best
+   points by the exact cosine in double precision stay. Single precision only
+   leaves out points that its error bound rules out, however close the points lie.
 5. The windows of all orderings merge: the result is the ``k`` best of all points
    in a query's windows.
 
@@ -262,6 +262,19 @@ def _window_batches(size: int, dim: int, k: int):
     return run
 
 
+def dealt_to_blocks(ranked: DataFrame, points: DataFrame, width: int, block_rows: int) -> DataFrame:
+    """Each point in its block of ``block_rows`` ranks; each query, as another row, in
+    every block that its window (ranks ``first`` to ``last``) reaches."""
+    n = points.count()  # ranks of an ordering follow those of the one before
+    first, last = F.greatest(F.col("rank") - width, F.col("ordering") * F.lit(n)), F.least(F.col("rank") + width, (F.col("ordering") + 1) * F.lit(n) - 1)
+    with_vecs = ranked.select("point", "query", "rank", first.alias("first"), last.alias("last")).join(points.select("point", "vec"), "point")
+    sides = F.array(F.lit(False), F.col("query"))
+    return (with_vecs.withColumn("asks", F.explode(F.array_distinct(sides)))
+            .withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.floor(F.col("first") / block_rows), F.floor(F.col("last") / block_rows)))
+                                            .otherwise(F.array(F.floor(F.col("rank") / block_rows)))))
+            .select("block", "asks", "rank", "first", "last", "point", "vec"))
+
+
 def _own_batches(dim: int):
     """Rows (q, point, vec) to the cosine of the vector with itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,17 +301,9 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
                       .select("point", F.coalesce("query", F.lit(False)).alias("query"), "vec", "ids"), "points")
     ranked = _ranked(flagged.select("point", "query", "vec"), dim, orders, dims, bits, seed)
     width = fitted_width(flagged, ranked, dim, k, sample, aim, margin)
-    size = max(block_rows, 4 * width)
-    n = flagged.count()  # ranks of an ordering follow those of the one before
-    first, last = F.greatest(F.col("rank") - width, F.col("ordering") * F.lit(n)), F.least(F.col("rank") + width, (F.col("ordering") + 1) * F.lit(n) - 1)
-    with_vecs = ranked.select("point", "query", "rank", first.alias("first"), last.alias("last")).join(flagged.select("point", "vec"), "point")
-    sides = F.array(F.lit(False), F.col("query"))
-    dealt = (with_vecs.withColumn("asks", F.explode(F.array_distinct(sides)))
-             .withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.floor(F.col("first") / size), F.floor(F.col("last") / size)))
-                                            .otherwise(F.array(F.floor(F.col("rank") / size)))))
-             .select("block", "asks", "rank", "first", "last", "point", "vec"))
+    dealt = dealt_to_blocks(ranked, flagged, width, block_rows)
     found = (dealt.repartition("block").sortWithinPartitions("block", "asks", "rank")
-             .mapInArrow(_window_batches(size, dim, k), "q bigint, point bigint, score double"))
+             .mapInArrow(_window_batches(block_rows, dim, k), "q bigint, point bigint, score double"))
     # A point is found in several orderings, each time with the same score.
     found = found.groupBy("q", "point").agg(F.max("score").alias("score"))
     near = found.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "point"))).where(F.col("r") <= k).drop("r")

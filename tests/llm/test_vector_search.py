@@ -89,3 +89,22 @@ def test_near_copies_keep_their_true_neighbours(spark):
         asked[groups[q]] = asked.get(groups[q], 0) + 5
     recall = {g: hits.get(g, 0) / asked[g] for g in asked}
     assert min(recall.values()) >= 0.9, recall
+
+
+def test_blocks_hold_no_more_than_their_rows_however_wide_the_windows(spark):
+    from kestrel.llm.vector_search import dealt_to_blocks
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    ranked = spark.range(1200).selectExpr("cast(id div 600 as int) as ordering", "id % 600 as point", "id % 60 = 0 as query", "id as rank")
+    dealt = dealt_to_blocks(ranked, df.selectExpr("vec_id as point", "embedding as vec"), 500, 64)
+    held = dealt.where("not asks").groupBy("block").count().agg({"count": "max"}).first()[0]
+    assert held == 64 and dealt.where("not asks").count() == 1200
+    reached = {(r["rank"], r["block"]) for r in dealt.where("asks").collect()}
+    assert reached == {(q, b) for q in range(0, 1200, 60) for b in range(19)
+                       if max(q - 500, q // 600 * 600) <= b * 64 + 63 and b * 64 <= min(q + 500, q // 600 * 600 + 599)}
+    # Windows as wide as the table give exactly the true neighbours.
+    got = {}
+    for r in nearest(df, orders=2, margin=1000.0, block_rows=64).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {q: [i for i, _ in found] for q, found in truth(rows, 50, 5).items()}
