@@ -9,9 +9,11 @@ that leaves change, so the sum of ``c * log2(c)`` over the counts, and with it t
 Shannon entropy, is updated by their differences. A window above the limit of the
 string's character class (hex digits, one case with digits, both cases with
 digits) is part of a secret; the span runs from the first such window to the last.
-Strings of letters alone have no class and are never reported. Strings that match
-the allow list (UUIDs, placeholders, counting runs) are suppressed, as are spans
-that overlap a base span; base spans always stay.
+Strings of letters alone have no class and are never reported. Stretches on the
+allow list (UUIDs, placeholders, counting runs) and base spans are cut out of a
+string, and the window runs over each piece that is left; base spans always stay.
+Pieces that start with ``/`` or ``-`` and consist of words and numbers are paths,
+hosts or options and not reported.
 
 Positions are code points, ends exclusive. Null texts count as empty and have no
 span. Repeated rows get equal answers; an empty table an empty result. Columns
@@ -36,12 +38,26 @@ WINDOW = 20
 CANDIDATE = rf"[A-Za-z0-9+/_-]{{{WINDOW},}}"
 # Bits a character, per class.
 LIMITS = {"hex": 2.9, "one_case": 3.5, "two_cases": 3.8}
+
+
+def _counting(letters: str, least: int) -> str:
+    """The first ``least`` characters and as many of the next as follow."""
+    more = ""
+    for c in reversed(letters[least:]):
+        more = f"(?:{c}{more})?"
+    return letters[:least] + more
+
+
+#: Stretches of a candidate string; what is around them is still searched.
 ALLOWED = (
     r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
-    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]?(key|token|secret)|xxxx",
-    r"0123456789|(?i)abcdefghij",
-    r"^[/-]|//|(?i)\bhttps?",
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+    r"(?i)[_-]?(?:example|sample|dummy|placeholder|changeme|your[_-]?(?:key|token|secret)|x{4,})[_-]?",
+    rf"0123456789|(?i:{_counting('abcdefghijklmnopqrstuvwxyz', 10)})",
+    r"(?i)\bhttps?",
 )
+# Words in one case or camel case, with a few digits after, or numbers.
+_WORD = r"(?:(?:[A-Z]?[a-z]{2,}+){1,12}+|[A-Z]{2,}+|[A-Za-z])[0-9]{0,4}|[0-9]+"
 _BLOCK = 256
 _SPAN = "array<struct<start:int,end:int,rank:int,token:string>>"
 
@@ -111,17 +127,44 @@ def _class_limit(token: Column) -> Column:
             .when(digit & (lower | upper), LIMITS["one_case"]))
 
 
+def _path(token: Column) -> Column:
+    return token.rlike("^[/-]") & F.forall(F.split(token, "[/_-]+"), lambda w: (w == "") | w.rlike(f"^(?:{_WORD})$"))
+
+
+def _blanked(token: Column, pattern: str) -> Column:
+    """The token with as many blanks in place of each match."""
+    hits = F.regexp_extract_all(token, F.lit(pattern), F.lit(0))
+    pieces = F.transform(F.split(token, pattern, -1), lambda g, i: F.concat(g, F.repeat(F.lit(" "), F.coalesce(F.length(F.get(hits, i)), F.lit(0)))))
+    return F.when(token.rlike(pattern), F.array_join(pieces, "")).otherwise(token)
+
+
+def _without(token: Column, start: Column, base: Column) -> Column:
+    """The token, found at ``start``, with blanks in place of the base spans."""
+    over = F.filter(base, lambda b: (b["start"] < start + F.length(token)) & (start < b["end"]))
+    folded = F.aggregate(over, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, b: F.struct(
+        F.concat(a["out"], token.substr(a["at"] + 1, F.greatest(b["start"] - start - a["at"], F.lit(0))),
+                 F.repeat(F.lit(" "), F.least(b["end"] - start, F.length(token)) - F.greatest(b["start"] - start, a["at"]))).alias("out"),
+        F.greatest(a["at"], F.least(b["end"] - start, F.length(token))).alias("at")))
+    rest = F.transform(F.array(folded), lambda f: F.concat(f["out"], token.substr(f["at"] + 1, F.length(token))))
+    return F.when(F.size(over) > 0, F.get(rest, F.lit(0))).otherwise(token)
+
+
 def entropy_spans(text: Column, base: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:
-    """Spans of rich candidate strings that no base span overlaps."""
-    listed = lambda t: F.coalesce(*[F.when(t.rlike(p), True) for p in allowed], F.lit(False))
-    strings = F.filter(located(text, CANDIDATE, "entropy", WINDOW),
-                       lambda s: _class_limit(s["token"]).isNotNull() & ~listed(s["token"]))
+    """Spans of the rich pieces of candidate strings that are left without allowed
+    stretches and base spans; ``base`` is sorted."""
+    runs = located(text, CANDIDATE, "entropy", WINDOW)
+    if allowed:
+        pattern = "|".join(f"(?:{p})" for p in allowed)
+        runs = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), _blanked(s["token"], pattern).alias("token")))
+    runs = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), _without(s["token"], s["start"], base).alias("token")))
+    pieces = F.flatten(F.transform(runs, lambda r: F.transform(located(r["token"], CANDIDATE, "entropy", WINDOW), lambda s: F.struct(
+        (r["start"] + s["start"]).alias("start"), s["token"].alias("token")))))
+    strings = F.filter(pieces, lambda s: _class_limit(s["token"]).isNotNull() & ~_path(s["token"]))
     found = F.transform(strings, lambda s: F.struct(s["start"].alias("at"), s["token"].alias("token"),
                                                     entropy_span(s["token"], _class_limit(s["token"])).alias("w")))
-    spans = F.transform(F.filter(found, lambda x: x["w"]["hi"] > 0), lambda x: F.struct(
+    return F.transform(F.filter(found, lambda x: x["w"]["hi"] > 0), lambda x: F.struct(
         (x["at"] + x["w"]["lo"]).alias("start"), (x["at"] + x["w"]["hi"]).alias("end"),
         F.lit(KINDS.index("entropy")).alias("rank"), x["token"].alias("token")))
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
 
 def scan(df: DataFrame, text_col: str = "text", base_out: str = "base_spans", all_out: str = "secret_spans",
