@@ -58,3 +58,17 @@ def test_odd_rows(odd_docs, no_docs):
     assert sorted((r["doc_id"] or -1, r["text"] or "") for r in rows) == sorted((r["doc_id"] or -1, r["text"] or "") for r in odd_docs.collect())
     assert all(v == list(range(len(v))) for v in slots(rows).values())
     assert shuffled_shards(no_docs, 4).count() == 0
+
+
+def test_repeated_ids_and_rows_spread_over_buckets(spark):
+    rows = [(k, f"text {k}") for k in range(600)] + [(7, f"seven {k}") for k in range(600)] + [(None, f"null {k}") for k in range(600)] + [(8, "same")] * 4500
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    order = lambda parts: [tuple(r) for r in shuffled_shards(
+        df.repartition(parts), 4, bucket_bytes=3000).orderBy("shard", "slot").select("doc_id", "text").collect()]
+    one = order(3)
+    assert sorted(one, key=str) == sorted(rows, key=str)
+    assert order(5) == one
+    half = one[: len(one) // 2]
+    for kind in ("seven", "null", "text"):
+        assert 200 < sum(t.startswith(kind) for _, t in half) < 400, kind
+    assert 2000 < sum(t == "same" for _, t in half) < 2500
