@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import held_out, table, tokenizer_paths
+from kestrel.llm.digest_index import DigestIndex, ingested
+from kestrel.llm.divergence_audit import Audit
 from kestrel.llm.external_shuffle import shuffled_shards, text_bytes
+from kestrel.llm.fill_in_middle import fill_in_middle, restored
 from kestrel.llm.language_id import identify, learn_profiles
 from kestrel.llm.mixing import mix
 from kestrel.llm.near_dedup import near_duplicates
@@ -19,6 +22,7 @@ from kestrel.llm.quality_rules import quality_verdicts
 from kestrel.llm.secret_scan import counted, listed, scan
 from kestrel.llm.toxicity import fit, score
 from kestrel.llm.vector_search import nearest
+from kestrel.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +127,97 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), **tokenizer_paths())
+
+
+@query
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = Audit(table(spark, sf_dir, "documents"))
+    parts = [rows.withColumn("part", F.lit(part)) for part, rows in (("pair", audit.pair_divergence()), ("term", audit.term_divergence()))]
+    return parts[0].unionByName(parts[1]).select("lang", "source", "part", "item", "value", "rank")
+
+
+ORACLES["op11_divergence_audit"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+w AS (SELECT lang, source, r, unnest(terms) AS term FROM d),
+c AS (SELECT lang, source, r, term, count(*) AS n FROM w GROUP BY ALL),
+k AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM c GROUP BY lang, term HAVING count(*) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT lang, source, term, CAST(sum(n) AS HUGEINT) AS n FROM c GROUP BY ALL),
+f AS (
+  SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n, k.n AS lang_n
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+t AS (SELECT lang, source, sum(n)::HUGEINT AS total, sum(lang_n)::HUGEINT AS lang_total, count(*)::HUGEINT AS v FROM f GROUP BY ALL),
+p AS (
+  SELECT f.lang, f.source, f.term, f.n, 1 + (1000000000::HUGEINT * (f.n + 2)) // (total + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (f.lang_n + 2)) // (lang_total + 2 * v) AS q
+  FROM f JOIN t ON t.lang = f.lang AND t.source = f.source),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(sums.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+  FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return rows.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+                       sha(restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+x AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM x),
+p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = DigestIndex.create(spark, scratch_path(spark, "digest-index"), dict(docs.dtypes)["doc_id"], docs.count())
+    return ingested(docs, index, batches=4).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLES["op13_exact_dedup"] = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, text_sha256
+FROM d WINDOW same AS (PARTITION BY text_sha256)
+"""
