@@ -81,8 +81,11 @@ class DigestIndex:
         return groups.join(self.entries().select("digest").hint("merge"), "digest", "left_anti")
 
     def append(self, rows: DataFrame) -> None:
-        """Add the digests of ``rows`` (id, digest, ...) that are new, each with its largest id."""
-        groups = rows.groupBy("digest").agg(F.max("id").alias("keep_id"))
+        """Add the digests of ``rows`` (id, digest, ...) that are new, each with its largest id.
+
+        The groups are written first: Spark would push the anti-join below the grouping
+        and send every row of a hot text to its bucket."""
+        groups = written(rows.groupBy("digest").agg(F.max("id").alias("keep_id")), "new-digests")
         self.fresh(groups).select("digest", "keep_id").write.insertInto(self.name)
 
     def compacted(self, path: str) -> "DigestIndex":

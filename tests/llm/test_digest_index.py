@@ -63,10 +63,10 @@ def test_later_batches_meet_the_index(spark):
 
 def test_index_side_is_merged_without_a_shuffle(spark):
     index = new_index(spark)
-    groups = D.digested(spark.createDataFrame([(1, "x")], "doc_id bigint, text string")).groupBy("digest").count()
+    groups = D.written(D.digested(spark.createDataFrame([(1, "x")], "doc_id bigint, text string")).groupBy("digest").count(), "test-groups")
     plan = index.fresh(groups)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "LeftAnti" in plan and "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning(digest") == 2  # grouping, and to the buckets: none over the index
+    assert plan.count("Exchange hashpartitioning(digest") == 1  # the groups go to the buckets, the index stays
     assert "Python" not in plan
 
 
