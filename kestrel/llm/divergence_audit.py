@@ -20,8 +20,8 @@ symmetric the sum holds both ways. Sums over the slices follow in Spark.
 
 ``Audit.term_divergence`` compares a group with its language term by term.
 
-All arithmetic is on whole numbers: the share is a long division in steps of 1,000,
-so nothing overflows below 9e15 occurrences.
+All arithmetic is on whole numbers: decimals in SQL, and in the tasks a long division
+in steps of 1,000, so nothing overflows below 9e15 occurrences.
 
 Counting is one pass over the texts: tasks sum occurrences and documents per
 (language, source, term) before anything is shuffled, so frequent terms are one row
@@ -63,16 +63,14 @@ _BREAK = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]")
 _COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
 
-def terms_of(text: bytes) -> Counter:
-    """Occurrences of the terms of one text. A long text is cut where no term is cut."""
-    found: Counter = Counter()
+def terms_of(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of one lower-cased text. A long text is cut where no term is cut."""
     at = 0
     while at < len(text):
         cut = _BREAK.search(text, at + PIECE)
         end = cut.start() if cut else len(text)
-        found.update(_TERM.findall(text[at:end].lower()))
+        yield _TERM.findall(text, at, end)
         at = end
-    return found
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,13 +89,15 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for rows, data, offs in byte_blocks(batch.column(2)):
-            raw = data.tobytes()
+            raw = data.tobytes().lower()  # of bytes: A-Z only
             for k in range(len(offs) - 1):
-                found = terms_of(raw[offs[k]: offs[k + 1]])
                 n, docs = sums[langs[rows.start + k], sources[rows.start + k]]
                 held -= len(n)
-                n.update(found)
-                docs.update(found.keys())
+                seen: set[bytes] = set()
+                for terms in terms_of(raw[offs[k]: offs[k + 1]]):
+                    n.update(terms)
+                    seen.update(terms)
+                docs.update(seen)
                 held += len(n)
             if held > FLUSH:
                 yield from flush()
@@ -113,17 +113,12 @@ def term_counts(rows: DataFrame) -> DataFrame:
 
 def share(count: Column, total: Column, vocabulary: Column) -> Column:
     """1 + floor(SCALE * (count + 2) / (total + 2 * vocabulary)); null without a vocabulary."""
-    left, whole = count + 2, F.nullif(total + 2 * vocabulary, F.lit(0))
-    quotient = F.lit(0).cast("bigint")
-    for factor in (1, *_STEPS):
-        part = left * factor
-        quotient = quotient * factor + F.call_function("div", part, whole)
-        left = part % whole
-    return quotient + 1
+    scaled = (count + 2).cast("decimal(20,0)") * F.lit(SCALE)
+    return F.call_function("div", scaled, F.nullif(total + 2 * vocabulary, F.lit(0))) + 1
 
 
 def shares(counts: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
-    """``share`` of an array of counts."""
+    """``share`` of an array of counts, digits by threes."""
     left, whole = counts + 2, total + 2 * vocabulary
     quotient = np.zeros_like(left)
     for factor in (1, *_STEPS):

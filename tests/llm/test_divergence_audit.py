@@ -9,6 +9,7 @@ import pytest
 
 from kestrel.llm import divergence_audit as D
 from kestrel.llm.queries import op11_divergence_audit
+from kestrel.llm.textblocks import byte_blocks
 
 
 def plain(rows, least_docs):
@@ -75,13 +76,21 @@ def test_shares_are_exact_far_beyond_a_64_bit_product(spark):
 
 
 def test_long_texts_are_cut_between_terms(monkeypatch):
-    text = (b"Some words, " * 50 + b"x" * 300 + "é".encode() * 40 + b" 12 end ") * 3
-    whole = D.terms_of(text)
+    text = (b"some words, " * 50 + b"x" * 300 + "é".encode() * 40 + b" 12 end ") * 3
+    whole = [t for part in D.terms_of(text) for t in part]
     for piece in (1, 7, 100):
         monkeypatch.setattr(D, "PIECE", piece)
-        assert D.terms_of(text) == whole
+        assert [t for part in D.terms_of(text) for t in part] == whole
+    assert whole.count(b"words") == 150 and whole.count(b"x" * 300 + "é".encode() * 40) == 3
+
+
+def test_small_flushes_add_up(spark, monkeypatch):
+    import pyarrow as pa
     monkeypatch.setattr(D, "FLUSH", 1)
-    assert whole[b"words"] == 150 and whole[b"x" * 300 + "é".encode() * 40] == 3
+    monkeypatch.setattr(D, "byte_blocks", lambda c: byte_blocks(c, 4))
+    batch = pa.record_batch({"lang": ["en"] * 4, "source": ["a", "a", "b", "a"], "text": ["x y x", "X", "z", None]})
+    out = pa.Table.from_batches(D._count_batches([batch])).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+    assert sorted(tuple(r.values()) for r in out.to_pylist()) == [("en", "a", "x", 3, 2), ("en", "a", "y", 1, 1), ("en", "b", "z", 1, 1)]
 
 
 def test_odd_rows(odd_docs, no_docs):
