@@ -66,14 +66,14 @@ def clean_ranges(ranges: DataFrame) -> DataFrame:
 
 def range_pieces(ranges: DataFrame) -> DataFrame:
     """Disjoint pieces (lo, hi, country, bucket), one row per /16 bucket touched."""
-    # Addresses live in 0..2^32-1: bounds are clamped before anything else, so no
-    # bound, however large, makes more than 2^16 buckets.
+    # Addresses live in 0..2^32-1: pieces are clamped to that, so no bound, however
+    # large, makes more than 2^16 buckets. Ties are broken on the bounds as given.
     r = (ranges.where((F.col(UPPER) >= 0) & (F.col(LOWER) <= MAX_IP))
          .select(F.greatest(F.col(LOWER), F.lit(0).cast("bigint")).alias("lo"),
                  F.least(F.col(UPPER), F.lit(MAX_IP).cast("bigint")).alias("up"), F.col(COUNTRY).alias("country"),
-                 F.col(LOWER).alias("given")))
+                 F.col(LOWER).alias("given"), F.col(UPPER).alias("given_up")))
     r = r.withColumn("b", F.shiftright("lo", BUCKET_BITS))
-    in_bucket = Window.partitionBy("b").orderBy("lo", "given", "up", "country")
+    in_bucket = Window.partitionBy("b").orderBy("lo", "given", "given_up", "country")
     r = r.withColumn("next_lo", F.lead("lo").over(in_bucket))
     # First lower bound of the next non-empty bucket: one row per bucket, so
     # this global window is bounded by 2^16 rows whatever the table size.

@@ -74,6 +74,11 @@ def q_ip_country_scale(spark, sf):
     return _ip_country(spark, sf, "customer")
 
 
+@query("ip_country_open", _asof_sql("open"))
+def q_ip_country_open(spark, sf):
+    return _ip_country(spark, sf, "open")
+
+
 def country_ctes(src: str = "tx", name: str = "txc"):
     """CTEs adding the nation-range country to view ``src`` as view ``name``."""
     return [("r0", V.ranges("nation")), ("r", V.RANGES_DEDUP), (name, f"""

@@ -142,3 +142,22 @@ def q_stream_velocity(spark, sf):
     q = SS.start_velocity_stream(spark, f"{base}/in", f"{base}/out", limit=1, checkpoint=f"{base}/ck")
     q.awaitTermination()
     return finish(spark.read.parquet(f"{base}/out"))
+
+
+def _refresh_sql(windows=(1, 7, 30)) -> str:
+    cols = ["user_id", "count(*) AS user_transaction_count", "avg(purchase_value) AS user_avg"]
+    for n in windows:
+        recent = f"FILTER (WHERE epoch_us(purchase_time) >= m - {n} * 86400000000)"
+        cols += [f"count(*) {recent} AS user_id_count_last_{n}d", f"sum(purchase_value) {recent} AS user_id_sum_amount_last_{n}d",
+                 f"avg(purchase_value) {recent} AS user_id_mean_amount_last_{n}d"]
+    return V.with_(*V.tx_ctes()) + f"SELECT {', '.join(cols)} FROM tx, (SELECT max(epoch_us(purchase_time)) AS m FROM tx) WHERE user_id IS NOT NULL GROUP BY user_id"
+
+
+@query("stream_entity_refresh", final_sql(_refresh_sql(), doubles=["user_avg"] + [f"user_id_{c}_amount_last_{n}d" for c in ("sum", "mean") for n in (1, 7, 30)],
+                                          ints=["user_transaction_count"] + [f"user_id_count_last_{n}d" for n in (1, 7, 30)]))
+def q_stream_entity_refresh(spark, sf):
+    """The activity table after all rows came in as micro-batches."""
+    base = scratch_path(spark, "stream-refresh")
+    _as_json_files(TV.tx(spark, sf), f"{base}/in", 6)
+    SS.start_entity_refresh(spark, f"{base}/in", f"{base}/data", f"{base}/versions", checkpoint=f"{base}/ck", with_user_stats=True).awaitTermination()
+    return finish(SS.latest_table(spark, f"{base}/versions").withColumnRenamed("__user_avg", "user_avg"))

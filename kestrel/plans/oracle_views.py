@@ -51,6 +51,9 @@ def ranges(variant: str = "nation") -> str:
     if variant == "customer":
         return """SELECT CAST(c_custkey AS BIGINT)*286331 AS lower_bound_ip_address,
   CAST(c_custkey AS BIGINT)*286331 + 200000 AS upper_bound_ip_address, c_name AS country FROM customer"""
+    if variant == "open":
+        return """SELECT CAST(n_nationkey AS BIGINT) % 6 * 600000000 AS lower_bound_ip_address,
+  4294968000 - CAST(n_nationkey AS BIGINT) AS upper_bound_ip_address, n_name AS country FROM nation"""
     base = """SELECT CAST(n_nationkey AS BIGINT)*171798691 AS lower_bound_ip_address,
   CAST(n_nationkey AS BIGINT)*171798691 + 120000000 AS upper_bound_ip_address, n_name AS country FROM nation"""
     if variant == "overlap":

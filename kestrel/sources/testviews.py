@@ -21,6 +21,7 @@ NATION_RANGE_STEP = 171798691
 NATION_RANGE_WIDTH = 120000000
 CUSTOMER_RANGE_STEP = 286331
 CUSTOMER_RANGE_WIDTH = 200000
+OPEN_RANGES, OPEN_RANGE_STEP, OPEN_RANGE_TOP = 6, 600000000, 4294968000
 WIDE_RANGE = (0, 4294967295, "WIDE")
 
 
@@ -124,8 +125,9 @@ def tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ip_ranges(spark: SparkSession, sf_dir: str, variant: str = "nation") -> DataFrame:
     """B2: disjoint ranges with gaps (``nation``), many small ranges
-    (``customer``), or the nation ranges plus one range over everything
-    (``overlap``)."""
+    (``customer``), the nation ranges plus one range over everything
+    (``overlap``), or ranges with shared lower bounds whose upper bounds lie above
+    the largest address, the smaller names reaching further (``open``)."""
     if variant == "customer":
         c = table(spark, sf_dir, "customer")
         lo = F.col("c_custkey").cast("bigint") * CUSTOMER_RANGE_STEP
@@ -133,6 +135,10 @@ def ip_ranges(spark: SparkSession, sf_dir: str, variant: str = "nation") -> Data
                         (lo + CUSTOMER_RANGE_WIDTH).alias("upper_bound_ip_address"),
                         F.col("c_name").alias("country"))
     n = table(spark, sf_dir, "nation")
+    if variant == "open":
+        key = F.col("n_nationkey").cast("bigint")
+        return n.select((key % OPEN_RANGES * OPEN_RANGE_STEP).alias("lower_bound_ip_address"),
+                        (OPEN_RANGE_TOP - key).alias("upper_bound_ip_address"), F.col("n_name").alias("country"))
     lo = F.col("n_nationkey").cast("bigint") * NATION_RANGE_STEP
     r = n.select(lo.alias("lower_bound_ip_address"),
                  (lo + NATION_RANGE_WIDTH).alias("upper_bound_ip_address"),

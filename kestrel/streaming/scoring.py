@@ -34,6 +34,7 @@ from kestrel.operators import metrics as M
 from kestrel.operators import rules as R
 from kestrel.session import scratch_path
 from kestrel.sources.files import parse_records
+from kestrel.streaming.entity_store import EntityStore
 
 ECOM_RECORD = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
@@ -155,6 +156,33 @@ def ecommerce_features_stream(batch: DataFrame, st: EcommerceState, ranges: Data
     return out.withColumns(zero)
 
 
+MOST_HOURS = 10_000
+HOUR_SECONDS = 3600
+_WINDOWS = "window_start timestamp, window_end timestamp, user_id bigint, n bigint"
+
+
+def _hour(t):
+    return F.floor(F.unix_seconds(t.cast("timestamp")) / HOUR_SECONDS).cast("bigint")
+
+
+def windows_near(df: DataFrame, velocity_dir: str, time_col: str = "purchase_time", window_hours: int = 1) -> DataFrame:
+    """The velocity windows (J3) that can hold a row of ``df``. Of a sink written
+    ``by_hour`` only the folders of the rows' hours are read, so the work follows the
+    batch and not the age of the stream; with more than ``MOST_HOURS`` different hours
+    in one batch all folders are. An absent or empty sink has no windows."""
+    spark = df.sparkSession
+    try:
+        windows = spark.read.parquet(velocity_dir)
+    except AnalysisException:   # no window has closed yet
+        return spark.createDataFrame([], _WINDOWS)
+    if "start_hour" not in windows.columns:
+        return windows
+    hours = [r["h"] for r in df.select(_hour(F.col(time_col)).alias("h")).where("h is not null").distinct().limit(MOST_HOURS + 1).collect()]
+    if len(hours) <= MOST_HOURS:
+        windows = windows.where(F.col("start_hour").isin(sorted({h - k for h in hours for k in range(window_hours + 1)})))
+    return windows.drop("start_hour")
+
+
 def with_velocity(df: DataFrame, windows: DataFrame, user_col: str = "user_id",
                   time_col: str = "purchase_time") -> DataFrame:
     """``txn_velocity``: the largest count among the user's velocity windows
@@ -219,18 +247,19 @@ def start_ecommerce_scoring(spark: SparkSession, source_dir: str, out_dir: str,
                             extra=()) -> StreamingQuery:
     """JSON lines in ``source_dir`` -> scored rows (parquet) in ``out_dir``;
     records that do not parse go to ``reject_dir`` (J5). ``velocity_dir`` is J3's
-    sink and ``table_dir`` J4's; both are read anew by every micro-batch."""
+    sink and ``table_dir`` J4's; every micro-batch reads the hours and the entities
+    that it needs from them. Neither has to exist before the first row."""
     lines = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
              .text(source_dir))
 
     def handle(batch: DataFrame, epoch: int) -> None:
         good, bad = parse_records(batch, ECOM_RECORD)
         _sink(bad, reject_dir, epoch)
-        fresh = latest_table(spark, table_dir) if table_dir else None
+        fresh = latest_table(spark, table_dir, only=good.where("user_id is not null")) if table_dir else None
         state = st if fresh is None else replace(st, user_table=fresh)
         feats = ecommerce_features_stream(good, state, ranges)
         if velocity_dir:
-            feats = with_velocity(feats, spark.read.parquet(velocity_dir))
+            feats = with_velocity(feats, windows_near(feats, velocity_dir))
         out = score_decide(feats, scorer, codes, threshold=threshold, explain=explain)
         cols = [*keep, "country", "fraud_probability", "is_fraud", "threshold", "decision", "fired_rules"]
         cols += ["top_features", "base_value"] if explain is not None else []
@@ -283,13 +312,18 @@ def velocity_windows(df: DataFrame, window: str = "1 hour", slide: str = "5 minu
 
 
 def start_velocity_stream(spark: SparkSession, source_dir: str, out_dir: str, limit: int = 5,
-                          checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """JSON records -> watermarked sliding counts -> parquet (append)."""
+                          checkpoint: str | None = None, available_now: bool = True, by_hour: bool = False) -> StreamingQuery:
+    """JSON records -> watermarked sliding counts -> parquet (append). ``by_hour``
+    lays the windows out in one folder per hour of their start, from which J1 reads
+    only the hours of its batch."""
     s = (spark.readStream.schema(ECOM_RECORD).option("maxFilesPerTrigger", 1).json(source_dir))
     s = s.withColumn("purchase_time", F.to_timestamp("purchase_time"))
-    q = velocity_windows(s, limit=limit).writeStream.format("parquet").outputMode("append") \
-        .option("path", out_dir) \
+    windows = velocity_windows(s, limit=limit)
+    if by_hour:
+        windows = windows.withColumn("start_hour", _hour(F.col("window_start")))
+    q = windows.writeStream.format("parquet").outputMode("append").option("path", out_dir) \
         .option("checkpointLocation", checkpoint or scratch_path(spark, "velocity"))
+    q = q.partitionBy("start_hour") if by_hour else q
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
     return _start_with_state_partitions(spark, q)
 
@@ -315,31 +349,31 @@ def start_entity_refresh(spark: SparkSession, source_dir: str, history_dir: str,
                          entity: str = "user_id", windows=FE.DEFAULT_WINDOWS,
                          checkpoint: str | None = None, available_now: bool = True,
                          with_user_stats: bool = False) -> StreamingQuery:
-    """Add each micro-batch to the history, then publish a new version of the
-    entity's activity table (windows are anchored at the newest row, so every
-    entity's totals move with time). Batches and versions are folders by batch
-    number: a replay replaces its own, and readers of the version before are not
-    disturbed."""
+    """Merge each micro-batch into the entity's activity (``EntityStore``) and
+    publish a version. The work of a batch follows the batch; windows are anchored at
+    the newest row, and readers derive every entity's totals from the anchor.
+    ``history_dir`` holds the partials, ``table_dir`` the versions; both belong to the
+    checkpoint."""
     s = spark.readStream.schema(ECOM_RECORD).option("maxFilesPerTrigger", 1).json(source_dir)
+    store = EntityStore(spark, history_dir, table_dir, entity, windows)
+    spark.range(1).select(F.lit(history_dir).alias("data_dir"), F.lit(with_user_stats).alias("with_user_stats")) \
+        .coalesce(1).write.mode("overwrite").json(f"{table_dir}/layout")
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        _sink(batch.withColumn("purchase_time", F.to_timestamp("purchase_time")), history_dir, epoch)
-        hist = spark.read.parquet(history_dir)
-        max_us = FE.max_epoch_micros(hist, "purchase_time")
-        if max_us is not None:
-            _sink(entity_table(hist, entity, max_us, windows, with_user_stats), table_dir, epoch)
+        store.add(batch.withColumn("purchase_time", F.to_timestamp("purchase_time")), epoch)
 
     return _started(s, handle, checkpoint or scratch_path(spark, "entity-refresh"), available_now, "1 minute")
 
 
-def latest_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    """The newest version that J4 published, or None before the first."""
+def latest_table(spark: SparkSession, table_dir: str, only: DataFrame | None = None) -> DataFrame | None:
+    """The activity table of the newest version that J4 published, or None before the
+    first; ``only`` restricts it to the entities of some rows."""
     try:
-        versions = spark.read.parquet(table_dir)
+        layout = spark.read.schema("data_dir string, with_user_stats boolean").json(f"{table_dir}/layout").first()
     except AnalysisException:   # nothing published yet
         return None
-    newest = versions.agg(F.max("batch_id").alias("v")).first()["v"]
-    return None if newest is None else versions.where(F.col("batch_id") == newest).drop("batch_id")
+    found = EntityStore.opened(spark, layout["data_dir"], table_dir)
+    return None if found is None else found[0].table(found[1], layout["with_user_stats"], only)
 
 
 SLICE_ROWS = 100_000
