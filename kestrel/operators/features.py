@@ -152,19 +152,17 @@ def add_trailing_activity(df: DataFrame, time_col: str = "purchase_time",
 
     Skew-safe: rows are grouped by (entity, time slice of ``days``) and every
     slice also receives the previous slice's rows as read-only context, so
-    one entity's history is spread over many tasks instead of one.
+    one entity's history is spread over many tasks instead of one; an entity with
+    too many rows in a slice is cut into chunks.
     """
-    from kestrel.operators.windows import trailing_range_aggregate
+    from kestrel.operators.windows import trailing_measures
     width = days * MICROS_PER_DAY
     t = epoch_micros(_ts(df, time_col))
     base = df.withColumn("__t", t)
     prefix = f"{id_col}_trailing_{days}d"
-    return trailing_range_aggregate(
-        base, id_col, "__t", width, key_col,
-        {f"{prefix}_count": lambda w: F.count(F.lit(1)).over(w),
-         f"{prefix}_sum": lambda w: F.coalesce(F.sum(amount_col).over(w), F.lit(0.0)),
-         f"{prefix}_mean": lambda w: F.coalesce(F.avg(amount_col).over(w), F.lit(0.0))},
-    ).drop("__t")
+    return trailing_measures(base, id_col, "__t", width, key_col,
+                             {f"{prefix}_count": ("count", None), f"{prefix}_sum": ("sum", amount_col),
+                              f"{prefix}_mean": ("avg", amount_col)}).drop("__t")
 
 
 # E9 ---------------------------------------------------------------------------

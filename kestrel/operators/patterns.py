@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.casts import epoch_micros, to_timestamp_utc
-from kestrel.operators.windows import trailing_range_aggregate
+from kestrel.operators.windows import CHUNK_ROWS, chunked_measures, hot_accounts, previous_row, split_by, trailing_measures, trailing_range_aggregate
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -58,7 +58,7 @@ def geo_mismatch(df: DataFrame, user_col: str = "user_id", country_col: str = "c
 # I9 ---------------------------------------------------------------------------
 def device_changes(df: DataFrame, user_col: str = "user_id", device_col: str = "device_id",
                    time_col: str = "purchase_time", key_col: str = "event_id",
-                   window_us: int = DAY_US) -> DataFrame:
+                   window_us: int = DAY_US, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per row: how many of the user's rows in the trailing window switched
     device from the user's previous row, when that previous row is itself
     within the window before it."""
@@ -70,10 +70,18 @@ def device_changes(df: DataFrame, user_col: str = "user_id", device_col: str = "
         return F.when(F.col("__prev_dev").isNotNull() & (F.col("__prev_dev") != F.col(device_col))
                       & (F.col("__t") - F.col("__prev_t") <= window_us), 1).otherwise(0)
 
-    out = trailing_range_aggregate(base, user_col, "__t", window_us, key_col,
-                                   {"device_changes_24h": lambda w: F.sum(changed()).over(w)},
-                                   context=2, pre=pre)
-    return out.drop("__t")
+    def sliced(rows):
+        return trailing_range_aggregate(rows, user_col, "__t", window_us, key_col,
+                                        {"device_changes_24h": lambda w: F.sum(changed()).over(w)}, context=2, pre=pre)
+
+    hot = hot_accounts(base, user_col, "__t", window_us, chunk_rows)
+    if hot is None:
+        return sliced(base).drop("__t")
+    cold, busy = split_by(base, user_col, "__t", hot)
+    flagged = previous_row(busy, user_col, "__t", key_col, {"__prev_dev": device_col, "__prev_t": "__t"}, chunk_rows) \
+        .withColumn("__changed", changed()).drop(*pre)
+    counted = chunked_measures(flagged, user_col, "__t", window_us, {"device_changes_24h": ("sum", "__changed")}, chunk_rows=chunk_rows)
+    return sliced(cold).unionByName(counted.drop("__changed")).drop("__t")
 
 
 # I10 --------------------------------------------------------------------------
@@ -82,8 +90,7 @@ def velocity(df: DataFrame, user_col: str = "user_id", time_col: str = "purchase
              out_col: str = "txn_velocity") -> DataFrame:
     """Rows of the user in [t - 1 h, t] and the flag ``> limit``."""
     base = df.withColumn("__t", _t(df, time_col))
-    out = trailing_range_aggregate(base, user_col, "__t", window_us, key_col,
-                                   {out_col: lambda w: F.count(F.lit(1)).over(w)})
+    out = trailing_measures(base, user_col, "__t", window_us, key_col, {out_col: ("count", None)})
     return out.withColumn("high_velocity", (F.col(out_col) > F.lit(limit)).cast("int")).drop("__t")
 
 
@@ -95,11 +102,8 @@ def micro_test(df: DataFrame, user_col: str = "user_id", amount_col: str = "purc
     amount the same account spent earlier within the window (strictly before t)."""
     base = df.withColumn("__t", _t(df, time_col))
 
-    def prev_min(w):
-        return F.min(F.col(amount_col)).over(w.rangeBetween(-window_us, -1))
-
-    out = trailing_range_aggregate(base, user_col, "__t", window_us, key_col,
-                                   {"min_prev_amount_24h": prev_min})
+    out = trailing_measures(base, user_col, "__t", window_us, key_col,
+                            {"min_prev_amount_24h": ("min", amount_col)}, strict=True)
     m = F.col("min_prev_amount_24h")
     flag = (m <= F.lit(small)) & (F.col(amount_col) >= F.lit(factor) * m)
     return out.withColumn("micro_test", F.coalesce(flag, F.lit(False)).cast("int")).drop("__t")
