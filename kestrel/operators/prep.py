@@ -176,16 +176,20 @@ class OneHotModel:
         return out.drop(*self.categories) if drop else out
 
 
+class TooManyCategories(ValueError):
+    """A text column has more values than should become columns."""
+
+
 def fit_one_hot(train: DataFrame, cols, max_categories: int = MAX_CATEGORIES) -> OneHotModel:
     """the sorted distinct non-null values per column. Values not seen
-    here (and NULL) encode as all zeros. Raises when a column has more than
-    ``max_categories`` values (use the vector form for those)."""
+    here (and NULL) encode as all zeros. Raises ``TooManyCategories`` when a column
+    has more than ``max_categories`` values; ``operators.sparse`` has no such limit."""
     cats = {}
     for c in cols:
         d = train.where(F.col(c).isNotNull()).select(c).distinct()
         vals = [r[0] for r in d.limit(max_categories + 1).collect()]
         if len(vals) > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} categories; use one_hot_vector")
+            raise TooManyCategories(f"{c} has more than {max_categories} categories; use fit_sparse_transformer")
         cats[c] = sorted(vals)
     return OneHotModel(cats)
 
@@ -234,12 +238,12 @@ class ColumnTransformerModel:
         return df.select(*keep, *cols)
 
 
-def fit_column_transformer(train: DataFrame, drop=()) -> ColumnTransformerModel:
+def fit_column_transformer(train: DataFrame, drop=(), max_categories: int = MAX_CATEGORIES) -> ColumnTransformerModel:
     """numeric columns scaled, text columns one-hot encoded, the rest
     (and ``drop``) left out; names ``scaler__x`` and ``encoder__c_v``."""
     num = SC.numeric_columns(train, exclude=set(drop))
     cat = SC.string_columns(train, exclude=set(drop))
-    return ColumnTransformerModel(fit_standard_scaler(train, num), fit_one_hot(train, cat))
+    return ColumnTransformerModel(fit_standard_scaler(train, num), fit_one_hot(train, cat, max_categories))
 
 
 # F8 -----------------------------------------------------------------------------

@@ -22,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.numbering import CHUNK_ROWS, range_chunks
 from kestrel.session import cut_lineage
 
 
@@ -56,7 +57,6 @@ def trailing_range_aggregate(df: DataFrame, id_col: str, t_col: str, width: int,
 
 
 # Hot accounts -----------------------------------------------------------------
-CHUNK_ROWS = 50_000
 MOST_HOT = 10_000     # accounts that can hold more than one in MOST_HOT rows in a slice
 
 # How partial results of a measure add up.
@@ -115,13 +115,6 @@ def _sum_type(df: DataFrame, c: str) -> str:
     return "bigint" if df.schema[c].dataType.typeName() in ("byte", "short", "integer", "long") else "double"
 
 
-def _chunks(rows: DataFrame, order: list[str], chunk_rows: int) -> DataFrame:
-    """The rows dealt to ranges of about ``chunk_rows``, with the range's number."""
-    rows = cut_lineage(rows)
-    n = max(1, -(-rows.count() // chunk_rows))
-    return cut_lineage(rows.repartitionByRange(n, *order).withColumn("__chunk", F.spark_partition_id()))
-
-
 def _as_of(rows: DataFrame, at: str, marks: DataFrame, group: list[str], out: str) -> DataFrame:
     """For each row the smallest mark (group, mark, ``out``) at or after ``at``: one
     sort per group, the marks before the rows of the same time, running backwards."""
@@ -157,7 +150,7 @@ def chunked_measures(df: DataFrame, id_col: str, t_col: str, width: int, measure
     key, group = F.col(id_col).alias("__id"), ["__id", "__i"]
     times = (df.select(key, F.col(t_col).alias("__t"), *[x.alias(p) for p, (_, x) in parts.items()])
              .groupBy("__id", "__t").agg(*merge))
-    placed = _chunks(times, ["__id", "__t"], chunk_rows)
+    placed = range_chunks(times, ["__id", "__t"], chunk_rows)
     segments = placed.groupBy("__id", "__chunk").agg(F.min("__t").alias("first"), F.max("__t").alias("last"), *merge)
     by_id = Window.partitionBy("__id").orderBy("__chunk")
     segments = cut_lineage(segments.withColumn("__i", (F.row_number().over(by_id) - 1).cast("long")))
@@ -221,7 +214,7 @@ def previous_row(df: DataFrame, id_col: str, t_col: str, key_col: str | None, co
     rows are cut into chunks in that order; the first row of a chunk takes the last of
     the account's chunk before."""
     order = [t_col] + ([key_col] if key_col else [])
-    placed = _chunks(df.withColumn("__same", F.monotonically_increasing_id()), [id_col, *order, "__same"], chunk_rows)
+    placed = range_chunks(df.withColumn("__same", F.monotonically_increasing_id()), [id_col, *order, "__same"], chunk_rows)
     at = Window.partitionBy(id_col, "__chunk").orderBy(*order, "__same")
     inside = placed.select("*", F.row_number().over(at).alias("__r"), *[F.lag(c).over(at).alias(n) for n, c in columns.items()])
     ends = placed.groupBy(id_col, "__chunk").agg(F.max(F.struct(*order, "__same", *[F.col(c).alias(f"v_{n}") for n, c in columns.items()])).alias("x"))

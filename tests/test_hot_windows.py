@@ -62,7 +62,7 @@ def test_a_hot_account_spreads_over_tasks(spark):
     n, chunk = 6000, 100
     df = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("u"),
                                (F.col("id") * 7 % 5000).alias("t"), F.lit(1.0).alias("a"))
-    placed = WN._chunks(df.where("u = 0").groupBy("u", "t").count(), ["u", "t"], chunk)
+    placed = WN.range_chunks(df.where("u = 0").groupBy("u", "t").count(), ["u", "t"], chunk)
     sizes = [r["count"] for r in placed.groupBy("__chunk").count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 3 * chunk
     got = WN.trailing_measures(df, "u", "t", 10_000, "id", {"n": ("count", None)}, chunk_rows=chunk)
