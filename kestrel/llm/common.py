@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +19,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    Cuts the lineage: later jobs read the files, which outlive any executor.
+    Cuts the lineage: later jobs read the files, which outlive any executor. Inside
+    ``released`` the files go when the block ends; what is to be kept goes with the
+    block around it, if there is one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    scopes = _SCOPES[:-1] if keep else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``written`` writes inside the block when the block ends. What is
+    built on it has to be written before that, with ``keep``."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def held_out(id_col: str = "doc_id"):
     """crc32 of the id's text is divisible by five; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % HELD_OUT_MOD == 0, F.lit(False))

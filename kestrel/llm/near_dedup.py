@@ -34,10 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import written
+from kestrel.functions.numbering import numbered
+from kestrel.llm.common import released, unused, written
 from kestrel.llm.components import components
 from kestrel.llm.textblocks import ASCII_LOWER, Block, blocks, mix64, seeded, segment_sums
 
@@ -46,6 +48,7 @@ _U = np.uint64
 _FRACTION_BITS = 40
 _BLOCK = 1 << 20
 SMALL_BUCKET = 4096
+FILTER_BITS = 1 << 26
 
 
 def shingle_sets(b: Block, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -191,9 +194,35 @@ def _prints(hashes: np.ndarray, limits: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(top[new].view(np.int16)))
 
 
-def _set_batches(words: int):
+def _slot(ids: np.ndarray) -> np.ndarray:
+    return (mix64(ids.astype(np.int64).view(_U)) & _U(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _filter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node) to the words of a bit filter that they set."""
+    words = np.zeros(FILTER_BITS // 64, dtype=_U)
+    for batch in batches:
+        slot = _slot(batch.column(0).to_numpy(zero_copy_only=False))
+        np.bitwise_or.at(words, slot >> 6, _U(1) << (slot & 63).astype(_U))
+    at = np.flatnonzero(words)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at].view(np.int64))], names=["at", "word"])
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit filter of fixed size that holds all ids: ``FILTER_BITS`` bits, of which
+    8 MB reach the driver however many ids there are. Other ids pass it by chance."""
+    rows = (ids.mapInArrow(_filter_batches, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow())
+    words = np.zeros(FILTER_BITS // 64, dtype=_U)
+    words[rows.column("at").to_numpy()] = rows.column("word").to_numpy().view(_U)
+    return words
+
+
+def _set_batches(words: int, wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
+            slot = _slot(batch.column(0).to_numpy(zero_copy_only=False))
+            batch = batch.filter(pa.array((wanted[slot >> 6] >> (slot & 63).astype(_U)) & _U(1) != 0))
             for b in blocks(batch.column(1), _BLOCK):
                 hashes, limits = shingle_sets(b, words)
                 yield pa.RecordBatch.from_arrays(
@@ -204,7 +233,9 @@ def _set_batches(words: int):
 
 class _Verifier:
     """Exact similarity of candidate pairs. The shingle sets of the nodes concerned
-    are made from their texts when a pair first needs them."""
+    are made from their texts when a pair first needs them, in a scan that tests each
+    id against a filter of fixed size; the texts themselves are never shuffled, and
+    sets that pass the filter by chance fall out in the join."""
 
     def __init__(self, rows: DataFrame, words: int, percent: int):
         self.rows, self.words, self.percent = rows, words, percent
@@ -216,13 +247,14 @@ class _Verifier:
         if self.sets is not None:
             wanted = written(wanted.join(self.sets.select("node"), "node", "left_anti"), "wanted")
         if self.sets is None or not wanted.isEmpty():
-            texts = self.rows.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-            made = written(texts.mapInArrow(_set_batches(self.words), "node bigint, shingles array<bigint>"), "sets")
+            passed = self.rows.mapInArrow(_set_batches(self.words, _id_filter(wanted)), "node bigint, shingles array<bigint>")
+            made = written(passed.join(wanted, "node", "left_semi"), "sets")
             self.sets = made if self.sets is None else self.sets.union(made)
         with_x = pairs.join(self.sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
         with_y = with_x.join(self.sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y")
         both, nx, ny = F.size(F.array_intersect("sx", "sy")), F.size("sx"), F.size("sy")
-        return written(with_y.where(100 * both >= self.percent * (nx + ny - both)).select("x", "y").distinct(), "verified")
+        # No grouping behind the join, so that Spark can split a node with many pairs.
+        return written(with_y.where(100 * both >= self.percent * (nx + ny - both)).select("x", "y"), "verified")
 
 
 def _sizes_fit(nx, ny, percent: int):
@@ -234,35 +266,49 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     percent: int = 80, bands: int = BANDS, band_size: int = BAND_SIZE, pivots: int = 1024) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest id
     reachable over links of at least ``percent`` percent similarity) and kept."""
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = written(rows.mapInArrow(_sign_batches(shingle_words, bands, band_size), f"doc_id bigint, {_SIGNED}"), "signatures")
-    filled = signed.where("n_shingles > 0 and doc_id is not null")
-    # One node per distinct set.
-    nodes = written(filled.groupBy("set_hi", "set_lo").agg(
-        F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("digest", "doc_id").alias("digest"),
-        F.min("n_shingles").alias("n")), "nodes")
-    prints = filled.select(F.col("doc_id").alias("node"), "prints")
-    labels = _node_components(nodes, prints, _Verifier(rows, shingle_words, percent), bands * band_size, percent, pivots)
-    named = nodes.select("set_hi", "set_lo", "node").join(labels, "node", "left").select(
-        "set_hi", "set_lo", F.coalesce("component", "node").alias("component"))
-    out = signed.drop("bands", "digest", "prints").join(named, ["set_hi", "set_lo"], "left")
-    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    spark = df.sparkSession
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    with released(spark):
+        signed = written(rows.mapInArrow(_sign_batches(shingle_words, bands, band_size), f"doc_id bigint, {_SIGNED}"), "signatures")
+        filled = signed.where("n_shingles > 0 and doc_id is not null")
+        # One node per distinct set.
+        nodes = written(filled.groupBy("set_hi", "set_lo").agg(
+            F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("digest", "doc_id").alias("digest"),
+            F.min("n_shingles").alias("n")), "nodes")
+        prints = filled.select(F.col("doc_id").alias("node"), "prints")
+        labels = _node_components(nodes, prints, _Verifier(rows, shingle_words, percent), bands * band_size, percent, pivots)
+        named = nodes.select("set_hi", "set_lo", "node").join(labels, "node", "left").select(
+            "set_hi", "set_lo", F.coalesce("component", "node").alias("component"))
+        out = signed.drop("bands", "digest", "prints").join(named, ["set_hi", "set_lo"], "left")
+        alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+        component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
+        return written(out.select("doc_id", "n_shingles", component.alias("component_id"),
+                                  F.col("doc_id").eqNullSafe(component).alias("kept")), "near-duplicates", keep=True)
 
 
 def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df`` that are kept, with their own columns: one document of each
-    group, and of rows that repeat an id, one. Rows with a null id stay."""
-    found = written(near_duplicates(df, id_col, text_col, **options), "near-duplicates")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = df.join(gone, df[f"`{id_col}`"].cast("bigint") == gone["_gone"], "left_anti")
-    ids = found.where("doc_id is not null").agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
-    if ids["n"] == ids["d"]:  # nothing to choose among
-        return kept
-    null = df[f"`{id_col}`"].isNull()
-    return kept.where(~null).dropDuplicates([id_col]).unionByName(kept.where(null))
+    group. Rows that share an id and differ in their texts are documents of their own;
+    of rows that share both, the one with the smallest hash of all columns stays. Rows
+    with a null id stay."""
+    known = df.where(F.col(f"`{id_col}`").isNotNull())
+    ids = known.agg(F.count("*").alias("n"), F.count_distinct(F.col(f"`{id_col}`")).alias("d")).first()
+    if ids["n"] == ids["d"]:
+        gone = unused(df, "_gone")
+        found = near_duplicates(df, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias(gone))
+        return df.join(found, F.col(f"`{id_col}`").cast("bigint") == F.col(gone), "left_anti")
+    # Number the distinct (id, text); equal hashes of equal ids are equal texts.
+    of = lambda rows: (F.col(f"`{id_col}`").cast("bigint").alias("id"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"), 256).alias("h"),
+                       F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+    keyed = known.select(F.struct(*of(known)).alias("key"), F.col(f"`{text_col}`").alias("text"))
+    firsts = keyed.groupBy("key.id", "key.h").agg(F.min("key.row").alias("row"))
+    names = written(numbered(firsts, ["id", "h"], "number"), "document-numbers")
+    texts = keyed.dropDuplicates(["key"]).join(names.select(F.struct("id", "h", "row").alias("key"), "number"), "key")
+    kept = near_duplicates(texts.select("number", "text"), "number", "text", **options).where("kept").select(F.col("doc_id").alias("number"))
+    stay = names.join(kept, "number").select(F.struct("id", "h", "row").alias("key"))
+    record = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record")
+    rows = known.select(record, F.struct(*of(known)).alias("key")).join(stay, "key", "left_semi").dropDuplicates(["key"])
+    return rows.select("record.*").unionByName(df.where(F.col(f"`{id_col}`").isNull()))
 
 
 def _node_components(nodes: DataFrame, prints: DataFrame, verifier: _Verifier, slots: int, percent: int, pivots: int) -> DataFrame:
@@ -280,7 +326,7 @@ def _node_components(nodes: DataFrame, prints: DataFrame, verifier: _Verifier, s
     own = written(prints.join(ends, "node"), "prints")
     near = (likely.join(own.select(F.col("node").alias("x"), F.col("prints").alias("px")), "x")
             .join(own.select(F.col("node").alias("y"), F.col("prints").alias("py")), "y"))
-    tried = written(near.where(prints_fit("px", "py", "nx", "ny", percent)).select("x", "y").distinct(), "pairs")
+    tried = written(near.where(prints_fit("px", "py", "nx", "ny", percent)).select("x", "y"), "pairs")
     links = verifier.links(tried)
     labels = components(links, "x", "y")
     outside, rest = _mixed_buckets(shared, digest, prints, labels)

@@ -128,3 +128,26 @@ def test_odd_rows(odd_docs, no_docs):
     ids = [r["doc_id"] for r in left.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 7, 8, 9, 10, 11, 13, 15] and ids.count(None) == 1
     assert near_duplicates(no_docs).count() == 0 and one_of_each_group(no_docs).count() == 0
+
+
+def test_one_id_on_several_texts_loses_no_text(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+    rows = [(1, a, "x"), (1, "a wholly different text under the same id that nobody else has", "y"), (1, a, "w"), (2, a + " sixteen", "z"),
+            (2, "short", "q"), (3, None, "n"), (3, "", "n"), (None, a, "k"), (4, "alone but not empty", "r")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _gone string")
+    runs = [sorted((r["doc_id"] or 0, r["text"] or "", r["_gone"]) for r in near_dedup.one_of_each_group(df.repartition(n), shingle_words=5, percent=80).collect()) for n in (1, 4)]
+    assert runs[0] == runs[1]
+    texts = [t for _, t, _ in runs[0]]
+    assert "a wholly different text under the same id that nobody else has" in texts and "short" in texts and "alone but not empty" in texts
+    assert sum(t.startswith("one two") for i, t, _ in runs[0] if i) == 1 and (0, a, "k") in runs[0]
+
+
+def test_step_folders_go(spark):
+    import os
+    from kestrel.session import checkpoint_dir, local_path
+    folder = local_path(checkpoint_dir(spark))
+    before = set(os.listdir(folder))
+    df = spark.createDataFrame([(k, f"some words in a row number {k % 3}") for k in range(20)], "doc_id bigint, text string")
+    assert near_dedup.near_duplicates(df, shingle_words=2).where("kept").count() == 3
+    left = {n for n in set(os.listdir(folder)) - before if n.startswith(("signatures", "nodes", "buckets", "sets", "pairs", "links", "mixed", "prints", "likely"))}
+    assert left == set()
