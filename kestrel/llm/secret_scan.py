@@ -15,6 +15,9 @@ string, and the window runs over each piece that is left; base spans always stay
 Pieces that start with ``/`` or ``-`` and consist of words and numbers are paths,
 hosts or options and not reported.
 
+The work on a text is linear in its length, but for the lookup of many spans, which
+goes through blocks of 256: what a lambda needs is computed once and handed in.
+
 Positions are code points, ends exclusive. Null texts count as empty and have no
 span. Repeated rows get equal answers; an empty table an empty result. Columns
 named like the results are replaced by them.
@@ -59,19 +62,29 @@ ALLOWED = (
 # Words in one case or camel case, with a few digits after, or numbers.
 _WORD = r"(?:(?:[A-Z]?[a-z]{2,}+){1,12}+|[A-Z]{2,}+|[A-Za-z])[0-9]{0,4}|[0-9]+"
 _BLOCK = 256
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 _SPAN = "array<struct<start:int,end:int,rank:int,token:string>>"
 
 
-def _before(lengths: Column) -> Column:
-    """For each element the sum of those before it, in blocks so that long arrays
-    cost little more than short ones."""
-    n_blocks = F.ceil(F.size(lengths) / _BLOCK).cast("int")
-    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
-    block = lambda b: F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK))
-    sums = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: total(block(b)))
-    parts = F.transform(sums, lambda _, b: F.transform(
-        block(b), lambda __, j: total(F.slice(sums, F.lit(1), b)) + total(F.slice(block(b), F.lit(1), j))))
-    return F.when(F.size(lengths) > 0, F.flatten(parts)).otherwise(F.array().cast("array<int>"))
+def _let(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once. Inside the lambda of a higher-order
+    function an outer expression would be computed anew for every element."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _blocks(xs: Column) -> Column:
+    n_blocks = F.ceil(F.size(xs) / _BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(xs, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+
+def _before(xs: Column, add=lambda a, x: a + x) -> Column:
+    """For each element the sum (or what ``add`` makes) of those before it, 0 at first,
+    in blocks so that long arrays cost little more than short ones."""
+    total = lambda part: F.aggregate(part, F.lit(0), add)
+    inside = lambda block, start: F.transform(block, lambda _, j: add(start, total(F.slice(block, F.lit(1), j))))
+    parts = _let(_blocks(xs), lambda blocks: _let(F.transform(blocks, total), lambda sums: F.transform(
+        blocks, lambda block, b: _let(total(F.slice(sums, F.lit(1), b)), lambda start: inside(block, start)))))
+    return F.when(F.size(xs) > 0, F.flatten(parts)).otherwise(F.array().cast("array<int>"))
 
 
 def located(text: Column, pattern: str, kind: str, least: int, group: int = 0, searched: str | None = None) -> Column:
@@ -79,15 +92,16 @@ def located(text: Column, pattern: str, kind: str, least: int, group: int = 0, s
     (start, end, rank, token). The pieces between matches give the positions."""
     searched = searched or pattern
     hits, gaps = F.regexp_extract_all(text, F.lit(searched), F.lit(0)), F.split(text, searched, -1)
-    lengths = F.transform(hits, lambda h, i: F.length(h) + F.length(F.get(gaps, i)))
-    sizes = F.transform(F.regexp_extract_all(text, F.lit(searched), F.lit(group)), lambda g: F.length(g)) if group else \
-        F.transform(hits, lambda h: F.length(h))
-    starts = _before(lengths)
-    spans = F.transform(hits, lambda h, i: F.struct(
-        (F.get(starts, i) + F.length(F.get(gaps, i))).alias("start"),
-        (F.get(starts, i) + F.get(lengths, i)).alias("end"),
-        F.lit(KINDS.index(kind)).alias("rank"), h.alias("token"), F.get(sizes, i).alias("size")))
-    kept = F.transform(F.filter(spans, lambda s: s["size"] >= least), lambda s: F.struct(
+    sized = F.regexp_extract_all(text, F.lit(searched), F.lit(group)) if group else hits
+    found = F.struct(hits.alias("hits"), F.transform(gaps, lambda g: F.length(g)).alias("gaps"), F.transform(sized, lambda g: F.length(g)).alias("sizes"))
+
+    def spans(m: Column) -> Column:
+        lengths = F.transform(m["hits"], lambda h, i: F.length(h) + F.get(m["gaps"], i))
+        return _let(lengths, lambda ls: _let(_before(ls), lambda starts: F.transform(m["hits"], lambda h, i: F.struct(
+            (F.get(starts, i) + F.get(m["gaps"], i)).alias("start"), (F.get(starts, i) + F.get(ls, i)).alias("end"),
+            F.lit(KINDS.index(kind)).alias("rank"), h.alias("token"), F.get(m["sizes"], i).alias("size")))))
+
+    kept = F.transform(F.filter(_let(found, spans), lambda s: s["size"] >= least), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"), s["token"].alias("token")))
     return F.when(text.rlike(searched), kept).otherwise(F.array().cast(_SPAN))
 
@@ -99,25 +113,25 @@ def _f(c: Column) -> Column:
 
 def entropy_span(token: Column, limit: Column, window: int = WINDOW) -> Column:
     """(lo, hi): where windows of the token reach ``limit`` bits a character; hi is 0
-    where none does."""
-    chars = F.split(token, "")
-
-    def step(state: Column, i: Column) -> Column:
-        first = F.greatest(i - window, F.lit(0))
-        # The window before this step is chars[first:i].
-        old = F.slice(chars, first + 1, i - first)
-        came = F.get(chars, i)
-        left = F.when(i >= window, F.get(chars, first))
-        n_left = F.when(left.isNull(), 0).otherwise(F.size(F.filter(old, lambda c: c == left)))
-        n_came = F.size(F.filter(old, lambda c: c == came)) - F.when(left == came, 1).otherwise(0)
-        total = state["s"] + _f(n_came + 1) - _f(n_came) + F.when(left.isNull(), 0.0).otherwise(_f(n_left - 1) - _f(n_left))
-        rich = (i >= window - 1) & (math.log2(window) - total / window >= limit)
-        return F.struct(total.alias("s"),
-                        F.when(rich & (state["hi"] == 0), i - window + 1).otherwise(state["lo"]).alias("lo"),
-                        F.when(rich, i + 1).otherwise(state["hi"]).alias("hi"))
-
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("lo"), F.lit(0).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(0), F.length(token) - 1), start, step)
+    where none does. The counts of the window, one per character of the alphabet, are
+    carried from step to step."""
+    codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(_ALPHABET), c) - 1)
+
+    def step(codes: Column):
+        def fn(state: Column, i: Column) -> Column:
+            came, left = F.get(codes, i), F.get(codes, i - window)   # no one leaves at first
+            n_came, n_left = F.get(state["counts"], came), F.coalesce(F.get(state["counts"], left), F.lit(0))
+            same = F.coalesce(came == left, F.lit(False))
+            counts = F.when(same, state["counts"]).otherwise(F.transform(state["counts"], lambda n, c: F.when(c == came, n + 1).when(c == left, n - 1).otherwise(n)))
+            moved = _f(n_came + 1) - _f(n_came) + F.when(left.isNull(), 0.0).otherwise(_f(n_left - 1) - _f(n_left))
+            total = F.when(same, state["s"]).otherwise(state["s"] + moved)
+            return _let(total, lambda t: _let((i >= window - 1) & (math.log2(window) - t / window >= limit), lambda rich: F.struct(
+                counts.alias("counts"), t.alias("s"), F.when(rich & (state["hi"] == 0), i - window + 1).otherwise(state["lo"]).alias("lo"),
+                F.when(rich, i + 1).otherwise(state["hi"]).alias("hi"))))
+        return fn
+
+    start = F.struct(F.array_repeat(F.lit(0), len(_ALPHABET)).alias("counts"), F.lit(0.0).alias("s"), F.lit(0).alias("lo"), F.lit(0).alias("hi"))
+    return _let(codes, lambda cs: F.aggregate(F.sequence(F.lit(0), F.size(cs) - 1), start, step(cs)))
 
 
 def _class_limit(token: Column) -> Column:
@@ -134,37 +148,52 @@ def _path(token: Column) -> Column:
 def _blanked(token: Column, pattern: str) -> Column:
     """The token with as many blanks in place of each match."""
     hits = F.regexp_extract_all(token, F.lit(pattern), F.lit(0))
-    pieces = F.transform(F.split(token, pattern, -1), lambda g, i: F.concat(g, F.repeat(F.lit(" "), F.coalesce(F.length(F.get(hits, i)), F.lit(0)))))
+    pieces = _let(hits, lambda hs: F.transform(F.split(token, pattern, -1), lambda g, i: F.concat(
+        g, F.repeat(F.lit(" "), F.coalesce(F.length(F.get(hs, i)), F.lit(0))))))
     return F.when(token.rlike(pattern), F.array_join(pieces, "")).otherwise(token)
 
 
+def _grouped(base: Column) -> Column:
+    """Sorted spans in blocks with their reach, so that few are looked at for a place."""
+    return F.transform(_blocks(base), lambda block: F.struct(
+        F.get(block, F.lit(0))["start"].alias("start"), F.array_max(F.transform(block, lambda s: s["end"])).alias("end"), block.alias("spans")))
+
+
 def _without(token: Column, start: Column, base: Column) -> Column:
-    """The token, found at ``start``, with blanks in place of the base spans."""
-    over = F.filter(base, lambda b: (b["start"] < start + F.length(token)) & (start < b["end"]))
-    folded = F.aggregate(over, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, b: F.struct(
-        F.concat(a["out"], token.substr(a["at"] + 1, F.greatest(b["start"] - start - a["at"], F.lit(0))),
-                 F.repeat(F.lit(" "), F.least(b["end"] - start, F.length(token)) - F.greatest(b["start"] - start, a["at"]))).alias("out"),
-        F.greatest(a["at"], F.least(b["end"] - start, F.length(token))).alias("at")))
-    rest = F.transform(F.array(folded), lambda f: F.concat(f["out"], token.substr(f["at"] + 1, F.length(token))))
-    return F.when(F.size(over) > 0, F.get(rest, F.lit(0))).otherwise(token)
+    """The token, found at ``start``, with blanks in place of the spans of ``base``
+    (``_grouped``)."""
+    meets = lambda s: (s["start"] < start + F.length(token)) & (start < s["end"])
+    over = F.filter(F.flatten(F.transform(F.filter(base, meets), lambda b: b["spans"])), meets)
+
+    def cut(spans: Column) -> Column:
+        folded = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, b: F.struct(
+            F.concat(a["out"], token.substr(a["at"] + 1, F.greatest(b["start"] - start - a["at"], F.lit(0))),
+                     F.repeat(F.lit(" "), F.least(b["end"] - start, F.length(token)) - F.greatest(b["start"] - start, a["at"]))).alias("out"),
+            F.greatest(a["at"], F.least(b["end"] - start, F.length(token))).alias("at")))
+        rest = _let(folded, lambda f: F.concat(f["out"], token.substr(f["at"] + 1, F.length(token))))
+        return F.when(F.size(spans) > 0, rest).otherwise(token)
+
+    return _let(over, cut)
 
 
 def entropy_spans(text: Column, base: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:
     """Spans of the rich pieces of candidate strings that are left without allowed
     stretches and base spans; ``base`` is sorted."""
-    runs = located(text, CANDIDATE, "entropy", WINDOW)
-    if allowed:
-        pattern = "|".join(f"(?:{p})" for p in allowed)
-        runs = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), _blanked(s["token"], pattern).alias("token")))
-    runs = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), _without(s["token"], s["start"], base).alias("token")))
-    pieces = F.flatten(F.transform(runs, lambda r: F.transform(located(r["token"], CANDIDATE, "entropy", WINDOW), lambda s: F.struct(
-        (r["start"] + s["start"]).alias("start"), s["token"].alias("token")))))
-    strings = F.filter(pieces, lambda s: _class_limit(s["token"]).isNotNull() & ~_path(s["token"]))
-    found = F.transform(strings, lambda s: F.struct(s["start"].alias("at"), s["token"].alias("token"),
-                                                    entropy_span(s["token"], _class_limit(s["token"])).alias("w")))
-    return F.transform(F.filter(found, lambda x: x["w"]["hi"] > 0), lambda x: F.struct(
+    pattern = "|".join(f"(?:{p})" for p in allowed)
+    cleared = lambda token: _blanked(token, pattern) if allowed else token
+
+    def pieces(blocks: Column) -> Column:
+        runs = F.transform(located(text, CANDIDATE, "entropy", WINDOW), lambda s: F.struct(s["start"].alias("start"), cleared(s["token"]).alias("token")))
+        runs = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), _without(s["token"], s["start"], blocks).alias("token")))
+        return F.flatten(F.transform(runs, lambda r: F.transform(located(r["token"], CANDIDATE, "entropy", WINDOW), lambda s: F.struct(
+            (r["start"] + s["start"]).alias("start"), s["token"].alias("token"), _class_limit(s["token"]).alias("limit")))))
+
+    strings = F.filter(_let(_grouped(base), pieces), lambda s: s["limit"].isNotNull() & ~_path(s["token"]))
+    found = F.transform(strings, lambda s: F.struct(s["start"].alias("at"), s["token"].alias("token"), entropy_span(s["token"], s["limit"]).alias("w")))
+    spans = F.transform(F.filter(found, lambda x: x["w"]["hi"] > 0), lambda x: F.struct(
         (x["at"] + x["w"]["lo"]).alias("start"), (x["at"] + x["w"]["hi"]).alias("end"),
         F.lit(KINDS.index("entropy")).alias("rank"), x["token"].alias("token")))
+    return F.when(text.rlike(CANDIDATE), spans).otherwise(F.array().cast(_SPAN))
 
 
 def scan(df: DataFrame, text_col: str = "text", base_out: str = "base_spans", all_out: str = "secret_spans",
@@ -198,9 +227,8 @@ def counted(spans: Column, kind: str) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with each stretch of overlapping spans replaced by ``mark``."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    folded = F.aggregate(spans, start, lambda a, s: F.struct(
-        F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], text.substr(a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out"),
-        F.greatest(a["at"], s["end"]).alias("at")))
-    whole = F.concat(folded["out"], text.substr(folded["at"] + 1, F.length(text)))
+    ends = F.transform(spans, lambda s: s["end"])
+    pieces = lambda upto: F.transform(spans, lambda s, i: F.when(s["start"] >= F.get(upto, i), F.concat(
+        text.substr(F.get(upto, i) + 1, s["start"] - F.get(upto, i)), F.lit(mark))).otherwise(F.lit("")))
+    whole = F.concat(F.array_join(_let(_before(ends, lambda a, x: F.greatest(a, x)), pieces), ""), text.substr(F.array_max(ends) + 1, F.length(text)))
     return F.when(F.size(spans) > 0, whole).otherwise(text)

@@ -121,3 +121,30 @@ def test_allowed_stretches_and_base_spans_clip_and_do_not_drop(spark):
         assert any(found[r["text"]] in h for h in held), (r["text"], held)
         assert not any(uuid in h for h in held)
         assert not any(b["start"] < x["end"] and x["start"] < b["end"] for b in r["base_spans"] for x in spans)
+
+
+def test_many_candidates_and_a_long_run_in_one_text(spark):
+    """The work follows the length of the text: seconds, where it was hours."""
+    import random
+    import time
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    hashes = " ".join("".join(rng.choices("0123456789abcdef", k=32)) for _ in range(5000))
+    keys = " ".join("".join(rng.choices(letters, k=30)) for _ in range(1000))
+    run = "a" * 300 + "".join(rng.choices(letters, k=100_000)) + "b" * 300
+    df = spark.createDataFrame([(0, hashes), (1, keys), (2, run)], "doc_id int, text string")
+    began = time.time()
+    out = {r["doc_id"]: r for r in scan(df).select("doc_id", "base_spans", "secret_spans", redacted(F.col("text"), F.col("secret_spans"), "#").alias("t")).collect()}
+    assert time.time() - began < 120
+    assert [(s["start"], s["rank"], s["end"]) for s in out[0]["base_spans"]] == base(hashes)
+    assert out[0]["t"] == " ".join(["#"] * 5000)
+    want, at = [], 0
+    for key in keys.split(" "):
+        limit = LIMITS["two_cases"] if re.search("[0-9]", key) and re.search("[a-z]", key) and re.search("[A-Z]", key) else 99
+        got = rich(key, limit)
+        want += [(at + got[0], at + got[1])] if got else []
+        at += len(key) + 1
+    assert [(s["start"], s["end"]) for s in out[1]["secret_spans"] if s["rank"] == 3] == want and len(want) > 900
+    lo, hi = rich(run, LIMITS["two_cases"])
+    assert [(s["start"], s["end"]) for s in out[2]["secret_spans"] if s["rank"] == 3] == [(lo, hi)]
+    assert out[2]["t"] == run[:lo] + "#" + run[hi:]
