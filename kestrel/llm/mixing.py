@@ -13,11 +13,14 @@ and only that bucket is summed again at the next digits of the hash, until the
 hash has no digits left. A larger budget only adds documents.
 
 The document at the boundary is taken if that brings the source nearer to its
-target. Equal hashes are taken or left together.
+target.
+
+The hash is that of the id. Where ids repeat, or several are null, it is that of the
+id, the contents and the number among equal rows, so a source whose words lie under
+one id comes as near to its target as any other.
 
 Null texts have size 0, and documents of size 0 add nothing. Null sources form
-one source, last in order. Repeated rows are separate documents with equal
-hashes. Extra columns are kept by ``mix`` and ignored by the query. An empty
+one source, last in order. Repeated rows are separate documents. Extra columns are kept by ``mix`` and ignored by the query. An empty
 table gives an empty result.
 """
 
@@ -32,6 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from kestrel.llm.common import extended, with_arrays, written
+from kestrel.llm.external_shuffle import _REPEATS, _numbered
 from kestrel.llm.textblocks import count_words
 
 DIGIT_BITS, HASH_BITS = 10, 60
@@ -53,7 +57,20 @@ def sized(df: DataFrame, text_col: str = "text", size_col: str = "size") -> Data
 
 def sample_hash(id_col: str, seed: int) -> Column:
     """60 bits of a seeded hash of the id."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+
+
+def repeats_ids(df: DataFrame, id_col: str) -> bool:
+    """Whether an id, or null, occurs more than once."""
+    row = df.agg(F.count("*").alias("n"), F.count_distinct(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))).alias("d")).first()
+    return row["n"] != row["d"]
+
+
+def row_hash(seed: int) -> Column:
+    """60 bits of a seeded hash of (doc_id, key, number): where ids repeat, rows are
+    told apart by their contents, and equal rows by their number."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("key"), F.col("number").cast("string"))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
@@ -119,12 +136,27 @@ def mix_plan(rows: DataFrame, budget_share: float = 1.5, max_repeats: float = 2.
     return written(_at_source(targets.drop("extra"), sample_bounds(rows, targets)), "mix-plan")
 
 
+def _rows(df: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> tuple[DataFrame, bool]:
+    """(doc_id, source, size, h), one per row and written, and whether ids repeat;
+    then with ``key``, a digest of the row's columns."""
+    narrow = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), F.col(f"`{text_col}`").alias("text"),
+                       record_key(df).alias("key"))
+    if not repeats_ids(df, id_col):
+        return written(sized(narrow.drop("key")).withColumn("h", sample_hash("doc_id", seed)), "sizes"), False
+    rows = _numbered(written(sized(narrow), "sizes"), ["doc_id", "source", "size", "key"]).select("record.*", "number")
+    return written(rows.withColumn("h", row_hash(seed)).drop("number"), "numbered-sizes"), True
+
+
+def record_key(df: DataFrame) -> Column:
+    """A digest of all columns of a row."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 8,
         **options) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target and
     ``copies``, how often the mix takes the document."""
-    narrow = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    rows = written(sized(narrow).withColumn("h", sample_hash("doc_id", seed)), "sizes")
+    rows, _ = _rows(df, id_col, text_col, source_col, seed)
     return _at_source(rows, mix_plan(rows, **options)).select(
         "doc_id", "source", "size", "source_size", "target", _copies(F.col("h")).alias("copies"))
 
@@ -136,11 +168,17 @@ def _copies(h: Column) -> Column:
 def mixed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 8,
                **options) -> DataFrame:
     """The documents of the mix: each input row as often as the mix takes it, with
-    its own columns. Only the plan, one row per source, is joined with the texts."""
-    narrow = df.select(F.col(source_col).alias("source"), F.col(text_col).alias("text"), sample_hash(id_col, seed).alias("h"))
-    plan = mix_plan(written(sized(narrow), "sizes"), **options).select(
-        F.struct("source", "whole", "bound").alias("_mix_plan"))
-    joined = df.join(plan, df[f"`{source_col}`"].eqNullSafe(plan["_mix_plan.source"]))
-    copies = F.col("_mix_plan.whole") + F.when(sample_hash(id_col, seed) < F.col("_mix_plan.bound"), 1).otherwise(0)
-    return (joined.where(copies > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
-            .select(*[F.col(f"`{c}`") for c in df.columns]))
+    its own columns. With unique ids only the plan, one row per source, is joined with
+    the texts; where ids repeat, equal rows are taken together as often as all of them."""
+    rows, repeated = _rows(df, id_col, text_col, source_col, seed)
+    plan = mix_plan(rows, **options)
+    record = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record")
+    if repeated:
+        taken = _at_source(rows, plan).groupBy("key").agg(F.sum(_copies(F.col("h"))).alias("copies")).where("copies > 0")
+        distinct = df.select(record, record_key(df).alias("key")).dropDuplicates(["key"])
+        parts = distinct.join(taken, "key").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / _REPEATS))))
+        spread = parts.withColumn("n", F.least(F.lit(_REPEATS), F.col("copies") - F.col("part") * _REPEATS))
+    else:
+        hashed = df.select(record, F.col(f"`{source_col}`").alias("source"), sample_hash(id_col, seed).alias("h"))
+        spread = _at_source(hashed, plan).withColumn("n", _copies(F.col("h"))).where("n > 0")
+    return spread.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n").cast("bigint")))).select("record.*")

@@ -294,9 +294,10 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     full = pieces.where(F.col("length") == capacity.tokens)
     rest = pieces.where(F.col("length") < capacity.tokens)
     groups = max(1, math.ceil(rest.count() / group_pieces))
-    dealt = rest.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int")).select("g", *pieces.columns)
+    # The number of the row in the written table spreads rows that repeat a document.
+    dealt = rest.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int")).select("g", *pieces.columns)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id bigint, offset bigint"
-    packed = (dealt.repartition(groups, "g").sortWithinPartitions("g", F.desc("length"), "doc_id", "piece", "start", "ids_crc32")
+    packed = (dealt.repartitionById(groups, F.col("g")).sortWithinPartitions("g", F.desc("length"), "doc_id", "piece", "start", "ids_crc32")
               .mapInArrow(_pack_groups(capacity), schema))
     # Full pieces: numbers above all groups'.
     alone = full.withColumn("sequence_id", F.monotonically_increasing_id() + (1 << 62)).withColumn("offset", F.lit(0).cast("bigint"))

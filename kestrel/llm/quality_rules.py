@@ -8,9 +8,13 @@
    sketches and the corpus sketch the sum of the languages'.
 3. Limits come from the sketch of the narrowest level that holds at least
    ``min_docs`` documents: the 90th percentile plus ``reach`` times its distance
-   to the median, and the same downwards for word length. They replace fixed
-   cutoffs.
-4. The measures are joined with their limits; a text beyond any limit fails.
+   to the median, but at least the 95th percentile; the same downwards for word
+   length. They replace fixed cutoffs: where 95 of 100 texts have no symbol, the
+   limit is none.
+4. The measures are joined with their limits. A text fails if it is beyond one by
+   more than the error of the sketch and, for a share, more than ``NOISE`` standard
+   deviations of a count in a text of its length, so that one symbol in a long text
+   does not reject it.
 
 Null and empty texts have no words and fail the base rule. Null languages and
 sources form groups of their own. Repeated rows are judged one by one. An empty
@@ -127,9 +131,12 @@ def shares() -> dict[str, Column]:
     }
 
 
-# Least distance between the 90th percentile and the median that counts, so a
-# measure that hardly varies in a group does not reject harmless texts.
-LEAST_SPREAD = {"word_length": 0.5, "symbol_share": 0.1, "dup_line_share": 0.1, "repeat_share": 0.1}
+# Of each share: what is counted, out of how many, and how many come at once (a
+# repeated window counts its words twice).
+COUNTS = {"symbol_share": ("n_symbols", "n_words", 1), "dup_line_share": ("n_dup_lines", "n_lines", 1),
+          "repeat_share": ("n_repeat_words", "n_words", 2 * REPEAT_WINDOW)}
+LIMITED = ("word_length", *COUNTS)
+NOISE = 4.0   # standard deviations that a count may exceed its limit by chance
 TWO_SIDED = ("word_length",)
 
 
@@ -159,18 +166,33 @@ def quantiles(sketches: DataFrame, groups: tuple[str, ...], probs: dict[str, flo
     return ranked.groupBy(*groups, "measure").agg(F.max("total").alias("total"), *picks)
 
 
+QUANTILES = {"q05": 0.05, "q10": 0.1, "q50": 0.5, "q90": 0.9, "q95": 0.95}
+
+
 def _limits(q: DataFrame, groups: tuple[str, ...], reach: float, tag: str) -> DataFrame:
     """One row per group: docs and, per measure, its lower and upper limit."""
-    spread = F.create_map(*[F.lit(x) for kv in LEAST_SPREAD.items() for x in kv])[F.col("measure")]
-    up = F.col("q90") + reach * F.greatest(F.col("q90") - F.col("q50"), spread)
-    down = F.when(F.col("measure").isin(*TWO_SIDED), F.col("q10") - reach * F.greatest(F.col("q50") - F.col("q10"), spread))
+    up = F.greatest(F.col("q95"), F.col("q90") + reach * (F.col("q90") - F.col("q50")))
+    down = F.when(F.col("measure").isin(*TWO_SIDED), F.least(F.col("q05"), F.col("q10") - reach * (F.col("q50") - F.col("q10"))))
     aggs = [F.max("total").alias(f"{tag}_docs")]
-    for m in LEAST_SPREAD:
+    for m in LIMITED:
         aggs += [F.max(F.when(F.col("measure") == m, up)).alias(f"{tag}_{m}_hi"),
                  F.max(F.when(F.col("measure") == m, down)).alias(f"{tag}_{m}_lo")]
     return q.groupBy(*groups).agg(*aggs)
 
 
+def _beyond(measure: str, error: float) -> Column:
+    """Whether a text lies outside the limits in the columns <measure>_hi and _lo, by
+    more than the error of the sketch and, for a share, than its count varies by chance
+    in a text of that length."""
+    hi, lo = F.col(f"{measure}_hi"), F.col(f"{measure}_lo")
+    if measure not in COUNTS:
+        value = shares()[measure]
+        return (value > hi * (1 + 2 * error)) | F.coalesce(value < lo * (1 - 2 * error), F.lit(False))
+    k, n, clump = COUNTS[measure]
+    expected = hi * (1 + 2 * error) * F.col(n)
+    return F.col(k) > expected + NOISE * F.sqrt(clump * (expected + clump))
+
+
 def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      source_col: str = "source", reach: float = 4.0, min_docs: int = 100,
                      least_words: int = 50, repeat_percent: int = 50, error: float = 0.01) -> DataFrame:
@@ -186,14 +208,13 @@ def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     # Sketches describe texts that pass the base rule; the others are rejected anyway.
     sound = measured.where(~failed)
-    probs = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
     fine = written(sketch_counts(sound, ("_lang", "_source"), error), "quality-sketches")
     by_lang = merged(fine, ("_lang",))
     whole = merged(fine, ())
-    of_source = _limits(quantiles(fine, ("_lang", "_source"), probs, error), ("_lang", "_source"), reach, "s")
-    of_lang = _limits(quantiles(by_lang, ("_lang",), probs, error), ("_lang",), reach, "l")
-    of_all = _limits(quantiles(whole, (), probs, error), (), reach, "a")
-    bounds = [f"{m}_{e}" for m in LEAST_SPREAD for e in ("lo", "hi")]
+    of_source = _limits(quantiles(fine, ("_lang", "_source"), QUANTILES, error), ("_lang", "_source"), reach, "s")
+    of_lang = _limits(quantiles(by_lang, ("_lang",), QUANTILES, error), ("_lang",), reach, "l")
+    of_all = _limits(quantiles(whole, (), QUANTILES, error), (), reach, "a")
+    bounds = [f"{m}_{e}" for m in LIMITED for e in ("lo", "hi")]
     row = of_all.first()  # one row: the limits of the whole corpus
     fallback = {b: F.lit(row[f"a_{b}"] if row else None).cast("double") for b in bounds}
     s, l = of_source.alias("s"), of_lang.alias("l")
@@ -203,7 +224,7 @@ def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         .when(F.col("l_docs") >= min_docs, F.col(f"l_{b}"))
                         .otherwise(fallback[b]).alias(b) for b in bounds]))
     joined = measured.join(limits, F.col("_lang").eqNullSafe(F.col("g_lang")) & F.col("_source").eqNullSafe(F.col("g_source")), "left")
-    outside = [F.when((c > F.col(f"{m}_hi")) | F.coalesce(c < F.col(f"{m}_lo"), F.lit(False)), F.lit(m)) for m, c in shares().items()]
+    outside = [F.when(_beyond(m, error), F.lit(m)) for m in LIMITED]
     return (joined.select(F.col("_id").alias(id_col), *MEASURES, failed.alias("base_failed"),
                           F.concat_ws(",", *outside).alias("beyond"))
             .withColumn("kept", ~F.col("base_failed") & (F.col("beyond") == "")))

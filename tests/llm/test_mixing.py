@@ -72,3 +72,24 @@ def test_copies_and_odd_rows(odd_docs, no_docs):
     assert out.columns == odd_docs.columns
     assert out.count() == sum(r["copies"] for r in plan)
     assert mix(no_docs).count() == 0 and mixed_rows(no_docs).count() == 0
+
+
+def test_a_source_under_one_id_or_null_comes_near_its_target(spark):
+    from kestrel.llm.mixing import mix, mixed_rows
+    rows = [(k, f"w{k} b c d", "a") for k in range(1000)] + [(None, f"v{k} b c d", "b") for k in range(1000)] + [(7, "same four words here", "c")] * 1000
+    rows += [(5, f"u{k} b c d", "d") for k in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    runs = []
+    for parts in (2, 5):
+        out = mix(df.repartition(parts)).collect()
+        assert len(out) == 4000
+        taken = {}
+        for r in out:
+            taken[r["source"]] = taken.get(r["source"], 0) + r["size"] * r["copies"]
+            assert 0 <= r["copies"] <= 2
+        for source, target in {r["source"]: r["target"] for r in out}.items():
+            assert abs(taken[source] - target) <= 4, source
+        runs.append(sorted((r["source"], str(r["doc_id"]), r["copies"]) for r in out))
+        mixed = [r["source"] for r in mixed_rows(df.repartition(parts)).collect()]
+        assert {s: 4 * mixed.count(s) for s in "abcd"} == taken
+    assert runs[0] == runs[1]

@@ -101,3 +101,15 @@ def test_groups_and_odd_rows(odd_docs, no_docs):
     assert pack(no_docs, **tokenizer_paths()).count() == 0
     with pytest.raises(ValueError):
         pack(odd_docs, **tokenizer_paths(), capacity=Capacity(cost=10))
+
+
+def test_rows_that_repeat_a_document_spread_over_groups(spark):
+    from kestrel.llm.common import tokenizer_paths
+    df = spark.createDataFrame([(1, "the same short text")] * 3000 + [(k, f"text number {k}") for k in range(2, 300)], "doc_id bigint, text string")
+    out = pack(df, **tokenizer_paths(), group_pieces=200).collect()
+    assert len(out) == 3298
+    per_group = {}
+    for r in out:
+        if r["doc_id"] == 1:
+            per_group[r["sequence_id"] >> 32] = per_group.get(r["sequence_id"] >> 32, 0) + 1
+    assert len(per_group) >= 15 and max(per_group.values()) < 400
