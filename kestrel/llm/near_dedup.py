@@ -217,6 +217,15 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
     return words
 
 
+def _where_in(rows: DataFrame, column: str, wanted: np.ndarray) -> DataFrame:
+    """The rows whose ``column`` passes the filter, without a shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _slot(batch.column(column).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array((wanted[slot >> 6] >> (slot & 63).astype(_U)) & _U(1) != 0))
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _set_batches(words: int, wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,17 +322,17 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _node_components(nodes: DataFrame, prints: DataFrame, verifier: _Verifier, slots: int, percent: int, pivots: int) -> DataFrame:
     members = nodes.select(F.explode("bands").alias("key"), "node", "n")
-    crowded = members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
+    crowded = written(members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").drop("most"), "crowded")
     # Members of buckets with two nodes or more; most nodes have none.
-    shared = written(members.join(crowded.drop("most"), "key"), "buckets")
+    shared = written(_where_in(members, "key", _id_filter(crowded.select("key"))).join(crowded, "key"), "buckets")
     digest = nodes.select("node", "digest", "n")
     stars = shared.where("node <> least").select(F.col("node").alias("x"), F.col("least").alias("y")).distinct()
     seen = (stars.join(digest.select(F.col("node").alias("x"), F.col("digest").alias("dx"), F.col("n").alias("nx")), "x")
             .join(digest.select(F.col("node").alias("y"), F.col("digest").alias("dy"), F.col("n").alias("ny")), "y"))
     likely = written(seen.where(may_be_similar("dx", "dy", slots, percent) & _sizes_fit(F.col("nx"), F.col("ny"), percent))
                      .select("x", "y", "nx", "ny"), "likely")
-    ends = likely.select(F.col("x").alias("node")).union(likely.select("y")).distinct()
-    own = written(prints.join(ends, "node"), "prints")
+    ends = written(likely.select(F.col("x").alias("node")).union(likely.select("y")).distinct(), "ends")
+    own = written(_where_in(prints, "node", _id_filter(ends)).join(ends, "node"), "prints")
     near = (likely.join(own.select(F.col("node").alias("x"), F.col("prints").alias("px")), "x")
             .join(own.select(F.col("node").alias("y"), F.col("prints").alias("py")), "y"))
     tried = written(near.where(prints_fit("px", "py", "nx", "ny", percent)).select("x", "y"), "pairs")
@@ -366,6 +375,8 @@ def _mixed_buckets(shared: DataFrame, digest: DataFrame, prints: DataFrame, labe
     mixed = (groups.groupBy("key").agg(F.count("*").alias("k"), F.max_by("c", F.struct("size", "c")).alias("largest"), F.sum("size").alias("total"))
              .where("k > 1 and total > 2"))
     chosen = written(marked.join(mixed.select("key", "largest", "total"), "key"), "mixed")
-    own = prints.join(chosen.select("node").distinct(), "node").join(digest, "node")
+    wanted = written(chosen.select("node").distinct(), "mixed-nodes")
+    passes = _id_filter(wanted)
+    own = _where_in(prints, "node", passes).join(wanted, "node").join(_where_in(digest, "node", passes), "node")
     rest = written(chosen.join(own, "node"), "mixed")
     return rest.where("c <> largest").select("key", "node", "total"), rest
