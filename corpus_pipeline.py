@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import held_out, table, tokenizer_paths, written
+from kestrel.llm.common import held_out, released, table, tokenizer_paths, unused, written
 from kestrel.llm.language_id import UNDETERMINED, identify, learn_profiles
 from kestrel.llm.mixing import mixed_rows
 from kestrel.llm.near_dedup import one_of_each_group
@@ -27,8 +27,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Drop documents whose language cannot be determined: null texts and texts
     without a letter. Profiles are learned from the stage's own input."""
     profiles = learn_profiles(docs.where(~held_out()))
-    found = identify(docs, profiles, lang_out="_lang_pred", score_out="_lang_score")
-    return found.where(found["_lang_pred"] != UNDETERMINED).select(*[found[f"`{c}`"] for c in docs.columns])
+    lang, score = unused(docs, "_lang_pred"), unused(docs, "_lang_score")
+    found = identify(docs, profiles, lang_out=lang, score_out=score)
+    return found.where(F.col(lang) != UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +41,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret in a text by a mark. No document goes; ``n_chars``, where
     there is such a column, follows the new text."""
-    found = scan(docs, base_out="_base_spans", all_out="_secret_spans")
-    text = redacted(F.col("text"), F.col("_secret_spans"))
-    clean = found.withColumn("text", F.when(F.size("_secret_spans") > 0, text).otherwise(F.col("text")))
+    base, spans = unused(docs, "_base_spans"), unused(docs, "_secret_spans")
+    found = scan(docs, base_out=base, all_out=spans)
+    text = redacted(F.col("text"), F.col(spans))
+    clean = found.withColumn("text", F.when(F.size(spans) > 0, text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.when(F.size("_secret_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -70,7 +72,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``. What a stage writes on its way goes once its result
+    is written, and a result once the next one is."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with released(spark):
+        for name, stage in STAGES:
+            with released(spark):
+                docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        return written(docs, "pipeline", keep=True)
