@@ -9,11 +9,15 @@ sums over distinct values, never a global sort of the rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel import schemas as SC
+from kestrel.functions.casts import nan_to_null
 from kestrel.functions.stats import column_quantiles, grouped_quantiles, running_sums
 from kestrel.session import cut_lineage
 
@@ -113,34 +117,57 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 
 # G6 ---------------------------------------------------------------------------
-def kde(df: DataFrame, col: str, points: int = 200, resolution: float | None = None) -> DataFrame:
+EXACT_VALUES = 200_000
+_REACH = 8.5    # bandwidths; beyond it a kernel is below 1e-15 of its peak
+
+
+def kde(df: DataFrame, col: str, points: int = 200, resolution: float | None = None,
+        exact_values: int = EXACT_VALUES, error: float = 1e-6) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max], Scott's
     bandwidth (n^-1/5 times the sample deviation).
 
-    The kernel sum runs over distinct values with their counts (exact), so
-    the work is distinct values x grid points, not rows x grid points.
-    ``resolution`` (optional) rounds values to that step first, which bounds
-    the distinct count for very large continuous columns (an approximation).
+    The kernel sum runs over distinct values with their counts. A column with more
+    than about ``exact_values`` of them is binned first: each value gives its weight to
+    the two ends of its bin, by nearness. That changes a kernel by at most
+    width^2 / (8 bandwidth^2) of its peak, and the width is chosen so that this is
+    ``error``; the number of bins follows from the range in bandwidths, not from the
+    values. ``resolution`` rounds values to that step instead. A value meets only the
+    grid points within its kernel's reach.
     """
-    x = F.col(col).cast("double")
-    st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"),
-                F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    x = nan_to_null(F.col(col).cast("double"))
+    st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+                F.approx_count_distinct(x).alias("distinct")).first()
     n, sd, lo, hi = st["n"], st["sd"], st["lo"], st["hi"]
     if not n or sd is None or sd == 0 or math.isnan(sd):
         return df.sparkSession.createDataFrame([], "point bigint, x double, density double")
     bw = sd * n ** (-0.2)
     step = (hi - lo) / (points - 1)
-    v = x if resolution is None else F.round(x / F.lit(resolution)) * F.lit(resolution)
-    vals = df.where(x.isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("c"))
-    grid = vals.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    given = df.where(x.isNotNull())
+    if resolution is not None:
+        v = F.round(x / F.lit(resolution)) * F.lit(resolution)
+        vals = given.groupBy(v.alias("v")).agg(F.count("*").cast("double").alias("c"))
+    elif st["distinct"] <= exact_values:
+        vals = given.groupBy(x.alias("v")).agg(F.count("*").cast("double").alias("c"))
+    else:
+        width = bw * math.sqrt(8 * error)
+        place = (x - F.lit(lo)) / F.lit(width)
+        left = F.floor(place)
+        # Sums of counts and of fractions per bin first; then both ends of a bin.
+        bins = given.groupBy(left.alias("b")).agg(F.count("*").cast("double").alias("n"), F.sum(place - left).alias("f"))
+        ends = F.explode(F.array(F.struct(F.col("b").alias("b"), (F.col("n") - F.col("f")).alias("c")), F.struct((F.col("b") + 1).alias("b"), F.col("f").alias("c")))).alias("e")
+        vals = bins.select(ends).groupBy((F.lit(lo) + F.col("e.b") * F.lit(width)).alias("v")).agg(F.sum("e.c").alias("c"))
+    first = F.greatest(F.ceil((F.col("v") - F.lit(lo + _REACH * bw)) / F.lit(step)), F.lit(0)).cast("int")
+    last = F.least(F.floor((F.col("v") - F.lit(lo - _REACH * bw)) / F.lit(step)), F.lit(points - 1)).cast("int")
+    met = vals.withColumns({"first": first, "last": last}).where("first <= last")
+    grid = met.select("v", "c", F.explode(F.sequence("first", "last")).alias("point"))
     gx = F.lit(lo) + F.col("point") * F.lit(step)
     z = (gx - F.col("v")) / F.lit(bw)
-    contrib = F.col("c") * F.exp(F.lit(-0.5) * z * z)
+    sums = grid.groupBy("point").agg(F.sum(F.col("c") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
     norm = 1.0 / (n * bw * math.sqrt(2 * math.pi))
-    return (grid.groupBy("point").agg(F.sum(contrib).alias("s"))
-            .select(F.col("point").cast("bigint").alias("point"),
-                    (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"),
-                    (F.col("s") * F.lit(norm)).alias("density")))
+    every = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
+    return (every.join(F.broadcast(sums), "point", "left")   # at most ``points`` rows
+            .select(F.col("point").cast("bigint").alias("point"), (F.lit(lo) + F.col("point") * F.lit(step)).alias("x"),
+                    (F.coalesce("s", F.lit(0.0)) * F.lit(norm)).alias("density")))
 
 
 # G7 ---------------------------------------------------------------------------
@@ -180,14 +207,81 @@ def box_stats(df: DataFrame, col: str, label_col: str = "class") -> DataFrame:
 
 
 # G10 --------------------------------------------------------------------------
+FEW_COLUMNS = 12
+MERGE_WAYS = 64
+
+
 def correlation(df: DataFrame, cols=None) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete rows), long form."""
-    cols = cols or SC.numeric_columns(df)
-    pairs = [(a, b) for a in cols for b in cols]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
+    """Pearson correlation of every pair (pairwise complete rows, NaN is missing), long
+    form. Few columns are one aggregate per pair of different columns; more are one
+    matrix of cross moments (``cross_moments``), so a thousand columns are one pass."""
+    cols = list(cols or SC.numeric_columns(df))
+    x = {c: nan_to_null(F.col(f"`{c}`").cast("double")) for c in cols}
+    if len(cols) > FEW_COLUMNS:
+        return _moment_correlation(df.select(*[x[c].alias(c) for c in cols]), cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    agg = df.agg(*[F.corr(x[a], x[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    both = F.explode(F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).alias("p")
     st = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-    return agg.selectExpr(f"stack({len(pairs)}, {st}) as (col_a, col_b, corr)")
+    return (agg.selectExpr(f"stack({len(pairs)}, {st}) as (a, b, corr)").select(both, "corr")
+            .select(F.col("p.a").alias("col_a"), F.col("p.b").alias("col_b"), "corr"))
+
+
+def _moment_batches(center: np.ndarray, scale: np.ndarray):
+    """The task's moments: per column i, counts, sums, sums of squares and products
+    with every column over the rows in which both have a value."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, len(center), len(center)))
+        for batch in batches:
+            there = np.column_stack([np.asarray(c.is_valid()) for c in batch.columns]).astype(np.float64)
+            value = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns])
+            z = (value - center) / scale * there
+            total += np.stack([there.T @ there, z.T @ there, (z * z).T @ there, z.T @ z])
+        flat = [pa.array(list(m)) for m in total]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(center), dtype=np.int32)), *flat], names=["i", "n", "s", "q", "p"])
+    return run
+
+
+_MOMENTS = "i int, n array<double>, s array<double>, q array<double>, p array<double>"
+
+
+def _added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The arrays of one group, added as they arrive."""
+    total: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for c in ("n", "s", "q", "p"):
+            part = np.sum(np.vstack(batch.column(c).to_numpy(zero_copy_only=False)), axis=0)
+            total[c] = total[c] + part if c in total else part
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), *[pa.array([v]) for v in total.values()]], names=["i", *total])
+
+
+def cross_moments(df: DataFrame, center: np.ndarray, scale: np.ndarray) -> DataFrame:
+    """One row per column i: arrays over the columns j of the number of rows with both,
+    and of the sums of z_i, z_i^2 and z_i z_j over them, where z is the standardised
+    value. Tasks make them as matrix products; they are added in two rounds, so that no
+    group holds the rows of more than a share of the tasks."""
+    parts = df.mapInArrow(_moment_batches(center, scale), _MOMENTS).withColumn("way", F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)))
+    some = parts.groupBy("i", "way").applyInArrow(_added, _MOMENTS)
+    return some.groupBy("i").applyInArrow(_added, _MOMENTS)
+
+
+def _moment_correlation(df: DataFrame, cols: list[str]) -> DataFrame:
+    # A first pass for means and deviations, so that the moments are well-conditioned.
+    st = df.agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(f"`{c}`").alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    center = np.array([st[f"m{i}"] or 0.0 for i in range(len(cols))])
+    scale = np.array([st[f"d{i}"] or 1.0 for i in range(len(cols))])
+    m = cross_moments(df, center, scale)
+    # z_j over the rows with both is column j's moment with i.
+    pair = m.select("i", F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("j", "x")).select("i", "j", "x.*")
+    other = pair.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("s").alias("sj"), F.col("q").alias("qj"))
+    both = pair.join(other, ["i", "j"])
+    n = F.col("n")
+    vi, vj = F.col("q") - F.col("s") * F.col("s") / n, F.col("qj") - F.col("sj") * F.col("sj") / n
+    known = (n > 1) & (vi > 1e-12 * n) & (vj > 1e-12 * n)
+    corr = F.when(known, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise((F.col("p") - F.col("s") * F.col("sj") / n) / F.sqrt(vi * vj)))
+    names = F.array(*[F.lit(c) for c in cols])
+    return both.select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"), corr.alias("corr"))
 
 
 # G11 / G12 ----------------------------------------------------------------------
