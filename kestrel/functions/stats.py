@@ -24,6 +24,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.selection import interpolated
+
 SMALL = 2_000_000        # rows one task may sort or hold as a percentile state
 ACCURACY = 10_000        # percentile_approx accuracy used to bracket ranks
 
@@ -193,7 +195,7 @@ def column_quantiles(df: DataFrame, cols, probs, small: int = SMALL,
     if n_upper is not None and n_upper <= small:
         counts = {c: n_upper for c in cols}
     else:
-        counts = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), 1)).alias(c)
+        counts = df.agg(*[F.count(F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`"))).alias(c)
                           for c in cols]).first().asDict()
     out = {}
     bounded = [c for c in cols if counts[c] <= small]
@@ -203,26 +205,26 @@ def column_quantiles(df: DataFrame, cols, probs, small: int = SMALL,
                        for c in bounded for i, p in enumerate(probs)]).first()
         for c in bounded:
             out[c] = [row[f"{c}__{i}"] for i in range(len(probs))]
-    for c in cols:
-        if c not in out:
-            out[c] = exact_quantiles(df, c, probs, small)
+    many = [c for c in cols if c not in out]
+    if many:
+        # All of them together, in a fixed number of passes.
+        found = interpolated(df, many, {(c, None): counts[c] for c in many}, probs)
+        out.update({c: found[c, None] for c in many})
     return out
 
 
 def grouped_quantiles(df: DataFrame, group_col: str, col: str, probs,
                       small: int = SMALL) -> dict:
     """Quantiles per group for a low-cardinality group column (e.g. a label)."""
-    sizes = {r[0]: r[1] for r in df.where(F.col(col).isNotNull())
-             .groupBy(group_col).count().collect()}
-    out = {}
+    valued = F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))
+    sizes = {r[0]: r[1] for r in df.where(valued).groupBy(group_col).count().collect()}
     if sizes and max(sizes.values()) <= min(small, DIRECT_MAX):
-        rows = (df.groupBy(group_col)
+        rows = (df.where(valued).groupBy(group_col)
                 .agg(*[F.percentile(F.col(col).cast("double"), float(p)).alias(f"q{i}")
                        for i, p in enumerate(probs)]).collect())
         return {r[0]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
-    for g in sizes:
-        out[g] = exact_quantiles(df.where(F.col(group_col) == F.lit(g)), col, probs, small)
-    return out
+    found = interpolated(df, [col], {(col, g): n for g, n in sizes.items()}, probs, group_col)
+    return {g: found[col, g] for g in sizes}
 
 
 def adjusted_skew(c) -> Column:
