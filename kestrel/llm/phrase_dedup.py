@@ -20,8 +20,9 @@ words also start somewhere in a document with a smaller id.
    Aho-Corasick automaton of its tiles, over strings of one code point per word,
    and streams the distinct segments of its anchors through it. Each hit is
    extended to both sides word by word and counts from ``window`` equal words.
-   Shards hold a bounded number of passages, and a shard with many segments is
-   split into several streams that compile the same automaton.
+   Shards hold about ``PASSAGES_PER_SHARD`` passages: an anchor with more is split
+   by the hash of the window, which equal windows share (``_sharded``). A shard with
+   many segments is split into several streams that compile the same automaton.
 5. The matches return to the documents through the segment ids; words covered by
    a match of a smaller document are removed.
 
@@ -346,6 +347,50 @@ def _merged(spans) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
+def _split_batches(window: int):
+    """Rows (shards, anchor, sid_hi, sid_lo, first, mask, words) once for each shard that
+    one of the segment's windows hashes to, with the part of the mask that lies there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shards = batch.column("shards").to_numpy(zero_copy_only=False)
+            masks = batch.column("mask").fill_null(0).to_numpy(zero_copy_only=False)
+            for b in blocks(batch.column("words")):
+                grams, at = b.ngrams(b.word_hashes(), window)
+                row = b.word_doc[at]
+                offset = at - b.first_word[row]
+                row = row + b.rows.start
+                sub = (grams % shards[row].astype(_U)).astype(np.int64)
+                place, inverse = np.unique((row << 32) | sub, return_inverse=True)
+                mask = np.zeros(len(place), dtype=np.int64)
+                np.bitwise_or.at(mask, inverse, masks[row] & (np.int64(1) << offset))
+                rows = pa.array(place >> 32)
+                names = [f"{a}.{k}" for a, k in zip(batch.column("anchor").take(rows).to_pylist(), (place & 0xFFFFFFFF).tolist())]
+                kept = [batch.column(c).take(rows) for c in ("sid_hi", "sid_lo", "first")]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *kept, pa.array(mask, mask=mask == 0), batch.column("words").take(rows)],
+                                                 names=["shard", "sid_hi", "sid_lo", "first", "mask", "words"])
+    return run
+
+
+def _sharded(marked: DataFrame, window: int, anchor: int) -> DataFrame:
+    """The segments with their shards. Anchors are dealt by hash; those with more
+    passages than a shard should hold (a phrase that many documents hold amid different
+    texts) are split by the hash of the whole window, which equal windows share: a
+    passage goes to the shards of its own windows, a segment to those of all of its, at
+    most one per window."""
+    columns = ["sid_hi", "sid_lo", "first", "mask", "words"]
+    passages = marked.where("mask is not null")
+    shards = max(1, math.ceil(passages.count() / PASSAGES_PER_SHARD))
+    windows = F.lit((window - anchor + 1) / PASSAGES_PER_SHARD)
+    hot = written(passages.groupBy("anchor").agg(F.count("*").alias("p")).where(F.col("p") > PASSAGES_PER_SHARD)
+                  .select("anchor", F.ceil(F.col("p") * windows).cast("bigint").alias("shards")), "hot-anchors")
+    plain = lambda rows: rows.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("string").alias("shard"), *columns)
+    if hot.isEmpty():
+        return plain(marked)
+    split = marked.join(hot, "anchor").select("shards", "anchor", *columns).mapInArrow(
+        _split_batches(window), "shard string, sid_hi bigint, sid_lo bigint, first bigint, mask bigint, words string")
+    return plain(marked.join(hot, "anchor", "left_anti")).union(written(split, "split-segments"))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, text_key, spans) for rows (doc_id, text_key, text): the stretches of
     words, as word positions, that a document with a smaller id holds too."""
@@ -368,11 +413,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     homes = windows.groupBy(F.shiftleft(F.shiftright("home", _OFFSET_BITS), _OFFSET_BITS).alias("low"), "first").agg(
         F.bit_or(F.expr("shiftleft(1L, cast(home & 63 as int))")).alias("mask"))
     marked = written(distinct.withColumn("low", low).join(homes, ["low", "first"], "left").drop("low", "last"), "marked-segments")
-    n_passages = marked.where("mask is not null").count()
-    shards = max(1, math.ceil(n_passages / PASSAGES_PER_SHARD))
-    marked = marked.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    sizes = marked.groupBy("shard").agg(F.ceil(F.count("*") / SEGMENTS_PER_STREAM).alias("streams"))
-    dealt = marked.join(sizes, "shard")
+    sharded = _sharded(marked, window, anchor)
+    sizes = sharded.groupBy("shard").agg(F.ceil(F.count("*") / SEGMENTS_PER_STREAM).alias("streams"))
+    dealt = sharded.join(sizes, "shard")
     columns = ["sid_hi", "sid_lo", "first", "mask", "words"]
     passages = dealt.where("mask is not null").select("shard", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)).alias("salt"), F.lit(0).alias("kind"), *columns)
     scanned = dealt.select("shard", F.pmod(F.xxhash64("sid_hi", "sid_lo"), F.col("streams")).alias("salt"), F.lit(1).alias("kind"), *columns)

@@ -73,3 +73,30 @@ def test_automaton_extends_and_reports_each_passage():
     coded = chr(9) + codes[2:9] + chr(10)
     assert list(a.matches(text, coded)) == [(1, 8, 7)]
     assert list(a.matches(words[3:8], codes[3:8])) == []
+
+
+def test_a_phrase_amid_many_contexts_keeps_shards_small(spark, monkeypatch):
+    """A 40-word phrase amid contexts that recur in pairs: all passages name one anchor,
+    and their number grows with the table."""
+    from pyspark.sql import functions as F
+    limit = 50
+    monkeypatch.setattr(phrase_dedup, "PASSAGES_PER_SHARD", limit)
+    seen = []
+    plain = phrase_dedup._sharded
+
+    def kept(*args):
+        seen.append(plain(*args).cache())
+        return seen[-1]
+
+    monkeypatch.setattr(phrase_dedup, "_sharded", kept)
+    phrase = " ".join(f"p{k}" for k in range(40))
+    rows = []
+    for i in range(400):
+        own = f"{i // 2}"
+        rows.append((i, " ".join(f"a{own}x{k}" for k in range(30)) + " " + phrase + " " + " ".join(f"b{own}y{k}" for k in range(30 + i % 3))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert digest(remove_repeats(df, keep_text=False)) == brute(rows, 50)
+    per_anchor = seen[0].where("mask is not null").groupBy(F.split("shard", "[.]")[0].alias("a")).agg(F.count_distinct("sid_hi", "sid_lo").alias("n"))
+    assert per_anchor.agg(F.max("n")).first()[0] > 3 * limit
+    per_shard = seen[0].where("mask is not null").groupBy("shard").agg(F.sum(F.bit_count("mask")).alias("n"), F.count("*").alias("rows"))
+    assert per_shard.agg(F.max("rows")).first()[0] <= 2 * limit
