@@ -217,12 +217,15 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
     return words
 
 
-def _where_in(rows: DataFrame, column: str, wanted: np.ndarray) -> DataFrame:
-    """The rows whose ``column`` passes the filter, without a shuffle."""
+def _where_in(rows: DataFrame, column: str, wanted: np.ndarray, passing: bool = True) -> DataFrame:
+    """The rows whose ``column`` passes the filter, or the others, without a shuffle.
+    A null does not pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = _slot(batch.column(column).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array((wanted[slot >> 6] >> (slot & 63).astype(_U)) & _U(1) != 0))
+            ids = batch.column(column)
+            slot = _slot(ids.fill_null(0).to_numpy(zero_copy_only=False))
+            hit = ((wanted[slot >> 6] >> (slot & 63).astype(_U)) & _U(1) != 0) & np.asarray(ids.is_valid())
+            yield batch.filter(pa.array(hit == passing))
     return rows.mapInArrow(run, rows.schema)
 
 
@@ -303,9 +306,14 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = df.where(F.col(f"`{id_col}`").isNotNull())
     ids = known.agg(F.count("*").alias("n"), F.count_distinct(F.col(f"`{id_col}`")).alias("d")).first()
     if ids["n"] == ids["d"]:
-        gone = unused(df, "_gone")
+        gone, key = unused(df, "_gone"), unused(df, "_key")
         found = near_duplicates(df, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias(gone))
-        return df.join(found, F.col(f"`{id_col}`").cast("bigint") == F.col(gone), "left_anti")
+        passes = _id_filter(found)
+        keyed = df.withColumn(key, F.col(f"`{id_col}`").cast("bigint"))
+        # What does not pass is not gone; only the texts that pass meet the ids.
+        sure = _where_in(keyed, key, passes, passing=False)
+        rest = _where_in(keyed, key, passes).join(found, F.col(key) == F.col(gone), "left_anti")
+        return sure.unionByName(rest).drop(key)
     # Number the distinct (id, text); equal hashes of equal ids are equal texts.
     of = lambda rows: (F.col(f"`{id_col}`").cast("bigint").alias("id"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"), 256).alias("h"),
                        F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
