@@ -51,6 +51,17 @@ def released(spark: SparkSession) -> Iterator[None]:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the Arrow batches of the session by bytes as well as by rows, so that what
+    an executor and its Python workers hold of a table does not follow the length of
+    its texts. A limit that the session has already stays."""
+    if spark.conf.get(_BATCH_LIMIT, None) is None:
+        spark.conf.set(_BATCH_LIMIT, size)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has."""
     while name.lower() in (c.lower() for c in df.columns):

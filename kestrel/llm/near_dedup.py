@@ -39,14 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.numbering import numbered
-from kestrel.llm.common import released, unused, written
+from kestrel.llm.common import released, small_batches, unused, written
 from kestrel.llm.components import components
 from kestrel.llm.textblocks import ASCII_LOWER, Block, blocks, mix64, seeded, segment_sums
 
 BANDS, BAND_SIZE = 40, 5
 _U = np.uint64
 _FRACTION_BITS = 40
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 SMALL_BUCKET = 4096
 FILTER_BITS = 1 << 26
 
@@ -279,6 +279,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per input row: doc_id, n_shingles, component_id (the smallest id
     reachable over links of at least ``percent`` percent similarity) and kept."""
     spark = df.sparkSession
+    small_batches(spark)
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     with released(spark):
         signed = written(rows.mapInArrow(_sign_batches(shingle_words, bands, band_size), f"doc_id bigint, {_SIGNED}"), "signatures")
@@ -303,6 +304,7 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group. Rows that share an id and differ in their texts are documents of their own;
     of rows that share both, the one with the smallest hash of all columns stays. Rows
     with a null id stay."""
+    small_batches(df.sparkSession)
     known = df.where(F.col(f"`{id_col}`").isNotNull())
     ids = known.agg(F.count("*").alias("n"), F.count_distinct(F.col(f"`{id_col}`")).alias("d")).first()
     if ids["n"] == ids["d"]:
