@@ -384,20 +384,23 @@ def write_in_time_order(df: DataFrame, path: str, n: int = 4,
     """Write rows as JSON files in ``n`` time slices, one append per slice,
     so a file stream sees them in time order (files are taken by modification
     time). Slices hold about ``SLICE_ROWS`` rows at most, so the one file and task
-    of each stays small. Cut points come from ``percentile_approx``."""
-    t = F.unix_micros(F.col(time_col).cast("timestamp"))
-    n = max(n, math.ceil(df.count() / SLICE_ROWS))
-    cuts = df.agg(F.percentile_approx(t, [i / n for i in range(1, n)], 10_000)).first()[0]
-    bounds = [None] + sorted(set(cuts)) + [None]
-    out = df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-                          for c in ("signup_time", "purchase_time") if c in df.columns})
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (t > F.lit(lo))
-        if hi is not None:
-            cond = cond & (t <= F.lit(hi))
-        out.where(cond).coalesce(1).write.mode("append").json(path)
+    of each stays small. Cut points come from ``percentile_approx``. The rows are
+    computed once and laid out by slice, so what ``df`` joins or aggregates never runs
+    inside the one task of a slice."""
+    spark = df.sparkSession
+    base = scratch_path(spark, "time-order")
+    timed = df.withColumn("__t", F.unix_micros(F.col(time_col).cast("timestamp")))
+    timed.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                       for c in ("signup_time", "purchase_time") if c in df.columns}).write.parquet(f"{base}/rows")
+    rows = spark.read.parquet(f"{base}/rows")
+    n = max(n, math.ceil(rows.count() / SLICE_ROWS))
+    cuts = sorted(set(rows.agg(F.percentile_approx("__t", [i / n for i in range(1, n)], 10_000)).first()[0]))
+    number = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("__t")))
+    (rows.where("__t is not null").withColumn("__slice", number).drop("__t").repartition(len(cuts) + 1, "__slice")
+     .write.partitionBy("__slice").parquet(f"{base}/slices"))
+    slices = spark.read.parquet(f"{base}/slices")
+    for i in range(len(cuts) + 1):
+        slices.where(F.col("__slice") == i).drop("__slice").coalesce(1).write.mode("append").json(path)
 
 
 def linear_scorer(coef: dict, intercept: float, means: dict | None = None):
