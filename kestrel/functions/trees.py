@@ -76,3 +76,57 @@ class TreeArrays:
         if self.boosted:
             return 1.0 / (1.0 + np.exp(-2.0 * total))
         return total / self.weights.sum()
+
+    def masks(self, n_features: int) -> "list[LeafMasks] | None":
+        """One ``LeafMasks`` per tree; None where a tree has more leaves than a word has bits."""
+        out = [LeafMasks(self, root, n_features) for root in self.roots]
+        return None if any(len(m.value) > 64 for m in out) else out
+
+
+class LeafMasks:
+    """A tree of at most 64 leaves, evaluated a feature at a time.
+
+    Leaves are numbered from left to right. A node sends a value above its threshold to
+    the right, which rules out the leaves on its left; what all nodes of a feature rule
+    out depends on how many of its thresholds lie below the value. The leaf of a point
+    is the first that no feature rules out, so points mixed from two rows need the words
+    of the two rows only.
+    """
+
+    def __init__(self, trees: TreeArrays, root: int, n_features: int):
+        leaves: list[float] = []
+        cuts: list[list[tuple[float, int]]] = [[] for _ in range(n_features)]
+
+        def walk(node: int) -> None:
+            if trees.feature[node] < 0:
+                leaves.append(trees.value[node])
+                return
+            first = len(leaves)
+            walk(trees.left[node])
+            gone = ((1 << len(leaves)) - 1) ^ ((1 << first) - 1)
+            cuts[trees.feature[node]].append((float(trees.threshold[node]), gone))
+            walk(trees.right[node])
+
+        walk(root)
+        self.value = np.array(leaves)
+        self.kind = next((k for k in (np.uint8, np.uint16, np.uint32) if len(leaves) <= 8 * k().nbytes), np.uint64)
+        self.thresholds, self.words = [], []
+        for mine in cuts:
+            mine.sort()
+            words = [int(np.iinfo(self.kind).max)]
+            for _, gone in mine:
+                words.append(words[-1] & ~gone)
+            self.thresholds.append(np.array([t for t, _ in mine]))
+            self.words.append(np.array(words, dtype=self.kind))
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """A word per row and feature: the leaves that the feature leaves open."""
+        out = np.empty(x.shape, dtype=self.kind)
+        for f, (t, w) in enumerate(zip(self.thresholds, self.words)):
+            out[:, f] = w[np.searchsorted(t, x[:, f], side="left")]   # NaN lies above all, as in a comparison
+        return out
+
+    def values(self, words: np.ndarray) -> np.ndarray:
+        """The leaf value of each point, from its features' words joined by and."""
+        one = self.kind(1)
+        return self.value[np.bitwise_count((words - one) & ~words)]

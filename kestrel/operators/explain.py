@@ -56,6 +56,7 @@ def _credit_batches(trees: TreeArrays, background: np.ndarray):
     """Rows (x, orders) to the mean credit of each feature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_ref, d = background.shape
+        masks = trees.masks(d)
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
             orders = batch.column("orders").flatten().flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1, d)
@@ -64,10 +65,7 @@ def _credit_batches(trees: TreeArrays, background: np.ndarray):
             step = max(1, POINTS_AT_ONCE // (n_perm * n_ref * (d + 1)))
             for lo in range(0, len(x), step):
                 some, turn = x[lo: lo + step], orders[lo: lo + step]
-                place = np.argsort(turn, axis=2)                  # when each feature is switched
-                switched = place[:, :, None, None, :] < np.arange(d + 1)[:, None]
-                points = np.where(switched, some[:, None, None, None, :], background[None, None, :, None, :])
-                f = trees.probability(points.reshape(-1, d)).reshape(points.shape[:4])
+                f = _on_path(trees, masks, some, turn, background) if masks else _at_points(trees, some, turn, background)
                 gain = np.diff(f, axis=3).mean(axis=2)            # rows, permutations, steps
                 np.add.at(phi, (np.arange(lo, lo + len(some))[:, None, None], turn), gain / n_perm)
             credits = pa.ListArray.from_arrays(pa.array(np.arange(0, phi.size + 1, d, dtype=np.int32)), pa.array(phi.ravel()))
@@ -75,6 +73,37 @@ def _credit_batches(trees: TreeArrays, background: np.ndarray):
     return run
 
 
+def _at_points(trees: TreeArrays, x: np.ndarray, turn: np.ndarray, background: np.ndarray) -> np.ndarray:
+    """P(class 1) by row, permutation, reference and number of features switched."""
+    d = background.shape[1]
+    place = np.argsort(turn, axis=2)                  # when each feature is switched
+    switched = place[:, :, None, None, :] < np.arange(d + 1)[:, None]
+    points = np.where(switched, x[:, None, None, None, :], background[None, None, :, None, :])
+    return trees.probability(points.reshape(-1, d)).reshape(points.shape[:4])
+
+
+def _on_path(trees: TreeArrays, masks: list, x: np.ndarray, turn: np.ndarray, background: np.ndarray) -> np.ndarray:
+    """``_at_points`` without the points: of the leaf words of a tree, those of the
+    switched features come from the row and the others from the reference."""
+    rows, n_perm, d = turn.shape
+    order = np.ascontiguousarray(turn.transpose(2, 1, 0))       # rows last: long inner loops
+    total = np.zeros((d + 1, len(background), n_perm, rows))
+    at = np.arange(rows)
+    for tree, weight in zip(masks, trees.weights):
+        mine = np.bitwise_and.accumulate(tree.of(x)[at, order], axis=0)
+        theirs = np.bitwise_and.accumulate(tree.of(background)[:, order[::-1]], axis=1)
+        # No feature switched is the reference, all of them the row.
+        total[0] += weight * tree.values(theirs[:, d - 1, :1, :1])
+        total[d] += weight * tree.values(mine[d - 1, 0])
+        for j in range(1, d):
+            found = tree.values(theirs[:, d - 1 - j] & mine[j - 1])
+            total[j] += found if weight == 1.0 else weight * found
+    total = total.transpose(3, 2, 1, 0)
+    if trees.boosted:
+        return 1.0 / (1.0 + np.exp(-2.0 * total))
+    return total / trees.weights.sum()
+
+
 def _tree_credits(trees: TreeArrays, rows: DataFrame, background: np.ndarray, permutations: int, seed: int) -> DataFrame:
     d = background.shape[1]
     order = lambda p: F.transform(F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.struct(
