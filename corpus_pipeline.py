@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import held_out, released, table, tokenizer_paths, unused, written
+from kestrel.llm.common import held_out, released, small_batches, table, tokenizer_paths, unused, written
 from kestrel.llm.language_id import UNDETERMINED, identify, learn_profiles
 from kestrel.llm.mixing import mixed_rows
 from kestrel.llm.near_dedup import one_of_each_group
@@ -75,6 +75,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``. What a stage writes on its way goes once its result
     is written, and a result once the next one is."""
     docs = table(spark, sf_dir, "documents")
+    small_batches(spark)    # from the first stage on: what a worker once took stays with it
     with released(spark):
         for name, stage in STAGES:
             with released(spark):
