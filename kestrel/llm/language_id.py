@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from kestrel.llm.common import extended, with_arrays
+from kestrel.llm.common import extended, lean, with_arrays
 from kestrel.llm.textblocks import byte_blocks
 
 PROFILE_SIZE = 300
 UNDETERMINED = "und"
 _SLICES = 16
 _FLUSH = 400_000
+_BLOCK = 1 << 19        # bytes of text whose n-grams are made at once
 _U = np.uint64
 
 
@@ -115,7 +116,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         langs = np.array(batch.column(1).to_pylist(), dtype=object)
-        for rows, data, offs in byte_blocks(batch.column(0)):
+        for rows, data, offs in byte_blocks(batch.column(0), _BLOCK):
             codes, limits = _letter_runs(data, offs)
             # Documents begin and end with a blank, so they can be strung together.
             doc = np.repeat(np.arange(len(offs) - 1), np.diff(limits))
@@ -156,7 +157,7 @@ def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
     """Profiles of all languages of the given rows (those with a null language or
     text teach nothing). What reaches the driver is ``size`` n-grams a language."""
     rows = df.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where("l is not null and t is not null")
-    counts = rows.mapInArrow(_count_batches, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(lean(_count_batches), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = [F.desc("n"), F.col("gram").bitwiseXOR(F.lit(-(1 << 63)))]  # ties by the unsigned key, as in documents
     by_slice = W.partitionBy("lang", F.pmod(F.hash("gram"), F.lit(_SLICES))).orderBy(*order)
     by_lang = W.partitionBy("lang").orderBy(*order)
@@ -181,7 +182,7 @@ def _predict_batches(profiles: Profiles, text_col: str, lang_out: str, score_out
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for _, data, offs in byte_blocks(batch.column(text_col)):
+            for _, data, offs in byte_blocks(batch.column(text_col), _BLOCK):
                 codes, limits = _letter_runs(data, offs)
                 for lo, hi in zip(limits[:-1], limits[1:]):
                     letters = codes[lo:hi]
@@ -196,6 +197,6 @@ def identify(df: DataFrame, profiles: Profiles, text_col: str = "text", lang_out
              score_out: str = "score") -> DataFrame:
     """All columns of ``df`` with the predicted language and its similarity."""
     schema = extended(df, **{lang_out: T.StringType(), score_out: T.DoubleType()})
-    return df.mapInArrow(_predict_batches(profiles, text_col, lang_out, score_out), schema)
+    return df.mapInArrow(lean(_predict_batches(profiles, text_col, lang_out, score_out)), schema)
 
 

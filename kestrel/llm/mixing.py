@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from kestrel.llm.common import extended, with_arrays, written
+from kestrel.llm.common import extended, lean, with_arrays, written
 from kestrel.llm.external_shuffle import _REPEATS, _numbered
 from kestrel.llm.textblocks import count_words
 
@@ -52,7 +52,7 @@ def _size_batches(text_col: str, size_col: str):
 
 def sized(df: DataFrame, text_col: str = "text", size_col: str = "size") -> DataFrame:
     """The rows with the number of words in place of the text."""
-    return df.mapInArrow(_size_batches(text_col, size_col), extended(df.drop(text_col), **{size_col: T.LongType()}))
+    return df.mapInArrow(lean(_size_batches(text_col, size_col)), extended(df.drop(text_col), **{size_col: T.LongType()}))
 
 
 def sample_hash(id_col: str, seed: int) -> Column:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.numbering import numbered
-from kestrel.llm.common import released, small_batches, unused, written
+from kestrel.llm.common import lean, released, small_batches, unused, written
 from kestrel.llm.components import components
 from kestrel.llm.textblocks import ASCII_LOWER, Block, blocks, mix64, seeded, segment_sums
 
@@ -211,7 +211,7 @@ def _filter_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _id_filter(ids: DataFrame) -> np.ndarray:
     """A bit filter of fixed size that holds all ids: ``FILTER_BITS`` bits, of which
     8 MB reach the driver however many ids there are. Other ids pass it by chance."""
-    rows = (ids.mapInArrow(_filter_batches, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow())
+    rows = (ids.mapInArrow(lean(_filter_batches), "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow())
     words = np.zeros(FILTER_BITS // 64, dtype=_U)
     words[rows.column("at").to_numpy()] = rows.column("word").to_numpy().view(_U)
     return words
@@ -226,7 +226,7 @@ def _where_in(rows: DataFrame, column: str, wanted: np.ndarray, passing: bool =
             slot = _slot(ids.fill_null(0).to_numpy(zero_copy_only=False))
             hit = ((wanted[slot >> 6] >> (slot & 63).astype(_U)) & _U(1) != 0) & np.asarray(ids.is_valid())
             yield batch.filter(pa.array(hit == passing))
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(lean(run), rows.schema)
 
 
 def _set_batches(words: int, wanted: np.ndarray):
@@ -259,7 +259,7 @@ class _Verifier:
         if self.sets is not None:
             wanted = written(wanted.join(self.sets.select("node"), "node", "left_anti"), "wanted")
         if self.sets is None or not wanted.isEmpty():
-            passed = self.rows.mapInArrow(_set_batches(self.words, _id_filter(wanted)), "node bigint, shingles array<bigint>")
+            passed = self.rows.mapInArrow(lean(_set_batches(self.words, _id_filter(wanted))), "node bigint, shingles array<bigint>")
             made = written(passed.join(wanted, "node", "left_semi"), "sets")
             self.sets = made if self.sets is None else self.sets.union(made)
         with_x = pairs.join(self.sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
@@ -282,7 +282,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     small_batches(spark)
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     with released(spark):
-        signed = written(rows.mapInArrow(_sign_batches(shingle_words, bands, band_size), f"doc_id bigint, {_SIGNED}"), "signatures")
+        signed = written(rows.mapInArrow(lean(_sign_batches(shingle_words, bands, band_size)), f"doc_id bigint, {_SIGNED}"), "signatures")
         filled = signed.where("n_shingles > 0 and doc_id is not null")
         # One node per distinct set.
         nodes = written(filled.groupBy("set_hi", "set_lo").agg(

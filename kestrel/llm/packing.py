@@ -36,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import written
+from kestrel.llm.common import lean, written
 from kestrel.llm.textblocks import Roller, byte_blocks
 
 SEQUENCE, END_ID = 2048, 0
 GROUP_PIECES = 20_000
 _CACHE_CHUNKS = 1_000_000
+_BLOCK = 1 << 18        # bytes encoded at once; the tables of the chunk hash grow with it
 # Fixed value: the pattern by which the vocabulary's byte-level tokenizer cuts texts.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CHUNK_HASH = Roller(71)
@@ -161,7 +162,7 @@ def _piece_batches(path: str, ranks: str | None, sequence: int, end_id: int):
         closing = np.array([end_id], dtype="<u4")
         for batch in batches:
             rows, pieces, starts, lengths, crcs = [], [], [], [], []
-            for block, data, offs in byte_blocks(batch.column(1)):
+            for block, data, offs in byte_blocks(batch.column(1), _BLOCK):
                 ids, limits = encoder.encode(data, offs)
                 for d in range(len(offs) - 1):
                     own = np.concatenate([ids[limits[d]: limits[d + 1]], closing]).astype("<u4", copy=False)
@@ -280,7 +281,7 @@ def pieces_of(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
               end_id: int = END_ID, ranks: str | None = None) -> DataFrame:
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_piece_batches(tokenizer, ranks, sequence, end_id),
+    return rows.mapInArrow(lean(_piece_batches(tokenizer, ranks, sequence, end_id)),
                            f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
@@ -298,7 +299,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     dealt = rest.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int")).select("g", *pieces.columns)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id bigint, offset bigint"
     packed = (dealt.repartitionById(groups, F.col("g")).sortWithinPartitions("g", F.desc("length"), "doc_id", "piece", "start", "ids_crc32")
-              .mapInArrow(_pack_groups(capacity), schema))
+              .mapInArrow(lean(_pack_groups(capacity)), schema))
     # Full pieces: numbers above all groups'.
     alone = full.withColumn("sequence_id", F.monotonically_increasing_id() + (1 << 62)).withColumn("offset", F.lit(0).cast("bigint"))
     return packed.unionByName(alone)
