@@ -155,7 +155,7 @@ def prints_fit(x: str, y: str, nx: str, ny: str, percent: int):
     return (100 + percent) * (F.size(F.array_intersect(x, y)) + lost) >= percent * (F.col(nx) + F.col(ny))
 
 
-_SIGNED = "n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, digest array<bigint>, prints array<smallint>"
+_SIGNED = "n_shingles bigint, set_hi bigint, set_lo bigint, bands array<bigint>, digest array<bigint>"
 
 
 def _sign_batches(words: int, bands: int, size: int):
@@ -172,9 +172,8 @@ def _sign_batches(words: int, bands: int, size: int):
                     sums.append(mix64(total[limits[1:]] - total[limits[:-1]] + n.astype(_U)).view(np.int64))
                 sig = superminhash(hashes, limits, bands * size)
                 lists = [_lists(band_keys(sig, bands, size).view(np.int64), n > 0), _lists(digests(sig), n > 0)]
-                lists.append(_prints(hashes, limits))
                 yield pa.RecordBatch.from_arrays([ids[b.rows], pa.array(n), pa.array(sums[0]), pa.array(sums[1]), *lists],
-                                                 names=["doc_id", "n_shingles", "set_hi", "set_lo", "bands", "digest", "prints"])
+                                                 names=["doc_id", "n_shingles", "set_hi", "set_lo", "bands", "digest"])
     return run
 
 
@@ -229,17 +228,29 @@ def _where_in(rows: DataFrame, column: str, wanted: np.ndarray, passing: bool =
     return rows.mapInArrow(lean(run), rows.schema)
 
 
+def _wanted_sets(batches: Iterator[pa.RecordBatch], words: int, wanted: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(ids, hashes, limits) of the documents whose id passes the filter."""
+    for batch in batches:
+        batch = batch.filter(pa.compute.is_valid(batch.column(0)))
+        slot = _slot(batch.column(0).to_numpy(zero_copy_only=False))
+        batch = batch.filter(pa.array((wanted[slot >> 6] >> (slot & 63).astype(_U)) & _U(1) != 0))
+        for b in blocks(batch.column(1), _BLOCK):
+            yield batch.column(0)[b.rows], *shingle_sets(b, words)
+
+
 def _set_batches(words: int, wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
-            slot = _slot(batch.column(0).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array((wanted[slot >> 6] >> (slot & 63).astype(_U)) & _U(1) != 0))
-            for b in blocks(batch.column(1), _BLOCK):
-                hashes, limits = shingle_sets(b, words)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[b.rows], pa.ListArray.from_arrays(pa.array(limits.astype(np.int32)), pa.array(hashes.view(np.int64)))],
-                    names=["node", "shingles"])
+        for ids, hashes, limits in _wanted_sets(batches, words, wanted):
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.ListArray.from_arrays(pa.array(limits.astype(np.int32)), pa.array(hashes.view(np.int64)))],
+                names=["node", "shingles"])
+    return run
+
+
+def _print_batches(words: int, wanted: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, hashes, limits in _wanted_sets(batches, words, wanted):
+            yield pa.RecordBatch.from_arrays([ids, _prints(hashes, limits)], names=["node", "prints"])
     return run
 
 
@@ -247,12 +258,18 @@ class _Verifier:
     """Exact similarity of candidate pairs. The shingle sets of the nodes concerned
     are made from their texts when a pair first needs them, in a scan that tests each
     id against a filter of fixed size; the texts themselves are never shuffled, and
-    sets that pass the filter by chance fall out in the join."""
+    sets that pass the filter by chance fall out in the join. So are the prints, which
+    few documents need and which would be most of the signatures."""
 
     def __init__(self, rows: DataFrame, words: int, percent: int):
         self.rows, self.words, self.percent = rows, words, percent
         self.sets: DataFrame | None = None
 
+    def prints(self, ids: DataFrame, passes: np.ndarray) -> DataFrame:
+        """(node, prints) of the nodes ``ids``, all of which are in the filter."""
+        made = self.rows.mapInArrow(lean(_print_batches(self.words, passes)), "node bigint, prints array<smallint>")
+        return made.where(F.size("prints") > 0).join(ids, "node")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (x, y) whose full sets are similar enough."""
         wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
@@ -288,11 +305,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         nodes = written(filled.groupBy("set_hi", "set_lo").agg(
             F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("digest", "doc_id").alias("digest"),
             F.min("n_shingles").alias("n")), "nodes")
-        prints = filled.select(F.col("doc_id").alias("node"), "prints")
-        labels = _node_components(nodes, prints, _Verifier(rows, shingle_words, percent), bands * band_size, percent, pivots)
+        labels = _node_components(nodes, _Verifier(rows, shingle_words, percent), bands * band_size, percent, pivots)
         named = nodes.select("set_hi", "set_lo", "node").join(labels, "node", "left").select(
             "set_hi", "set_lo", F.coalesce("component", "node").alias("component"))
-        out = signed.drop("bands", "digest", "prints").join(named, ["set_hi", "set_lo"], "left")
+        out = signed.drop("bands", "digest").join(named, ["set_hi", "set_lo"], "left")
         alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
         component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
         return written(out.select("doc_id", "n_shingles", component.alias("component_id"),
@@ -323,14 +339,15 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = keyed.groupBy("key.id", "key.h").agg(F.min("key.row").alias("row"))
     names = written(numbered(firsts, ["id", "h"], "number"), "document-numbers")
     texts = keyed.dropDuplicates(["key"]).join(names.select(F.struct("id", "h", "row").alias("key"), "number"), "key")
-    kept = near_duplicates(texts.select("number", "text"), "number", "text", **options).where("kept").select(F.col("doc_id").alias("number"))
+    texts = written(texts.select("number", "text"), "numbered-texts")    # read several times
+    kept = near_duplicates(texts, "number", "text", **options).where("kept").select(F.col("doc_id").alias("number"))
     stay = names.join(kept, "number").select(F.struct("id", "h", "row").alias("key"))
     record = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record")
     rows = known.select(record, F.struct(*of(known)).alias("key")).join(stay, "key", "left_semi").dropDuplicates(["key"])
     return rows.select("record.*").unionByName(df.where(F.col(f"`{id_col}`").isNull()))
 
 
-def _node_components(nodes: DataFrame, prints: DataFrame, verifier: _Verifier, slots: int, percent: int, pivots: int) -> DataFrame:
+def _node_components(nodes: DataFrame, verifier: _Verifier, slots: int, percent: int, pivots: int) -> DataFrame:
     members = nodes.select(F.explode("bands").alias("key"), "node", "n")
     crowded = written(members.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").drop("most"), "crowded")
     # Members of buckets with two nodes or more; most nodes have none.
@@ -342,13 +359,13 @@ def _node_components(nodes: DataFrame, prints: DataFrame, verifier: _Verifier, s
     likely = written(seen.where(may_be_similar("dx", "dy", slots, percent) & _sizes_fit(F.col("nx"), F.col("ny"), percent))
                      .select("x", "y", "nx", "ny"), "likely")
     ends = written(likely.select(F.col("x").alias("node")).union(likely.select("y")).distinct(), "ends")
-    own = written(_where_in(prints, "node", _id_filter(ends)).join(ends, "node"), "prints")
+    own = written(verifier.prints(ends, _id_filter(ends)), "prints")
     near = (likely.join(own.select(F.col("node").alias("x"), F.col("prints").alias("px")), "x")
             .join(own.select(F.col("node").alias("y"), F.col("prints").alias("py")), "y"))
     tried = written(near.where(prints_fit("px", "py", "nx", "ny", percent)).select("x", "y"), "pairs")
     links = verifier.links(tried)
     labels = components(links, "x", "y")
-    outside, rest = _mixed_buckets(shared, digest, prints, labels)
+    outside, rest = _mixed_buckets(shared, digest, verifier, labels)
     compared = None  # (key, node) of the pivots so far
     while True:
         # All of a small bucket's at once, ``pivots`` at a time of a large one's.
@@ -373,10 +390,10 @@ def _node_components(nodes: DataFrame, prints: DataFrame, verifier: _Verifier, s
         if not found.isEmpty():
             links = links.union(found)
             labels = components(links, "x", "y")
-            outside, rest = _mixed_buckets(shared, digest, prints, labels)
+            outside, rest = _mixed_buckets(shared, digest, verifier, labels)
 
 
-def _mixed_buckets(shared: DataFrame, digest: DataFrame, prints: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _mixed_buckets(shared: DataFrame, digest: DataFrame, verifier: _Verifier, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Buckets whose nodes lie in several groups: the nodes outside the bucket's
     largest group, and all nodes with their group, digest and prints."""
     marked = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
@@ -387,6 +404,6 @@ def _mixed_buckets(shared: DataFrame, digest: DataFrame, prints: DataFrame, labe
     chosen = written(marked.join(mixed.select("key", "largest", "total"), "key"), "mixed")
     wanted = written(chosen.select("node").distinct(), "mixed-nodes")
     passes = _id_filter(wanted)
-    own = _where_in(prints, "node", passes).join(wanted, "node").join(_where_in(digest, "node", passes), "node")
+    own = verifier.prints(wanted, passes).join(_where_in(digest, "node", passes), "node")
     rest = written(chosen.join(own, "node"), "mixed")
     return rest.where("c <> largest").select("key", "node", "total"), rest

@@ -151,3 +151,24 @@ def test_step_folders_go(spark):
     assert near_dedup.near_duplicates(df, shingle_words=2).where("kept").count() == 3
     left = {n for n in set(os.listdir(folder)) - before if n.startswith(("signatures", "nodes", "buckets", "sets", "pairs", "links", "mixed", "prints", "likely"))}
     assert left == set()
+
+
+def test_prints_are_kept_of_likely_pairs_only(spark, monkeypatch):
+    """They were written for every document, most of the scratch files."""
+    seen = {}
+
+    def spy(df, name, **options):
+        out = written(df, name, **options)
+        seen.setdefault(name, (out.columns, out.count()))
+        return out
+
+    from kestrel.llm import near_dedup as N
+    written = N.written
+    monkeypatch.setattr(N, "written", spy)
+    alone = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(40)]
+    near = [(100 + i, " ".join(f"near{j}" for j in range(200 + i))) for i in range(2)]
+    df = spark.createDataFrame([*alone, *near, (200, ""), (201, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(df).collect()}
+    assert got == {**{i: i for i, _ in alone}, 100: 100, 101: 100, 200: 200, 201: 201}
+    assert "prints" not in seen["signatures"][0]
+    assert seen["prints"] == (["node", "prints"], 2)
